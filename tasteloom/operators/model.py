@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tasteloom.functions.scalar import is_number, percent
 from tasteloom.operators.clean import scored_only
-from tasteloom.shared import settle, shared_root
+from tasteloom.shared import shared_root
 
 
 @dataclass(frozen=True)
@@ -25,7 +25,7 @@ class AlsSpec:
     implicit: bool = False
     alpha: float = 1.0
     blocks: int = 10
-    checkpoint_every: int = 5
+    checkpoint_every: int = 10
     seed: int = 42
     user: str = "user_id"
     item: str = "product_id"
@@ -57,14 +57,10 @@ FAST = AlsSpec(rank=5, iterations=10)
 
 
 def fit(train: DataFrame, spec: AlsSpec = FULL) -> ALSModel:
-    """Fit ALS on int ids.
-
-    The training rows are written down first: the fit reads them more than once and
-    its block shuffles must see the same rows when a lost task is run again.
-    """
+    """Fit ALS on int ids; the factors are checkpointed in the shared folder."""
     shared_root(train.sparkSession)
     rows = train.select(spec.user, spec.item, F.col(spec.rating).cast("float").alias(spec.rating))
-    return spec.estimator().fit(settle(rows))
+    return spec.estimator().fit(rows)
 
 
 def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:

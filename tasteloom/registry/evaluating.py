@@ -236,7 +236,7 @@ def chart_score_bins(spark, folder):
 @query(
     "chart_bundle",
     f"""SELECT 'rating_bins' AS chart, lower AS x, cast(rows AS double) AS y FROM ({RATING_BINS})
-        UNION ALL SELECT 'rating_density', at, density FROM ({KDE})
+        UNION ALL SELECT 'rating_density', "at", density FROM ({KDE})
         UNION ALL SELECT 'top_products', cast(product_id AS double), avg_rating
                   FROM ({TOP.format(feed="events_feed")})
         UNION ALL SELECT 'user_activity:' || chart, lower, cast(rows AS double)

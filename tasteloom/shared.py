@@ -33,11 +33,13 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/tasteloom/{label}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and go on from the written rows.
+def settle(df: DataFrame, label: str = "settled") -> DataFrame:
+    """Write ``df`` to the shared folder as Parquet and go on from the written rows.
 
-    Needed where a plan reads the same rows twice and both reads must agree even
-    if an executor is lost in between (range partitions, random splits).
+    Used where a plan reads the same rows more than once and either computing them
+    again would be dear or both reads must agree even if an executor is lost in between
+    (range partitions, random splits).  Later reads still prune columns.
     """
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = new_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
