@@ -37,8 +37,13 @@ def any_null(*columns: str) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns], F.lit(False))
 
 
-def moment(epoch_seconds: Column) -> Column:
-    return F.timestamp_seconds(epoch_seconds)
+def utc_day(epoch_seconds: Column) -> Column:
+    """The day in UTC, whatever the session's time zone."""
+    return F.date_add(F.lit("1970-01-01").cast("date"), F.floor(epoch_seconds / 86400).cast("int"))
+
+
+def year_of(epoch_seconds: Column) -> Column:
+    return F.year(utc_day(epoch_seconds))
 
 
 def dot(left: Column, right: Column) -> Column:

@@ -2,45 +2,51 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tasteloom.operators.ranking import top_n
 from tasteloom.operators.relate import of_top_entities
 
 
-def bins(df: DataFrame, column: str, n: int) -> DataFrame:
+def bins(df: DataFrame, column: str, n: int, figures: Mapping[str, Column] | None = None) -> DataFrame:
     """An ``n``-bin histogram from minimum to maximum; the last bin is closed.
 
     Empty bins are listed.  Without any spread all rows fall into the first bin.
+    ``figures`` are aggregates of ``x``, the column's value, repeated on every bin; they
+    share one pass with the minimum and the maximum.
     """
-    x = F.col(column).cast("double")
-    known = df.filter(x.isNotNull()).select(x.alias("x"))
-    ends = known.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    low, high = ends.select("lo").scalar(), ends.select("hi").scalar()
+    value = F.col(column).cast("double")
+    known = df.filter(value.isNotNull()).select(value.alias("x"))
+    wanted = {"_lo": F.min("x"), "_hi": F.max("x"), **(figures or {})}
+    stats = known.agg(*[c.alias(name) for name, c in wanted.items()])
+    one = {name: stats.select(name).scalar() for name in wanted}
+    low, high = one["_lo"], one["_hi"]
     place = F.coalesce(F.floor(F.try_divide(F.col("x") - low, high - low) * n), F.lit(0).cast("long"))
     placed = known.select(F.least(place, F.lit(n - 1).cast("long")).alias("bin"))
     counts = placed.groupBy("bin").agg(F.count(F.lit(1)).alias("_n"))
     grid = df.sparkSession.range(n).select(F.col("id").alias("bin"))
     step = (high - low) / n
-    return grid.join(counts, "bin", "left").select(
+    return grid.join(F.broadcast(counts), "bin", "left").select(
         F.col("bin").cast("int").alias("bin"),
         F.round(low + F.col("bin") * step, 6).alias("lower"),
         F.round(low + (F.col("bin") + 1) * step, 6).alias("upper"),
         F.coalesce("_n", F.lit(0).cast("long")).alias("rows"),
+        *[one[name].alias(name) for name in figures or {}],
     )
 
 
 def rating_bins(df: DataFrame, column: str = "rating", n: int = 20) -> DataFrame:
     """The rating histogram, with the figures of the text box on every bin."""
-    stats = df.agg(
-        F.round(F.avg(column), 2).alias("mean"),
-        F.round(F.stddev_samp(column), 2).alias("std"),
-        F.round(F.min(column), 1).alias("min"),
-        F.round(F.max(column), 1).alias("max"),
-    )
-    box = {c: stats.select(c).scalar() for c in ("mean", "std", "min", "max")}
-    return bins(df, column, n).withColumns(box)
+    figures = {
+        "mean": F.round(F.avg("x"), 2),
+        "std": F.round(F.stddev_samp("x"), 2),
+        "min": F.round(F.min("x"), 1),
+        "max": F.round(F.max("x"), 1),
+    }
+    return bins(df, column, n, figures)
 
 
 def kde(df: DataFrame, column: str = "rating", points: int = 200) -> DataFrame:
@@ -115,5 +121,4 @@ def metric_groups(report: DataFrame) -> DataFrame:
 
 def score_bins(predictions: DataFrame, n: int = 30) -> DataFrame:
     """The histogram of the predictions, with their mean on every bin."""
-    mean = predictions.agg(F.round(F.avg("prediction"), 4).alias("m")).scalar()
-    return bins(predictions, "prediction", n).withColumn("mean", mean)
+    return bins(predictions, "prediction", n, {"mean": F.round(F.avg("x"), 4)})

@@ -7,7 +7,7 @@ import math
 import numpy as np
 import pandas as pd
 from pyspark.ml.recommendation import ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tasteloom.functions.scalar import dot
@@ -17,7 +17,8 @@ from tasteloom.operators.stats import popularity_score
 from tasteloom.shared import settle
 
 USER, ITEM, SEEN = 0, 1, 2
-CHUNK = 1_024
+# Scores that a task holds at once.
+CELLS = 8_388_608
 
 
 def recommend_users(model: ALSModel, n: int = 10, users: DataFrame | None = None) -> DataFrame:
@@ -43,36 +44,35 @@ def _best(scores: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.nonzero(chosen)
 
 
+def _found(ids: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of ``wanted`` in the sorted ``ids``, and which of them exist."""
+    at = np.minimum(np.searchsorted(ids, wanted), len(ids) - 1)
+    return at, ids[at] == wanted
+
+
 def _block_kernel(n: int):
     def best_of_block(rows: pd.DataFrame) -> pd.DataFrame:
         """The ``n`` best unseen items of one item block for every user of one user block."""
         users = rows[rows["kind"] == USER].sort_values("id")
         items = rows[rows["kind"] == ITEM].sort_values("id")
         seen = rows[rows["kind"] == SEEN]
-        out = []
+        out = [pd.DataFrame({"user": [], "item": [], "score": []})]
         if len(users) and len(items):
             user_ids, item_ids = users["id"].to_numpy(), items["id"].to_numpy()
             left = np.stack(users["features"].to_numpy()).astype("float64")
             right = np.stack(items["features"].to_numpy()).astype("float64").T
-            at_user = np.searchsorted(user_ids, seen["id"].to_numpy())
-            at_item = np.searchsorted(item_ids, seen["other"].to_numpy().astype("int64"))
-            for start in range(0, len(user_ids), CHUNK):
-                scores = (left[start : start + CHUNK] @ right).astype("float32")
-                here = (at_user >= start) & (at_user < start + CHUNK)
+            at_user, known_user = _found(user_ids, seen["id"].to_numpy())
+            at_item, known_item = _found(item_ids, seen["other"].to_numpy())
+            at_user, at_item = (a[known_user & known_item] for a in (at_user, at_item))
+            chunk = max(1, CELLS // len(item_ids))
+            for start in range(0, len(user_ids), chunk):
+                scores = (left[start : start + chunk] @ right).astype("float32")
+                here = (at_user >= start) & (at_user < start + chunk)
                 scores[at_user[here] - start, at_item[here]] = -np.inf
                 row, column = _best(scores, n)
-                out.append(
-                    pd.DataFrame(
-                        {
-                            "user": user_ids[start + row],
-                            "item": item_ids[column],
-                            "score": scores[row, column],
-                        }
-                    )
-                )
-        if not out:
-            return pd.DataFrame({"user": [], "item": [], "score": []})
-        return pd.concat(out)
+                found = {"user": user_ids[start + row], "item": item_ids[column]}
+                out.append(pd.DataFrame({**found, "score": scores[row, column]}))
+        return pd.concat(out[1:]) if len(out) > 1 else out[0]
 
     return best_of_block
 
@@ -83,51 +83,61 @@ def recommend_unseen(
     n: int = 10,
     user: str = "user_id",
     item: str = "product_id",
-    block: int = 4_096,
+    user_block: int = 16_384,
+    item_block: int = 65_536,
     users: DataFrame | None = None,
 ) -> DataFrame:
     """The ``n`` best items per user that the user has not rated.
 
-    Users and items are cut into blocks of about ``block`` ids.  A task gets
-    one user block, one item block and the rated pairs between the two, and passes on ``n``
-    items per user, so neither a user with a huge history nor an item that
-    everybody rated makes a task larger than the block.  The lists of the item
-    blocks are then merged per user.
+    Users and items are cut into blocks of about the given sizes.  A task gets
+    one user block, one item block and the rated pairs between the two, and passes on
+    ``n`` items per user, so neither a user with a huge history nor an item that
+    everybody rated makes a task larger than its blocks.  The lists of the item
+    blocks are then merged per user.  Few users are cut into smaller blocks, so
+    that all cores have work.
     """
-    left = model.userFactors
+    factors, items = model.userFactors, model.itemFactors
+    rated = seen.select(F.col(user).cast("int").alias("id"), F.col(item).cast("int").alias("other"))
     if users is not None:
-        left = left.join(users.select(F.col(user).alias("id")).distinct(), "id", "left_semi")
-    user_blocks = max(1, math.ceil(left.count() / block))
-    item_blocks = max(1, math.ceil(model.itemFactors.count() / block))
+        wanted = users.select(F.col(user).cast("int").alias("id")).distinct()
+        factors = factors.join(wanted, "id", "left_semi")
+        rated = rated.join(wanted, "id", "left_semi")
+    spark = seen.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    people = factors.count()
+    item_blocks = max(1, math.ceil(items.count() / item_block))
+    spread = min(math.ceil(cores / item_blocks), math.ceil(people / 256))
+    user_blocks = max(1, math.ceil(people / user_block), spread)
+    tasks = min(
+        4 * user_blocks * item_blocks,
+        max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * cores),
+    )
 
-    def at(column: str, blocks: int):
-        return F.pmod(F.xxhash64(F.col(column).cast("int")), F.lit(blocks).cast("long")).cast("int")
+    def at(column: str, blocks: int) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(blocks).cast("long")).cast("int")
 
-    def every(blocks: int):
+    def every(blocks: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
 
-    nobody = F.lit(None).cast("int")
-    nothing = F.lit(None).cast("array<float>")
-    parts = [
-        left.select(
-            at("id", user_blocks).alias("ub"), every(item_blocks).alias("ib"),
-            F.lit(USER).alias("kind"), "id", nobody.alias("other"), "features",
-        ),
-        model.itemFactors.select(
-            every(user_blocks).alias("ub"), at("id", item_blocks).alias("ib"),
-            F.lit(ITEM).alias("kind"), "id", nobody.alias("other"), "features",
-        ),
-        seen.select(F.col(user).cast("int").alias("id"), F.col(item).cast("int").alias("other"))
-        .distinct()
-        .join(left.select("id"), "id", "left_semi")
-        .join(model.itemFactors.select(F.col("id").alias("other")), "other", "left_semi")
-        .select(
-            at("id", user_blocks).alias("ub"), at("other", item_blocks).alias("ib"),
-            F.lit(SEEN).alias("kind"), "id", "other", nothing.alias("features"),
-        ),
-    ]
+    def part(source: DataFrame, kind: int, ub: Column, ib: Column, *rest: Column) -> DataFrame:
+        return source.select(ub.alias("ub"), ib.alias("ib"), F.lit(kind).alias("kind"), "id", *rest)
+
+    nobody = F.lit(0).alias("other")
+    nothing = F.lit(None).cast("array<float>").alias("features")
+    blocks = (
+        part(factors, USER, at("id", user_blocks), every(item_blocks), nobody, F.col("features"))
+        .unionByName(
+            part(items, ITEM, every(user_blocks), at("id", item_blocks), nobody, F.col("features"))
+        )
+        .unionByName(
+            part(
+                rated.distinct(), SEEN, at("id", user_blocks), at("other", item_blocks),
+                F.col("other"), nothing,
+            )
+        )
+    )
     best = (
-        parts[0].unionByName(parts[1]).unionByName(parts[2])
+        blocks.repartition(tasks, "ub", "ib")
         .groupBy("ub", "ib")
         .applyInPandas(_block_kernel(n), "user int, item int, score float")
     )

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tasteloom.functions.scalar import year_of
 from tasteloom.operators import charts, stats
 from tasteloom.operators.evaluate import long_form
+from tasteloom.shared import settle
 from tasteloom.sources.writers import write_csv, write_csv_single, write_report
 
 
@@ -28,29 +30,52 @@ def explore(df: DataFrame) -> dict[str, DataFrame]:
 
 
 def explore_report(df: DataFrame) -> DataFrame:
-    """The scalar figures and the short histograms as (section, metric, value)."""
-    basic = ["total_users", "total_products", "total_ratings",
-             "avg_ratings_per_user", "avg_ratings_per_product", "sparsity"]
-    summary = ["count", "mean", "stddev", "min", "max"]
+    """The scalar figures and the short histograms as (section, metric, value).
 
-    def counted(section: str, table: DataFrame, key: str, value: str) -> DataFrame:
-        return table.select(
+    The feed is read twice: once for all scalar figures, once for the rows per
+    rating and year, from which both histograms and the median follow.
+    """
+    timed = "ts" in df.columns
+    figures = [*stats.basic_counts(), *stats.summary_figures()]
+    groups = {"rating": F.col("rating")}
+    sections = {
+        "basic": ["total_users", "total_products", "total_ratings",
+                  "avg_ratings_per_user", "avg_ratings_per_product", "sparsity"],
+        "rating": ["count", "mean", "stddev", "min", "max"],
+    }
+    if timed:
+        figures += stats.year_figures()
+        groups["year"] = year_of(F.col("ts"))
+        sections["time"] = ["earliest_year", "latest_year"]
+    scalars = df.agg(*figures).select("*", *stats.basic_ratios())
+    entries = [
+        F.struct(
+            F.lit(section).alias("section"),
+            F.lit(name).alias("metric"),
+            F.col(name).cast("double").alias("value"),
+        )
+        for section, names in sections.items()
+        for name in names
+    ]
+    out = scalars.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    counts = settle(
+        df.select(*[c.alias(name) for name, c in groups.items()])
+        .groupBy(*groups)
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+
+    def counted(section: str, key: str) -> DataFrame:
+        return counts.filter(F.col(key).isNotNull()).groupBy(key).agg(F.sum("rows").alias("n")).select(
             F.lit(section).alias("section"),
             F.col(key).cast("string").alias("metric"),
-            F.col(value).cast("double").alias("value"),
+            F.col("n").cast("double").alias("value"),
         )
 
-    out = (
-        long_form("basic", stats.basic_stats(df), {c: c for c in basic})
-        .unionByName(long_form("rating", stats.rating_summary(df), {c: c for c in summary}))
-        .unionByName(long_form("rating", stats.median(df), {"median": "median"}))
-        .unionByName(counted("rating_value", stats.rating_histogram(df), "rating", "count"))
-    )
-    if "ts" in df.columns:
-        years = {c: c for c in ("earliest_year", "latest_year")}
-        out = out.unionByName(counted("year", stats.by_period(df, "year"), "year", "rating_count"))
-        out = out.unionByName(long_form("time", stats.year_range(df), years))
-    return out
+    values = counts.filter(F.col("rating").isNotNull()).groupBy("rating").agg(F.sum("rows").alias("n"))
+    out = out.unionByName(
+        long_form("rating", stats.median_of_counts(values, "rating", "n"), {"median": "median"})
+    ).unionByName(counted("rating_value", "rating"))
+    return out.unionByName(counted("year", "year")) if timed else out
 
 
 def save_exploration(df: DataFrame, base: str) -> dict[str, str]:

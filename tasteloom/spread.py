@@ -26,22 +26,23 @@ MAX_HOT_KEYS = 50_000
 NULL_SLICES = 4_096
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> DataFrame:
     """Keys with more than ``hot_rows`` rows and the number of slices for each."""
+    limit = hot_rows or HOT_ROWS
     return (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > hot_rows)
+        .filter(F.col("_rows") > limit)
         .orderBy(F.desc("_rows"), *keys)
         .limit(MAX_HOT_KEYS)
-        .select(*keys, F.ceil(F.col("_rows") / hot_rows).alias("_slices"))
+        .select(*keys, F.ceil(F.col("_rows") / limit).alias("_slices"))
     )
 
 
 def spread_joins(
     fact: DataFrame,
     joins: Sequence[tuple[DataFrame, Sequence[str], str]],
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Join ``fact`` to several tables, splitting the hot keys of ``fact``.
 
@@ -77,7 +78,7 @@ def spread_join(
     dim: DataFrame,
     keys: Sequence[str],
     how: str = "inner",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """``spread_joins`` with a single table."""
     return spread_joins(fact, [(dim, keys, how)], hot_rows)
@@ -147,7 +148,7 @@ def number_rows(
     keys: Sequence[str],
     order: Sequence[Column],
     out: str,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """``row_number`` per key.  Hot keys are numbered over range partitions.
 
