@@ -48,12 +48,13 @@ def decode(df: DataFrame, indexes: dict[str, DataFrame]) -> DataFrame:
 def train(ratings: DataFrame, spec: AlsSpec = FULL, share: float = 0.8, how: str = "hash") -> Trained:
     """Index the ids, split the rows, fit ALS on the training rows.
 
-    The coded rows are written down once; the split, the fit, the predictions and the lists
-    all read that table.
+    The ratings are written down once for both indexes and the coding, and the coded rows
+    once for the split, the fit, the predictions and the lists.
     """
+    ratings = settle(ratings.select("user_id", "product_id", "rating"))
     spec = replace(spec, user=CODES["user_id"], item=CODES["product_id"])
     indexes = {column: dense_index(ratings, column, code) for column, code in CODES.items()}
-    coded = settle(encode(ratings.select("user_id", "product_id", "rating"), indexes))
+    coded = settle(encode(ratings, indexes))
     train_rows, test_rows = split(coded, share, how)
     started = time.monotonic()
     model = fit(train_rows, spec)

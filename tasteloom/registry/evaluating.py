@@ -39,7 +39,8 @@ def _errors(spark, folder):
 
 
 def _ranking(spark, folder):
-    return evaluate.ranking_metrics(inputs.lists(spark, folder), inputs.train_test(spark, folder)[1])
+    known, held_out = inputs.train_test(spark, folder)
+    return evaluate.ranking_metrics(inputs.lists_of(inputs.predictions_of(known, held_out)), held_out)
 
 
 @query("metric_rmse", f"SELECT count(*) AS scored, {RMSE} AS rmse FROM predictions")
@@ -77,7 +78,8 @@ def coverage_candidates(spark, folder):
 
 @query("coverage_topk", LIST_COVERAGE)
 def coverage_topk(spark, folder):
-    return evaluate.coverage_lists(inputs.lists(spark, folder), inputs.train_test(spark, folder)[0])
+    known, held_out = inputs.train_test(spark, folder)
+    return evaluate.coverage_lists(inputs.lists_of(inputs.predictions_of(known, held_out)), known)
 
 
 @query("diversity_stddev", SPREAD)
@@ -125,15 +127,18 @@ REPORT = " UNION ALL ".join(
 )
 
 
-def _report(spark, folder, scored=None):
-    known, held_out = inputs.train_test(spark, folder)
-    scored = inputs.predictions(spark, folder) if scored is None else scored
+def _report(known, held_out, scored):
     return evaluate.evaluate(scored, inputs.lists_of(scored), known, held_out, inputs.LIST_LENGTH)
 
 
+def _scored(spark, folder):
+    known, held_out = inputs.train_test(spark, folder)
+    return known, held_out, inputs.predictions_of(known, held_out)
+
+
 @query("evaluation_report", REPORT)
 def evaluation_report(spark, folder):
-    return _report(spark, folder)
+    return _report(*_scored(spark, folder))
 
 
 @query("als_evaluation")
@@ -225,7 +230,7 @@ def chart_heatmap_wide(spark, folder):
 
 @query("chart_metrics", GROUPS)
 def chart_metrics(spark, folder):
-    return charts.metric_groups(_report(spark, folder))
+    return charts.metric_groups(_report(*_scored(spark, folder)))
 
 
 @query("chart_score_bins", SCORE_BINS)
@@ -247,6 +252,6 @@ def chart_score_bins(spark, folder):
         UNION ALL SELECT 'metrics:' || chart || ':' || metric, 0.0, value FROM ({GROUPS})""",
 )
 def chart_bundle(spark, folder):
-    scored = inputs.predictions(spark, folder)
-    report = _report(spark, folder, scored)
+    known, held_out, scored = _scored(spark, folder)
+    report = _report(known, held_out, scored)
     return explore.chart_points(explore.chart_tables(feeds.events_feed(spark, folder), scored, report))

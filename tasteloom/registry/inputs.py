@@ -14,7 +14,8 @@ LIST_LENGTH = 3
 
 
 def clean_orders(spark: SparkSession, folder: str) -> DataFrame:
-    return clean.dedup(feeds.orders_feed(spark, folder))
+    """One rating per user and product, written down once for all that follows."""
+    return settle(clean.dedup(feeds.orders_feed(spark, folder)))
 
 
 def train_test(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -30,9 +31,12 @@ def baseline(train: DataFrame, test: DataFrame) -> DataFrame:
 
 
 def predictions(spark: SparkSession, folder: str) -> DataFrame:
+    return predictions_of(*train_test(spark, folder))
+
+
+def predictions_of(train: DataFrame, test: DataFrame) -> DataFrame:
     """The baseline's predictions, written down because ranking reads them several times."""
-    scored = baseline(*train_test(spark, folder))
-    return settle(scored.select("user_id", "product_id", "rating", "prediction"))
+    return settle(baseline(train, test).select("user_id", "product_id", "rating", "prediction"))
 
 
 def partial_predictions(spark: SparkSession, folder: str) -> DataFrame:
@@ -43,8 +47,8 @@ def partial_predictions(spark: SparkSession, folder: str) -> DataFrame:
     )
     gaps = means.select(
         "product_id",
-        F.when(F.col("n") % 5 == 0, F.lit(float("nan")))
-        .when(F.col("n") % 7 != 0, F.col("m"))
+        F.when(F.col("n") >= 25, F.col("m"))
+        .when(F.col("n") >= 20, F.lit(float("nan")))
         .alias("prediction"),
     )
     return spread_join(test, gaps, ["product_id"], "left").select(

@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tasteloom.operators import encode, model, ranking, recommend, relate, split
+from tasteloom.operators import clean, encode, model, ranking, recommend, relate, split
 from tasteloom.plans import train
 from tasteloom.registry import inputs
 from tasteloom.registry.book import query
 from tasteloom.registry.tables import hundredth
-from tasteloom.shared import new_path
+from tasteloom.shared import new_path, settle
 from tasteloom.sources import feeds
 
 
 def fitted(spark, folder, spec=model.FAST):
-    return train.train(inputs.clean_orders(spark, folder), spec)
+    return train.train(clean.dedup(feeds.orders_feed(spark, folder)), spec)
 
 
 def _index_sql(column):
@@ -39,9 +39,10 @@ def hash_collisions(spark, folder):
              JOIN {_index_sql('product_id')} p USING (product_id)""",
 )
 def encode_frequency(spark, folder):
-    known, _ = inputs.train_test(spark, folder)
+    ratings = inputs.clean_orders(spark, folder)
+    known, _ = split.split(ratings)
     indexes = {c: encode.dense_index(known, c, out) for c, out in encode.CODES.items()}
-    return encode.encode(inputs.clean_orders(spark, folder), indexes)
+    return encode.encode(ratings, indexes)
 
 
 @query(
@@ -151,7 +152,7 @@ def recommend_one_user(spark, folder):
     """For the most active user, whose code is 0."""
     trained = fitted(spark, folder)
     best = recommend.recommend_one(trained.model, trained.train, 0, 10, "user_idx", "item_idx")
-    return train.decode(best, trained.indexes).select("user_id", "product_id", "prediction")
+    return train.decode(settle(best), trained.indexes).select("user_id", "product_id", "prediction")
 
 
 @query(

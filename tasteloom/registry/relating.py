@@ -29,7 +29,8 @@ def join_product_features(spark, folder):
 
 @query("join_hits", "SELECT user_id, product_id, rating FROM lists WHERE rating >= 4.0")
 def join_hits(spark, folder):
-    return relate.hits(inputs.lists(spark, folder), inputs.train_test(spark, folder)[1])
+    known, held_out = inputs.train_test(spark, folder)
+    return relate.hits(inputs.lists_of(inputs.predictions_of(known, held_out)), held_out)
 
 
 @query(

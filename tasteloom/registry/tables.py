@@ -61,7 +61,7 @@ TABLES = {
         SELECT p_partkey AS product_id,
                p_name || ' ' || [{NOUN_LIST}][cast(p_partkey % {len(NOUNS)} + 1 AS int)] AS product_name
         FROM part""",
-    "manifest": "SELECT p_partkey AS product_id FROM part WHERE p_size % 3 = 0",
+    "manifest": "SELECT p_partkey AS product_id FROM part WHERE p_size <= 25",
     "clean_orders": """
         SELECT user_id, product_id, rating, ts
         FROM (SELECT *, row_number() OVER (PARTITION BY user_id, product_id
@@ -77,7 +77,7 @@ TABLES = {
              USING (product_id)""",
     "partial_predictions": """
         SELECT t.user_id, t.product_id, t.rating,
-               CASE WHEN n % 5 = 0 THEN cast('nan' AS double) WHEN n % 7 <> 0 THEN m END AS prediction
+               CASE WHEN n >= 25 THEN m WHEN n >= 20 THEN cast('nan' AS double) END AS prediction
         FROM test t LEFT JOIN (SELECT product_id, avg(rating) AS m, count(rating) AS n
                                FROM train GROUP BY 1) p USING (product_id)""",
     "lists": """
