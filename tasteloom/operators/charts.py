@@ -74,14 +74,14 @@ def kde(df: DataFrame, column: str = "rating", points: int = 200) -> DataFrame:
         low.alias("_lo"),
         ((high - low) / (points - 1)).alias("_step"),
         F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"),
-    ).withColumn("at", F.col("_lo") + F.col("point") * F.col("_step"))
-    bell = F.exp(-0.5 * F.pow(F.try_divide(F.col("at") - F.col("x"), F.col("_h")), F.lit(2.0)))
+    ).withColumn("_at", F.col("_lo") + F.col("point") * F.col("_step"))
+    bell = F.exp(-0.5 * F.pow(F.try_divide(F.col("_at") - F.col("x"), F.col("_h")), F.lit(2.0)))
     scale = F.lit((2 * 3.141592653589793) ** 0.5)
-    return weighted.groupBy("point", "at").agg(
+    return weighted.groupBy("point", "_at").agg(
         F.round(
             F.sum(F.col("_w") * bell / (F.col("_total") * F.col("_h") * scale)), 6
         ).alias("density")
-    ).select("point", F.round("at", 6).alias("at"), "density")
+    ).select("point", F.round("_at", 6).alias("x"), "density")
 
 
 def activity_bins(users: DataFrame, n: int = 20) -> DataFrame:

@@ -30,7 +30,7 @@ def hash_collisions(df: DataFrame, codes: Mapping[str, str] = CODES) -> DataFram
                 F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0).cast("long")).alias(
                     "colliding_ids"
                 ),
-            ).select(F.lit(column).alias("column"), "ids", "codes", "colliding_ids")
+            ).select(F.lit(column).alias("column_name"), "ids", "codes", "colliding_ids")
         )
     out = parts[0]
     for part in parts[1:]:

@@ -15,7 +15,11 @@ from tasteloom.shared import shared_root
 
 @dataclass(frozen=True)
 class AlsSpec:
-    """Settings of an ALS fit.  ``alpha`` matters only with ``implicit``."""
+    """Settings of an ALS fit.
+
+    ``alpha`` matters only with ``implicit``.  Without ``blocks`` there is one
+    block per core, between 10 and 1,000.
+    """
 
     rank: int = 10
     iterations: int = 15
@@ -24,14 +28,15 @@ class AlsSpec:
     cold_start: str = "drop"
     implicit: bool = False
     alpha: float = 1.0
-    blocks: int = 10
+    blocks: int | None = None
     checkpoint_every: int = 10
     seed: int = 42
     user: str = "user_id"
     item: str = "product_id"
     rating: str = "rating"
 
-    def estimator(self) -> ALS:
+    def estimator(self, cores: int = 10) -> ALS:
+        blocks = self.blocks or max(10, min(cores, 1_000))
         return ALS(
             rank=self.rank,
             maxIter=self.iterations,
@@ -40,8 +45,8 @@ class AlsSpec:
             coldStartStrategy=self.cold_start,
             implicitPrefs=self.implicit,
             alpha=self.alpha,
-            numUserBlocks=self.blocks,
-            numItemBlocks=self.blocks,
+            numUserBlocks=blocks,
+            numItemBlocks=blocks,
             checkpointInterval=self.checkpoint_every,
             seed=self.seed,
             userCol=self.user,
@@ -58,9 +63,10 @@ FAST = AlsSpec(rank=5, iterations=10)
 
 def fit(train: DataFrame, spec: AlsSpec = FULL) -> ALSModel:
     """Fit ALS on int ids; the factors are checkpointed in the shared folder."""
-    shared_root(train.sparkSession)
+    spark = train.sparkSession
+    shared_root(spark)
     rows = train.select(spec.user, spec.item, F.col(spec.rating).cast("float").alias(spec.rating))
-    return spec.estimator().fit(rows)
+    return spec.estimator(spark.sparkContext.defaultParallelism).fit(rows)
 
 
 def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:

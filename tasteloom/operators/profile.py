@@ -31,7 +31,7 @@ def nulls(df: DataFrame) -> DataFrame:
         df,
         {f"n_{c}": F.count_if(F.col(c).isNull()) for c in df.columns},
         lambda c: F.struct(
-            F.lit(c).alias("column"),
+            F.lit(c).alias("column_name"),
             F.col(f"n_{c}").alias("null_count"),
             percent(F.col(f"n_{c}"), F.col("_total")).alias("null_pct"),
         ),
@@ -57,7 +57,7 @@ def distinct_values(df: DataFrame, approx: bool = False) -> DataFrame:
     return _per_column(
         df,
         {f"d_{c}": F.coalesce(_distinct(c, approx), F.lit(0).cast("long")) for c in df.columns},
-        lambda c: F.struct(F.lit(c).alias("column"), F.col(f"d_{c}").alias("distinct_count")),
+        lambda c: F.struct(F.lit(c).alias("column_name"), F.col(f"d_{c}").alias("distinct_count")),
     )
 
 
@@ -68,7 +68,7 @@ def types(df: DataFrame) -> DataFrame:
         df,
         {f"f_{c}": F.count(F.col(c)) for c in df.columns},
         lambda c: F.struct(
-            F.lit(c).alias("column"),
+            F.lit(c).alias("column_name"),
             F.lit(names[c]).alias("data_type"),
             F.col(f"f_{c}").alias("filled_rows"),
         ),
@@ -86,7 +86,7 @@ def profile(df: DataFrame, approx: bool = False) -> DataFrame:
         df,
         aggregates,
         lambda c: F.struct(
-            F.lit(c).alias("column"),
+            F.lit(c).alias("column_name"),
             F.lit(names[c]).alias("data_type"),
             F.col("_total").alias("total_rows"),
             F.col(f"n_{c}").alias("null_count"),

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tasteloom.functions.catalog import PICTURE_PATH, category_of, placeholder_of, price_of
 from tasteloom.operators.ranking import top_n
 from tasteloom.operators.relate import with_each
-from tasteloom.spread import number_rows, spread_join
+from tasteloom.spread import spread_join
 
 
 def users_list(recs: DataFrame) -> DataFrame:
@@ -69,7 +69,10 @@ def pages(
     sort: str = "rating_desc",
     size: int = 15,
 ) -> DataFrame:
-    """Filtered and sorted lists, cut into pages of ``size`` per user."""
+    """Filtered and sorted lists, cut into pages of ``size`` per user.
+
+    A user's list is a top-N list, so numbering it takes a plain window.
+    """
     kept = recs.filter(F.lower("product_name").contains(text.lower()))
     if category != "All":
         kept = kept.filter(F.col("category") == category)
@@ -77,7 +80,8 @@ def pages(
         "rating_desc": [F.desc("rating"), F.col("product_id")],
         "price_low": [F.col("price"), F.col("product_id")],
     }
-    placed = number_rows(kept, ["user_id"], orders[sort], "position")
+    window = Window.partitionBy("user_id").orderBy(*orders[sort])
+    placed = kept.withColumn("position", F.row_number().over(window).cast("long"))
     return placed.withColumn("page", (F.floor((F.col("position") - 1) / size) + 1).cast("long"))
 
 

@@ -108,7 +108,7 @@ def chart_points(tables: dict[str, DataFrame]) -> DataFrame:
     """All charts in one table of (chart, x, y) points."""
     axes = {
         "rating_bins": ("lower", "rows"),
-        "rating_density": ("at", "density"),
+        "rating_density": ("x", "density"),
         "top_products": ("product_id", "avg_rating"),
         "user_activity": ("lower", "rows"),
         "heatmap": ("product_id", "mean_rating"),

@@ -10,11 +10,11 @@ from tasteloom.sources.writers import resize
 
 
 def ingest_report(df: DataFrame) -> DataFrame:
-    """Rows, columns, nulls, distinct values and duplicates as (metric, column, value)."""
+    """Rows, columns, nulls, distinct values and duplicates as (metric, column_name, value)."""
 
     def rows(one: DataFrame, column, metrics: list[str]) -> DataFrame:
         pairs = [
-            F.struct(F.lit(m).alias("metric"), column.alias("column"), F.col(m).cast("double").alias("value"))
+            F.struct(F.lit(m).alias("metric"), column.alias("column_name"), F.col(m).cast("double").alias("value"))
             for m in metrics
         ]
         return one.select(F.explode(F.array(*pairs)).alias("r")).select("r.*")
@@ -22,7 +22,7 @@ def ingest_report(df: DataFrame) -> DataFrame:
     whole = F.lit("*")
     return (
         rows(shape(df), whole, ["total_rows", "total_columns"])
-        .unionByName(rows(profile(df), F.col("column"), ["null_count", "null_pct", "distinct_count"]))
+        .unionByName(rows(profile(df), F.col("column_name"), ["null_count", "null_pct", "distinct_count"]))
         .unionByName(rows(duplicate_rows(df), whole, ["duplicate_rows"]))
     )
 

@@ -11,11 +11,19 @@ from pyspark.sql import functions as F
 
 from tasteloom.operators.encode import CODES, dense_index, encode
 from tasteloom.operators.evaluate import error_metrics, evaluate, long_form
-from tasteloom.operators.model import FULL, AlsSpec, fit, predict, prediction_yield, save_model
+from tasteloom.operators.model import (
+    FULL,
+    AlsSpec,
+    fit,
+    load_model,
+    predict,
+    prediction_yield,
+    save_model,
+)
 from tasteloom.operators.recommend import recommend_unseen
 from tasteloom.operators.relate import with_ids
 from tasteloom.operators.split import split
-from tasteloom.shared import settle
+from tasteloom.shared import new_path, settle
 
 
 @dataclass(frozen=True)
@@ -49,7 +57,8 @@ def train(ratings: DataFrame, spec: AlsSpec = FULL, share: float = 0.8, how: str
     """Index the ids, split the rows, fit ALS on the training rows.
 
     The ratings are written down once for both indexes and the coding, and the coded rows
-    once for the split, the fit, the predictions and the lists.
+    once for the split, the fit, the predictions and the lists.  The model is written down
+    too, so that a lost executor does not mean another fit.
     """
     ratings = settle(ratings.select("user_id", "product_id", "rating"))
     spec = replace(spec, user=CODES["user_id"], item=CODES["product_id"])
@@ -57,8 +66,9 @@ def train(ratings: DataFrame, spec: AlsSpec = FULL, share: float = 0.8, how: str
     coded = settle(encode(ratings, indexes))
     train_rows, test_rows = split(coded, share, how)
     started = time.monotonic()
-    model = fit(train_rows, spec)
-    return Trained(model, train_rows, test_rows, indexes, spec, time.monotonic() - started)
+    path = save_model(fit(train_rows, spec), new_path(ratings.sparkSession, "als"))
+    seconds = time.monotonic() - started
+    return Trained(load_model(path), train_rows, test_rows, indexes, spec, seconds)
 
 
 def train_report(trained: Trained, path: str | None = None) -> DataFrame:

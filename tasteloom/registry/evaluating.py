@@ -162,11 +162,11 @@ RATING_BINS = f"""SELECT *, (SELECT round(avg(rating), 2) FROM events_feed) AS m
     (SELECT round(min(rating), 1) FROM events_feed) AS min,
     (SELECT round(max(rating), 1) FROM events_feed) AS max
   FROM ({bins_sql("rating", "events_feed", 20)})"""
-KDE = """SELECT cast(p AS int) AS point, round(lo + p * ((hi - lo) / 199), 6) AS at,
-    round(sum(w * exp(-0.5 * ((lo + p * ((hi - lo) / 199) - x) / h) ** 2)
+KDE = """SELECT cast(p AS int) AS point, round(lo + p * ((hi - lo) / 199), 6) AS x,
+    round(sum(w * exp(-0.5 * ((lo + p * ((hi - lo) / 199) - v) / h) ** 2)
               / (n * h * sqrt(2 * 3.141592653589793))), 6) AS density
   FROM range(200) g(p),
-       (SELECT rating AS x, count(*) AS w FROM events_feed GROUP BY 1),
+       (SELECT rating AS v, count(*) AS w FROM events_feed GROUP BY 1),
        (SELECT min(rating) AS lo, max(rating) AS hi, count(rating) AS n,
                stddev_samp(rating) * count(rating) ** (-0.2) AS h FROM events_feed)
   GROUP BY p, lo, hi"""
@@ -241,7 +241,7 @@ def chart_score_bins(spark, folder):
 @query(
     "chart_bundle",
     f"""SELECT 'rating_bins' AS chart, lower AS x, cast(rows AS double) AS y FROM ({RATING_BINS})
-        UNION ALL SELECT 'rating_density', "at", density FROM ({KDE})
+        UNION ALL SELECT 'rating_density', x, density FROM ({KDE})
         UNION ALL SELECT 'top_products', cast(product_id AS double), avg_rating
                   FROM ({TOP.format(feed="events_feed")})
         UNION ALL SELECT 'user_activity:' || chart, lower, cast(rows AS double)

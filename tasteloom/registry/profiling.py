@@ -20,7 +20,7 @@ def _each(columns, select, source):
 NULL_COUNT = "count(*) FILTER (WHERE {c} IS NULL)"
 NULL_PCT = "round(count(*) FILTER (WHERE {c} IS NULL) / count(*) * 100, 2)"
 DISTINCT = "count(DISTINCT {c}) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END)"
-NULLS = f"'{{c}}' AS column, {NULL_COUNT} AS null_count, {NULL_PCT} AS null_pct"
+NULLS = f"'{{c}}' AS column_name, {NULL_COUNT} AS null_count, {NULL_PCT} AS null_pct"
 
 
 @query(
@@ -39,7 +39,7 @@ def profile_nulls(spark, folder):
 
 @query(
     "profile_distinct",
-    _each(DIRTY, f"'{{c}}' AS column, cast({DISTINCT} AS bigint) AS distinct_count", "dirty_feed"),
+    _each(DIRTY, f"'{{c}}' AS column_name, cast({DISTINCT} AS bigint) AS distinct_count", "dirty_feed"),
 )
 def profile_distinct(spark, folder):
     return profile.distinct_values(feeds.dirty_feed(spark, folder))
@@ -48,7 +48,7 @@ def profile_distinct(spark, folder):
 @query(
     "profile_types",
     " UNION ALL ".join(
-        f"SELECT '{c}' AS column, '{t}' AS data_type, count({c}) AS filled_rows FROM dirty_feed"
+        f"SELECT '{c}' AS column_name, '{t}' AS data_type, count({c}) AS filled_rows FROM dirty_feed"
         for c, t in zip(DIRTY, ["string", "string", "double", "bigint"], strict=True)
     ),
 )
@@ -83,7 +83,7 @@ def _report_sql():
     columns = ["product_id", "user_id", "rating", "ts"]
     names = dict(zip(columns, CSV_COLUMNS, strict=True))
     whole = [
-        "SELECT 'total_rows' AS metric, '*' AS column, cast(count(*) AS double) AS value FROM orders_feed",
+        "SELECT 'total_rows' AS metric, '*' AS column_name, cast(count(*) AS double) AS value FROM orders_feed",
         "SELECT 'total_columns', '*', 4.0",
         """SELECT 'duplicate_rows', '*', cast(sum(n - 1) AS double)
            FROM (SELECT count(*) AS n FROM orders_feed GROUP BY user_id, product_id, rating, ts)""",

@@ -62,9 +62,9 @@ def test_empty_input(spark):
 
 def test_all_null_column(spark):
     df = frame(spark, (None, "1", 1.0, 1), (None, "2", 1.0, 1))
-    found = {r.column: r for r in profile.profile(df).collect()}
+    found = {r.column_name: r for r in profile.profile(df).collect()}
     assert (found["user_id"].null_pct, found["user_id"].distinct_count) == (100.0, 1)
-    assert [r.column for r in profile.critical_nulls(df).collect()] == ["user_id"]
+    assert [r.column_name for r in profile.critical_nulls(df).collect()] == ["user_id"]
 
 
 @pytest.mark.parametrize(

@@ -108,7 +108,7 @@ def test_with_each_keeps_the_order(spark, ratings):
 def test_density_integrates_to_about_one(spark):
     df = spark.range(1_000).select((F.randn(seed=1) * 2).alias("rating"))
     points = charts.kde(df, "rating", 400).orderBy("point").collect()
-    step = points[1]["at"] - points[0]["at"]
+    step = points[1].x - points[0].x
     assert math.isclose(sum(p.density for p in points) * step, 1.0, abs_tol=0.02)
 
 

@@ -213,7 +213,7 @@ def test_dense_index_equals_string_indexer(spark, ratings):
 def test_hash_codes(ratings):
     coded = encode.hash_codes(ratings)
     assert coded.groupBy("user_id").agg(F.count_distinct("user_idx").alias("n")).filter("n > 1").count() == 0
-    report = {r.column: r for r in encode.hash_collisions(ratings).collect()}
+    report = {r.column_name: r for r in encode.hash_collisions(ratings).collect()}
     assert report["user_id"].ids == ratings.select("user_id").distinct().count()
     assert report["user_id"].ids - report["user_id"].codes <= report["user_id"].colliding_ids
 

@@ -87,7 +87,7 @@ def test_held_releases(ratings):
 
 def test_ingest(ratings):
     laid_out, report = ingest(ratings.unionByName(ratings), 2)
-    found = {(r.metric, r.column): r.value for r in report.collect()}
+    found = {(r.metric, r.column_name): r.value for r in report.collect()}
     assert found["total_rows", "*"] == 14 and found["duplicate_rows", "*"] == 7
     assert laid_out.count() == 14
     assert readers.first_rows(ratings, ["ts"], 2).count() == 2
