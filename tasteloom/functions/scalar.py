@@ -24,6 +24,11 @@ def percent(part: Column, whole: Column, places: int = 2) -> Column:
     return F.round(F.try_divide(part.cast("double"), whole.cast("double")) * 100, places)
 
 
+def steady_round(value: Column, places: int) -> Column:
+    """Round by decimal digits, so that the order of a sum cannot tip a tie."""
+    return F.round(value.cast("decimal(18,9)"), places).cast("double")
+
+
 def at_least_one(value: Column) -> Column:
     return F.greatest(value.cast("double"), F.lit(1.0))
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tasteloom.functions.catalog import PICTURE_PATH, category_of, placeholder_of, price_of
+from tasteloom.functions.scalar import steady_round
 from tasteloom.operators.ranking import top_n
 from tasteloom.operators.relate import with_each
 from tasteloom.spread import spread_join
@@ -90,8 +91,8 @@ def dashboard(recs: DataFrame) -> DataFrame:
     mean = F.avg("rating")
     return recs.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("items"),
-        F.round(mean, 2).alias("avg_score"),
-        F.round(F.least(mean / 15 * 100, F.lit(100.0)), 4).alias("confidence_pct"),
+        steady_round(mean, 2).alias("avg_score"),
+        steady_round(F.least(mean / 15 * 100, F.lit(100.0)), 4).alias("confidence_pct"),
     )
 
 

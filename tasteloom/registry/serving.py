@@ -88,8 +88,9 @@ def serve_category_page(spark, folder):
 
 @query(
     "serve_dashboard",
-    """SELECT user_id, count(*) AS items, round(avg(rating), 2) AS avg_score,
-              round(least(avg(rating) / 15 * 100, 100), 4) AS confidence_pct
+    """SELECT user_id, count(*) AS items, cast(round(cast(avg(rating) AS decimal(18, 9)), 2) AS double) AS avg_score,
+              cast(round(cast(least(avg(rating) / 15 * 100, 100) AS decimal(18, 9)), 4) AS double)
+              AS confidence_pct
        FROM recs GROUP BY 1""",
 )
 def serve_dashboard(spark, folder):
