@@ -18,12 +18,14 @@ def shared_root(spark: SparkSession) -> str:
     """The shared folder; also makes it the context's checkpoint folder."""
     context = spark.sparkContext
     root = spark.conf.get(SETTING, None)
+    current = context.getCheckpointDir()
+    if not root and current:
+        return current
     if not root:
         if not context.master.startswith("local"):
             raise RuntimeError(f"set {SETTING} to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tasteloom-")
-        spark.conf.set(SETTING, root)
-    if context.getCheckpointDir() is None:
+    if current is None:
         context.setCheckpointDir(root)
     return root
 

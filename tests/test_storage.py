@@ -1,6 +1,7 @@
 """Sources, sinks, layout and the shared folder."""
 
 import os
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,6 +19,29 @@ def test_shared_folder_is_the_session_setting(spark):
     assert new_path(spark, "x") != new_path(spark, "x")
 
 
+class FakeContext:
+    def __init__(self, master):
+        self.master, self.folder = master, None
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def session_without_setting(master):
+    return SimpleNamespace(conf={}, sparkContext=FakeContext(master))
+
+
+def test_only_a_local_session_gets_a_temporary_folder():
+    local = session_without_setting("local[2]")
+    root = shared_root(local)
+    assert os.path.isdir(root) and shared_root(local) == root
+    with pytest.raises(RuntimeError):
+        shared_root(session_without_setting("yarn"))
+
+
 def test_settle_keeps_rows_and_cuts_the_plan(spark, ratings):
     again = settle(ratings.withColumn("n", F.col("rating") * 2))
     assert rows(again) == rows(ratings.withColumn("n", F.col("rating") * 2))
