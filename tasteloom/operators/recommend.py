@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +18,9 @@ from tasteloom.operators.relate import with_each, with_ids
 from tasteloom.operators.stats import popularity_score
 from tasteloom.shared import settle
 
+# Executors need not have this package: the functions below travel with the job.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 USER, ITEM, SEEN = 0, 1, 2
 # Scores that a task holds at once.
 CELLS = 8_388_608

@@ -1,9 +1,12 @@
 """Invariants of the splits, the model and the recommendations."""
 
+import subprocess
+import sys
 from dataclasses import replace
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
@@ -95,6 +98,24 @@ def test_ties_go_to_the_lower_item():
     assert list(zip(row.tolist(), column.tolist(), strict=True)) == [(0, 0), (0, 1), (1, 1), (1, 2), (2, 2)]
 
 
+def test_block_function_works_where_the_package_is_missing(tmp_path):
+    """As on an executor that has PySpark, numpy and pandas only."""
+    blob = tmp_path / "function"
+    blob.write_bytes(cloudpickle.dumps(recommend._block_kernel(1)))
+    script = (
+        "import pickle, numpy as np, pandas as pd\n"
+        f"f = pickle.loads(open({str(blob)!r}, 'rb').read())\n"
+        "one = np.array([1.0], dtype='float32')\n"
+        "rows = pd.DataFrame({'kind': [0, 1, 1, 2], 'id': [5, 7, 8, 5], 'other': [0, 0, 0, 7],\n"
+        "                     'features': [one, one, one, None]})\n"
+        "print(f(rows)['item'].tolist())\n"
+    )
+    done = subprocess.run(
+        [sys.executable, "-c", script], cwd="/", capture_output=True, text=True, timeout=60
+    )
+    assert done.stdout.strip() == "[8]", done.stderr
+
+
 def test_one_user_equals_the_lists(trained):
     expected = best_by_hand(trained, 10)[2]
     got = recommend.recommend_one(trained.model, trained.train, 2, 10, "user_idx", "item_idx").collect()
