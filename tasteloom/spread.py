@@ -84,20 +84,17 @@ def spread_join(
     return spread_joins(fact, [(dim, keys, how)], hot_rows)
 
 
-def _partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def _placed(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     """Rows sorted over range partitions, with ``_part`` and ``_pos`` columns.
 
     The input partition is the last sort key, so that identical copies can be
-    spread over several ranges as well.
+    spread over several ranges as well.  Adaptive execution may merge neighbouring
+    ranges of little data; the order over all partitions stays.
     """
     source = df.withColumn("_src", F.spark_partition_id())
     order = [*order, F.col("_src")]
     placed = settle(
-        source.repartitionByRange(_partitions(df), *order)
+        source.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .drop("_src")
         .withColumn("_at", F.monotonically_increasing_id())
