@@ -1,4 +1,4 @@
-"""The registered queries of this package and, where SQL can state them, their DuckDB SQL.
+"""The registered queries of this package; ``oracles`` has the SQL of those that SQL can state.
 
 Each query applies its operator to the whole table and derives the columns of its contract.
 """
@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tasteloom.llm import ann, bpe, licenses, lines, minhash, packing, quality, secret_scan, sharding, substrings
+from tasteloom.llm.oracles import ORACLE  # noqa: F401
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 TOKENIZER = "byte_bpe_50k.json"
@@ -123,45 +124,3 @@ QUERIES = {
         op6_line_dedup, op7_ring_sharding, op8_secret_scan, op9_quality_rules, op10_one_bit_search,
     )
 }
-
-_WORD = r"[^\x20\x09-\x0D]+"
-_ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-
-ORACLE: dict[str, str] = {
-    # The exact counts that the sketches stand for; the first place of a line stays.
-    "op6_line_dedup": f"""
-        with parts as (
-            select doc_id, source, string_split(text, chr(10)) as parts from documents
-        ), rows as (
-            select doc_id, coalesce(source, '') as site, unnest(parts) as line, generate_subscripts(parts, 1) as at
-            from parts
-        ), wide as (
-            select trim(line, ' ') as k from rows where trim(line, ' ') <> ''
-            group by 1 having count(distinct site) >= {lines.SITES}
-        ), marked as (
-            select r.doc_id, r.line, r.at,
-                w.k is not null and row_number() over (partition by trim(r.line, ' ') order by r.doc_id, r.at) > 1 as gone
-            from rows r left join wide w on trim(r.line, ' ') = w.k
-        ), kept as (
-            select doc_id, count(*) as n_lines, count(*) filter (gone) as n_removed,
-                coalesce(string_agg(line, chr(10) order by at) filter (not gone), '') as text
-            from marked group by doc_id
-        )
-        select d.doc_id, coalesce(k.n_lines, 0) as n_lines, coalesce(k.n_removed, 0) as n_removed,
-            case when d.text is null then null else k.text end as text
-        from documents d left join kept k on d.doc_id = k.doc_id""",
-    "op10_one_bit_search": """
-        with v as (
-            select vec_id, list_transform(embedding, x -> cast(x as double)) as e from embeddings
-            where vec_id is not null and embedding is not null
-                and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
-                and len(list_filter(embedding, x -> x <> 0)) > 0
-        ), scored as (
-            select q.vec_id as query_id, c.vec_id, list_inner_product(q.e, c.e) as score
-            from v q join v c on q.vec_id <> c.vec_id and len(q.e) = len(c.e) where q.vec_id % 20 = 0
-        ), ranked as (
-            select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank
-            from scored
-        )
-        select query_id, rank, vec_id, round(score, 9) as score from ranked where rank <= 20""",
-}

@@ -191,8 +191,7 @@ def look_up(docs: DataFrame, known: DataFrame, window: int) -> DataFrame:
     """Covered words by blocks, and windows still to look up, of the documents in ``known``.
 
     ``known`` has ``o, t, refs`` (block starts that are first places) and ``doubles`` (anchors that
-    occur elsewhere).  The words come along where windows are left, else only the digest of
-    what is not covered.
+    occur elsewhere).  The words come along for the digest of what stays.
     """
     rows = _identified(docs).join(known, ["o", "t"])
     rows = rows.select("o", "t", _hashed(F.col("words")).alias("hashes"), "refs", "doubles", F.array_join("words", " ").alias("joined"))
