@@ -142,12 +142,33 @@ def coerce(
     return without_nulls(cast, required) if required else cast
 
 
+def cast_rejects(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
+    """Per column the values that are there but cannot be cast: ``column_name, type, rejected``."""
+    present = {c: t for c, t in types.items() if c in df.columns}
+    counts = df.agg(
+        *[F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()).alias(c) for c, t in present.items()]
+    )
+    rows = [
+        F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("type"), F.col(c).alias("rejected"))
+        for c, t in present.items()
+    ]
+    return counts.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
+def _rating_in_bounds(rules: CleanRules) -> Column:
+    """Whether the rating, as it is after the cast, is in the range; false if it cannot be cast."""
+    rating = F.col("rating")
+    if "rating" in rules.types:
+        rating = rating.try_cast(rules.types["rating"])
+    return F.coalesce(rating.between(rules.low, rules.high), F.lit(False))
+
+
 def clean(df: DataFrame, rules: CleanRules = CleanRules()) -> DataFrame:
     """Pick, drop nulls, drop duplicates, cast, filter the range."""
     picked = pick(df, rules.required, rules.optional)
     kept = without_nulls(picked, None if rules.nulls == "any" else rules.required)
     if rules.filter_first:
-        kept = in_range(kept, rules.low, rules.high)
+        kept = kept.filter(_rating_in_bounds(rules))
     unique = dedup(kept, rules.duplicates)
     typed = coerce(unique, rules.types, rules.required)
     return typed if rules.filter_first else in_range(typed, rules.low, rules.high)
@@ -163,7 +184,7 @@ def clean_audit(df: DataFrame, rules: CleanRules = CleanRules()) -> DataFrame:
     picked = pick(df, rules.required, rules.optional)
     columns = picked.columns
     checked = columns if rules.nulls == "any" else list(rules.required)
-    in_bounds = F.col("rating").between(rules.low, rules.high)
+    in_bounds = _rating_in_bounds(rules)
     early = F.when(any_null(*checked), F.lit("null"))
     if rules.filter_first:
         early = early.when(~in_bounds, F.lit("range"))
@@ -181,8 +202,9 @@ def clean_audit(df: DataFrame, rules: CleanRules = CleanRules()) -> DataFrame:
     )
     castable = F.lit(True)
     for c in rules.required:
-        if c in rules.types and c != "rating":
-            castable = castable & F.col(f"_g_{c}").try_cast(rules.types[c]).isNotNull()
+        if c in rules.types:
+            value = F.col("rating") if c == "rating" else F.col(f"_g_{c}")
+            castable = castable & value.try_cast(rules.types[c]).isNotNull()
     removed = groups.agg(
         F.sum("_n").alias("total"),
         F.sum(F.when(F.col("_early") == "null", F.col("_n"))).alias("null"),

@@ -57,7 +57,10 @@ def encode(df: DataFrame, indexes: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def cast_codes(df: DataFrame, codes: Mapping[str, str] = CODES) -> DataFrame:
-    """Numeric ids straight to int codes; rows without a valid code are dropped."""
+    """Numeric ids straight to int codes; rows without a valid code are dropped.
+
+    ``clean.cast_rejects`` with the id columns as ``int`` counts the ids that are left out.
+    """
     cast = df.withColumns({out: F.col(c).try_cast("int") for c, out in codes.items()})
     return cast.na.drop(subset=list(codes.values()))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tasteloom.operators.ranking import count_rank
 from tasteloom.operators.relate import attach
+from tasteloom.shared import settle
 from tasteloom.spread import spread_joins
 
 
@@ -103,15 +104,19 @@ def with_frequency(users: DataFrame, weighting: str = "rows") -> DataFrame:
 
 def interaction_frequency(df: DataFrame, weighting: str = "rows") -> DataFrame:
     """Every rating row with the scaled activity of its user."""
-    users = with_frequency(user_features(df), weighting)
+    df = settle(df)
+    users = settle(with_frequency(settle(user_features(df)), weighting))
     return attach(df, users.select("user_id", "interaction_frequency"), "user_id")
 
 
 def ranked_features(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """User and product features with their ranks and the interaction frequency."""
-    users = count_rank(with_frequency(user_features(df)), "user_activity_score", "user_rank")
-    products = count_rank(product_features(df), "product_popularity", "product_rank")
-    return users, products
+    """User and product features with their ranks and the interaction frequency.
+
+    Both tables are written once: the mean, the deviation and the ranks read them again.
+    """
+    users = count_rank(with_frequency(settle(user_features(df))), "user_activity_score", "user_rank")
+    products = count_rank(settle(product_features(df)), "product_popularity", "product_rank")
+    return settle(users), settle(products)
 
 
 def _attach_both(df: DataFrame, users: DataFrame, products: DataFrame) -> DataFrame:
@@ -120,22 +125,26 @@ def _attach_both(df: DataFrame, users: DataFrame, products: DataFrame) -> DataFr
 
 def rank_features(df: DataFrame) -> DataFrame:
     """Every rating row with the ranks of its user and its product."""
+    df = settle(df)
     users, products = ranked_features(df)
     return _attach_both(
         df, users.select("user_id", "user_rank"), products.select("product_id", "product_rank")
     )
 
 
+TRAINING_TYPES = {"user_id": "int", "product_id": "int", "rating": "float"}
+
+
 def training_frame(df: DataFrame) -> DataFrame:
-    """Ids as int and rating as float, the form MLlib's ALS takes."""
-    return df.select(
-        F.col("user_id").try_cast("int").alias("user_id"),
-        F.col("product_id").try_cast("int").alias("product_id"),
-        F.col("rating").cast("float").alias("rating"),
-    ).na.drop()
+    """Ids as int and rating as float, the form MLlib's ALS takes.
+
+    Rows that cannot be cast are left out; ``clean.cast_rejects`` with these types counts them.
+    """
+    return df.select(*[F.col(c).try_cast(t).alias(c) for c, t in TRAINING_TYPES.items()]).na.drop()
 
 
 def enrich(df: DataFrame) -> DataFrame:
     """Every rating row with all user and product features, frequency and ranks."""
+    df = settle(df)
     users, products = ranked_features(df)
     return _attach_both(df, users, products)

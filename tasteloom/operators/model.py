@@ -13,12 +13,16 @@ from tasteloom.operators.clean import scored_only
 from tasteloom.shared import shared_root
 
 
+# Ratings in one block of users or items, which the solver holds in arrays.
+BLOCK_ROWS = 5_000_000
+
+
 @dataclass(frozen=True)
 class AlsSpec:
     """Settings of an ALS fit.
 
-    ``alpha`` matters only with ``implicit``.  Without ``blocks`` there is one
-    block per core, between 10 and 1,000.
+    ``alpha`` matters only with ``implicit``.  Without ``blocks`` their number follows the
+    ratings, ``BLOCK_ROWS`` to a block, 10 at least.
     """
 
     rank: int = 10
@@ -35,8 +39,8 @@ class AlsSpec:
     item: str = "product_id"
     rating: str = "rating"
 
-    def estimator(self, cores: int = 10) -> ALS:
-        blocks = self.blocks or max(10, min(cores, 1_000))
+    def estimator(self, rows: int = 0) -> ALS:
+        blocks = self.blocks or max(10, -(-rows // BLOCK_ROWS))
         return ALS(
             rank=self.rank,
             maxIter=self.iterations,
@@ -63,10 +67,9 @@ FAST = AlsSpec(rank=5, iterations=10)
 
 def fit(train: DataFrame, spec: AlsSpec = FULL) -> ALSModel:
     """Fit ALS on int ids; the factors are checkpointed in the shared folder."""
-    spark = train.sparkSession
-    shared_root(spark)
+    shared_root(train.sparkSession)
     rows = train.select(spec.user, spec.item, F.col(spec.rating).cast("float").alias(spec.rating))
-    return spec.estimator(spark.sparkContext.defaultParallelism).fit(rows)
+    return spec.estimator(0 if spec.blocks else rows.count()).fit(rows)
 
 
 def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ from tasteloom.operators.ranking import top_k, top_n
 from tasteloom.operators.relate import with_each, with_ids
 from tasteloom.operators.stats import popularity_score
 from tasteloom.shared import settle
+from tasteloom.spread import spread_join
 
 # Executors need not have this package: the functions below travel with the job.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -24,13 +25,24 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 USER, ITEM, SEEN = 0, 1, 2
 # Scores that a task holds at once.
 CELLS = 8_388_608
+# Rated pairs between a block of users and a block of items, on average at most.
+RATED = 2_000_000
+# Pairs of blocks that a task works through, one after the other.
+BLOCK_PAIRS = 64
 
 
 def recommend_users(model: ALSModel, n: int = 10, users: DataFrame | None = None) -> DataFrame:
-    """Top-``n`` items as an array per user, for all users or for those given."""
-    if users is None:
-        return model.recommendForAllUsers(n)
-    return model.recommendForUserSubset(users, n)
+    """Top-``n`` items as an array per user, for all users or for those given.
+
+    Works in blocks, as ``recommend_unseen`` does, with nothing to leave out.
+    """
+    user, item = model.getOrDefault("userCol"), model.getOrDefault("itemCol")
+    nothing = model.userFactors.select(F.col("id").alias(user), F.col("id").alias(item)).filter(F.lit(False))
+    best = recommend_unseen(model, nothing, n, user, item, users=users)
+    entry = F.struct("rank", F.col(item), F.col("prediction").alias("rating"))
+    lists = best.groupBy(user).agg(F.sort_array(F.collect_list(entry)).alias("_all"))
+    bare = F.transform("_all", lambda e: F.struct(e[item].alias(item), e["rating"].alias("rating")))
+    return lists.select(user, bare.alias("recommendations"))
 
 
 def _best(scores: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -94,29 +106,28 @@ def recommend_unseen(
 ) -> DataFrame:
     """The ``n`` best items per user that the user has not rated.
 
-    Users and items are cut into blocks of about the given sizes.  A task gets
-    one user block, one item block and the rated pairs between the two, and passes on
-    ``n`` items per user, so neither a user with a huge history nor an item that
-    everybody rated makes a task larger than its blocks.  The lists of the item
-    blocks are then merged per user.  Few users are cut into smaller blocks, so
-    that all cores have work.
+    Users and items are cut into blocks of about the given sizes.  A group of rows is
+    one user block, one item block and the rated pairs between the two; it passes on
+    ``n`` items per user.  User blocks get smaller where there are many ratings, so that
+    a group has about ``RATED`` of them at most.  The lists of the item blocks are then
+    merged per user.  Few users are cut into smaller blocks, so that all cores have work.
     """
     factors, items = model.userFactors, model.itemFactors
     rated = seen.select(F.col(user).cast("int").alias("id"), F.col(item).cast("int").alias("other"))
     if users is not None:
         wanted = users.select(F.col(user).cast("int").alias("id")).distinct()
         factors = factors.join(wanted, "id", "left_semi")
-        rated = rated.join(wanted, "id", "left_semi")
+        rated = spread_join(rated, wanted, ["id"], "left_semi", identity=["other"])
+    rated = settle(rated.distinct(), "rated")
     spark = seen.sparkSession
     cores = spark.sparkContext.defaultParallelism
     people = factors.count()
     item_blocks = max(1, math.ceil(items.count() / item_block))
     spread = min(math.ceil(cores / item_blocks), math.ceil(people / 256))
-    user_blocks = max(1, math.ceil(people / user_block), spread)
-    tasks = min(
-        4 * user_blocks * item_blocks,
-        max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * cores),
-    )
+    dense = math.ceil(rated.count() / (item_blocks * RATED))
+    user_blocks = max(1, math.ceil(people / user_block), spread, dense)
+    pairs = user_blocks * item_blocks
+    tasks = max(min(pairs, 4 * cores), math.ceil(pairs / BLOCK_PAIRS))
 
     def at(column: str, blocks: int) -> Column:
         return F.pmod(F.xxhash64(column), F.lit(blocks).cast("long")).cast("int")
@@ -136,7 +147,7 @@ def recommend_unseen(
         )
         .unionByName(
             part(
-                rated.distinct(), SEEN, at("id", user_blocks), at("other", item_blocks),
+                rated, SEEN, at("id", user_blocks), at("other", item_blocks),
                 F.col("other"), nothing,
             )
         )

@@ -19,7 +19,8 @@ def attach(df: DataFrame, features: DataFrame, key: str, how: str = "left") -> D
 def hits(recs: DataFrame, test: DataFrame, threshold: float = 4.0) -> DataFrame:
     """Relevant test rows whose pair was recommended."""
     wanted = relevant(test, threshold).select(*PAIR, "rating")
-    return spread_join(wanted, recs.select(*PAIR).distinct(), list(PAIR))
+    # A pair occurs once on either side, so no key is hot.
+    return wanted.join(recs.select(*PAIR).distinct(), list(PAIR))
 
 
 def unseen(candidates: DataFrame, ratings: DataFrame) -> DataFrame:
@@ -43,7 +44,7 @@ def candidate_counts(ratings: DataFrame) -> DataFrame:
 def products_not_rated(ratings: DataFrame, user) -> DataFrame:
     """All products except the user's own."""
     own = ratings.filter(F.col("user_id") == F.lit(user)).select("product_id")
-    return ratings.select("product_id").subtract(own)
+    return ratings.select("product_id").distinct().subtract(own.distinct())
 
 
 def candidates_of(ratings: DataFrame, user) -> DataFrame:

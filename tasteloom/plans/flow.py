@@ -11,9 +11,9 @@ from tasteloom.operators.clean import CleanRules
 from tasteloom.operators.model import FULL, AlsSpec, save_model
 from tasteloom.plans.explore import save_exploration
 from tasteloom.plans.train import evaluation_report, train, train_report
-from tasteloom.shared import settle
+from tasteloom.shared import scratch, settle
 from tasteloom.sources.readers import first_rows
-from tasteloom.sources.writers import write_csv_single, write_parquet, write_report
+from tasteloom.sources.writers import write_csv, write_csv_single, write_parquet, write_report
 
 
 @dataclass(frozen=True)
@@ -39,9 +39,16 @@ def run(
     """Clean, explore, train, evaluate, recommend; everything goes below ``base``.
 
     The clean table is written once and every later step reads it.  ``sample``
-    trains on a share of the raw rows.  Recommendations go to a folder of the run.
+    trains on a share of the raw rows.  Recommendations go to a folder of the run.  Intermediate
+    tables are removed at the end.
     """
-    base = base.rstrip("/")
+    with scratch(raw.sparkSession):
+        return _run(raw, base.rstrip("/"), run_id, rules, spec, n, sample, explore)
+
+
+def _run(
+    raw: DataFrame, base: str, run_id: str, rules: CleanRules, spec: AlsSpec, n: int, sample: float | None, explore: bool
+) -> Written:
     rows = clean.sample_rows(raw, sample) if sample else raw
     clean_path = write_parquet(clean.clean(rows, rules), f"{base}/clean")
     ratings = raw.sparkSession.read.parquet(clean_path)
@@ -56,9 +63,17 @@ def run(
     return Written(clean_path, model_path, reports, lists)
 
 
-def run_popular(raw: DataFrame, path: str, head: int = 10_000, users: int = 100, n: int = 10) -> str:
-    """Popular products for the first users of a file's first rows, as one CSV file."""
-    rows = first_rows(raw, raw.columns, head)
-    known = settle(clean.positive(clean.fill_numbers(clean.dedup(rows, "exact"))))
-    lists = recommend.recommend_popular(known, ranking.first_users(known, users), n)
-    return write_csv_single(lists, path, rows=users * n)
+def run_popular(
+    raw: DataFrame, path: str, head: int | None = None, users: int | None = None, n: int = 10
+) -> str:
+    """Popular products for every user as CSV.
+
+    ``head`` takes the first rows only and ``users`` the first users only; with ``users`` the result
+    is bounded and is written as a single file.
+    """
+    with scratch(raw.sparkSession):
+        rows = first_rows(raw, raw.columns, head) if head else raw
+        known = settle(clean.positive(clean.fill_numbers(clean.dedup(rows, "exact"))))
+        people = ranking.first_users(known, users) if users else known.select("user_id").distinct()
+        lists = recommend.recommend_popular(known, people, n)
+        return write_csv_single(lists, path, rows=users * n) if users else write_csv(lists, path, header=True)

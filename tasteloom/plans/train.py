@@ -31,6 +31,7 @@ class Trained:
     """A fitted model with the rows and indexes it belongs to."""
 
     model: ALSModel
+    coded: DataFrame
     train: DataFrame
     test: DataFrame
     indexes: dict[str, DataFrame]
@@ -41,10 +42,12 @@ class Trained:
         return predict(self.model, self.test)
 
     def lists(self, n: int = 10) -> DataFrame:
-        """The best ``n`` unseen products per user, with the original ids."""
-        return decode(settle(self.coded_lists(n)), self.indexes)
+        """The best ``n`` products per user that the user has not rated, with the original ids."""
+        best = recommend_unseen(self.model, self.coded, n, self.spec.user, self.spec.item)
+        return decode(settle(best), self.indexes)
 
     def coded_lists(self, n: int = 10) -> DataFrame:
+        """Lists for evaluation: only what was trained on is left out, held-out rows may appear."""
         return recommend_unseen(self.model, self.train, n, self.spec.user, self.spec.item)
 
 
@@ -68,7 +71,7 @@ def train(ratings: DataFrame, spec: AlsSpec = FULL, share: float = 0.8, how: str
     started = time.monotonic()
     path = save_model(fit(train_rows, spec), new_path(ratings.sparkSession, "als"))
     seconds = time.monotonic() - started
-    return Trained(load_model(path), train_rows, test_rows, indexes, spec, seconds)
+    return Trained(load_model(path), coded, train_rows, test_rows, indexes, spec, seconds)
 
 
 def train_report(trained: Trained, path: str | None = None) -> DataFrame:

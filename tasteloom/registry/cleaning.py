@@ -105,6 +105,19 @@ def cast_types(spark, folder):
     return clean.coerce(feeds.dirty_feed(spark, folder), types, clean.REQUIRED)
 
 
+@query(
+    "cast_rejects",
+    """SELECT 'user_id' AS column_name, 'int' AS type, count(*) FILTER (WHERE user_id IS NOT NULL
+              AND try_cast(user_id AS int) IS NULL) AS rejected FROM dirty_feed
+       UNION ALL SELECT 'product_id', 'int', count(*) FILTER (WHERE product_id IS NOT NULL
+              AND try_cast(product_id AS int) IS NULL) FROM dirty_feed
+       UNION ALL SELECT 'rating', 'float', count(*) FILTER (WHERE rating IS NOT NULL
+              AND try_cast(rating AS float) IS NULL) FROM dirty_feed""",
+)
+def cast_rejects(spark, folder):
+    return clean.cast_rejects(feeds.dirty_feed(spark, folder), clean.CleanRules().types)
+
+
 @query(
     "drop_missing_predictions",
     """SELECT user_id, product_id, rating, prediction FROM partial_predictions

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tasteloom.operators import features
+from tasteloom.operators import clean, features
 from tasteloom.registry.book import query
 from tasteloom.sources import feeds
 
@@ -62,6 +62,20 @@ def als_training_frame(spark, folder):
     return features.training_frame(feeds.orders_feed(spark, folder))
 
 
+@query(
+    "training_rejects",
+    """SELECT 'user_id' AS column_name, 'int' AS type, count(*) FILTER (WHERE user_id IS NOT NULL
+              AND try_cast(user_id AS int) IS NULL) AS rejected FROM dirty_feed
+       UNION ALL SELECT 'product_id', 'int', count(*) FILTER (WHERE product_id IS NOT NULL
+              AND try_cast(product_id AS int) IS NULL) FROM dirty_feed
+       UNION ALL SELECT 'rating', 'float', count(*) FILTER (WHERE rating IS NOT NULL
+              AND try_cast(rating AS float) IS NULL) FROM dirty_feed""",
+)
+def training_rejects(spark, folder):
+    """What the training frame leaves out because it cannot be cast."""
+    return clean.cast_rejects(feeds.dirty_feed(spark, folder), features.TRAINING_TYPES)
+
+
 @query(
     "feature_table",
     """SELECT f.user_id, f.product_id, f.rating, f.ts, u.* EXCLUDE (user_id), p.* EXCLUDE (product_id)

@@ -55,6 +55,108 @@ def encode_cast(spark, folder):
     return encode.cast_codes(feeds.dirty_feed(spark, folder))
 
 
+@query(
+    "encode_rejects",
+    """SELECT 'user_id' AS column_name, 'int' AS type, count(*) FILTER (WHERE user_id IS NOT NULL
+              AND try_cast(user_id AS int) IS NULL) AS rejected FROM dirty_feed
+       UNION ALL SELECT 'product_id', 'int', count(*) FILTER (WHERE product_id IS NOT NULL
+              AND try_cast(product_id AS int) IS NULL) FROM dirty_feed""",
+)
+def encode_rejects(spark, folder):
+    """Ids that have no int code."""
+    return clean.cast_rejects(feeds.dirty_feed(spark, folder), dict.fromkeys(encode.CODES, "int"))
+
+
+@query("encode_hash_codes", "SELECT count(DISTINCT user_id) AS users, 0 AS users_with_two_codes FROM orders_feed")
+def encode_hash_codes(spark, folder):
+    """An id has one hash code wherever it occurs."""
+    coded = encode.hash_codes(feeds.orders_feed(spark, folder))
+    codes = coded.groupBy("user_id").agg(F.count_distinct("user_idx").alias("n"))
+    return codes.agg(
+        F.count(F.lit(1)).alias("users"), F.count_if(F.col("n") > 1).cast("int").alias("users_with_two_codes")
+    )
+
+
+@query(
+    "hash_collision_ids",
+    """SELECT 'user_id' AS column_name, count(DISTINCT user_id) AS ids, true AS codes_fit FROM orders_feed
+       UNION ALL SELECT 'product_id', count(DISTINCT product_id), true FROM orders_feed""",
+)
+def hash_collision_ids(spark, folder):
+    """Codes and ids that share one add up: as many codes as ids, less what collides at most."""
+    found = encode.hash_collisions(feeds.orders_feed(spark, folder))
+    lost = F.col("ids") - F.col("codes")
+    return found.select("column_name", "ids", ((lost >= 0) & (lost <= F.col("colliding_ids"))).alias("codes_fit"))
+
+
+@query("split_random_rows", "SELECT count(*) AS rows, 0 AS in_both FROM (SELECT DISTINCT * FROM orders_feed)")
+def split_random_rows(spark, folder):
+    """A random split deals every row to one part."""
+    rows = feeds.orders_feed(spark, folder).distinct()
+    known, held_out = split.split(rows, how="random")
+    both = known.join(held_out, known.columns, "left_semi").agg(F.count(F.lit(1)).cast("int").alias("in_both"))
+    sizes = known.unionByName(held_out).agg(F.count(F.lit(1)).alias("rows"))
+    return sizes.withColumn("in_both", both.scalar())
+
+
+KNOWN = "user_id IN (SELECT user_id FROM train) AND product_id IN (SELECT product_id FROM train)"
+
+
+@query(
+    "als_facts",
+    f"""SELECT (SELECT count(*) FROM test WHERE {KNOWN}) AS predictions,
+               (SELECT count(*) FROM test WHERE {KNOWN}) AS finite,
+               (SELECT count(*) FROM train) AS train_rows, (SELECT count(*) FROM test) AS test_rows""",
+)
+def als_facts(spark, folder):
+    """One finite prediction for every test row whose user and product were trained on."""
+    trained = fitted(spark, folder)
+    score = F.col("prediction")
+    finite = F.count_if(~F.isnan(score) & (F.abs(score) < float("inf")))
+    found = trained.predictions().agg(F.count(F.lit(1)).alias("predictions"), finite.alias("finite"))
+    rows = lambda df: df.agg(F.count(F.lit(1))).scalar()
+    return found.select("*", rows(trained.train).alias("train_rows"), rows(trained.test).alias("test_rows"))
+
+
+@query(
+    "recommend_unseen_facts",
+    """SELECT count(*) AS users, cast(sum(least(10, t.n - coalesce(r.n, 0))) AS bigint) AS rows,
+              0 AS rated_pairs, 0 AS gaps
+       FROM (SELECT DISTINCT user_id FROM train) u
+            LEFT JOIN (SELECT user_id, count(DISTINCT product_id) AS n
+                       FROM (SELECT user_id, product_id FROM train UNION ALL SELECT user_id, product_id FROM test)
+                       WHERE product_id IN (SELECT product_id FROM train) GROUP BY 1) r USING (user_id),
+            (SELECT count(DISTINCT product_id) AS n FROM train) t
+       WHERE t.n > coalesce(r.n, 0)""",
+)
+def recommend_unseen_facts(spark, folder):
+    """Every trained user has a full list, ranked without gaps, of products the user never rated."""
+    trained = fitted(spark, folder)
+    lists = settle(trained.lists(10))
+    rated = lists.join(
+        trained.coded.select("user_id", "product_id").distinct(), ["user_id", "product_id"], "left_semi"
+    ).agg(F.count(F.lit(1)).cast("int"))
+    users = lists.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.max("rank").alias("last"))
+    return users.agg(
+        F.count(F.lit(1)).alias("users"),
+        F.sum("n").alias("rows"),
+        F.count_if(F.col("n") != F.col("last")).cast("int").alias("gaps"),
+    ).withColumn("rated_pairs", rated.scalar())
+
+
+@query(
+    "recommend_users_facts",
+    """SELECT count(DISTINCT user_id) AS users, count(DISTINCT user_id) * least(10, (
+              SELECT count(DISTINCT product_id) FROM train)) AS rows FROM train""",
+)
+def recommend_users_facts(spark, folder):
+    """Every trained user has a full list."""
+    nested = recommend.recommend_users(fitted(spark, folder).model, 10)
+    return nested.agg(
+        F.count(F.lit(1)).alias("users"), F.sum(F.size("recommendations")).cast("long").alias("rows")
+    )
+
+
 @query(
     "index_cardinality",
     """SELECT count(DISTINCT user_id) AS distinct_user_idx, count(DISTINCT product_id) AS distinct_item_idx
@@ -151,7 +253,7 @@ def flatten_recommendations(spark, folder):
 def recommend_one_user(spark, folder):
     """For the most active user, whose code is 0."""
     trained = fitted(spark, folder)
-    best = recommend.recommend_one(trained.model, trained.train, 0, 10, "user_idx", "item_idx")
+    best = recommend.recommend_one(trained.model, trained.coded, 0, 10, "user_idx", "item_idx")
     return train.decode(settle(best), trained.indexes).select("user_id", "product_id", "prediction")
 
 

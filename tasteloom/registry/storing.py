@@ -127,14 +127,35 @@ def model_save_load(spark, folder):
     return predict(again, training_frame(test))
 
 
+@query(
+    "model_reload",
+    """SELECT count(*) AS predictions, 0 AS changed FROM test
+       WHERE user_id IN (SELECT user_id FROM train) AND product_id IN (SELECT product_id FROM train)""",
+)
+def model_reload(spark, folder):
+    """Predictions that differ after the model was written and read again."""
+    train, test = inputs.train_test(spark, folder)
+    model = fit(training_frame(train), FAST)
+    again = load_model(save_model(model, new_path(spark, "als")))
+    before = predict(model, training_frame(test)).withColumnRenamed("prediction", "before")
+    after = predict(again, training_frame(test))
+    both = before.join(after, ["user_id", "product_id", "rating"])
+    changed = F.count_if(F.col("before") != F.col("prediction")).cast("int")
+    return both.agg(F.count(F.lit(1)).alias("predictions"), changed.alias("changed"))
+
+
 @query("repartition_target", FEED_SQL)
 def repartition_target(spark, folder):
     return writers.resize(feeds.orders_feed(spark, folder))
 
 
+def _session_partitions(spark):
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 @query("repartition_fixed", FEED_SQL)
 def repartition_fixed(spark, folder):
-    return writers.resize(feeds.orders_feed(spark, folder), 10)
+    return writers.resize(feeds.orders_feed(spark, folder), _session_partitions(spark))
 
 
 @query(
@@ -143,15 +164,21 @@ def repartition_fixed(spark, folder):
 )
 def persist_level(spark, folder):
     with writers.held(feeds.orders_feed(spark, folder)) as feed:
-        by_rating = feed.groupBy("rating").agg(
-            F.count(F.lit(1)).alias("ratings"), F.count_distinct("user_id").alias("users")
-        )
-        return settle(by_rating)
+        ratings = feed.groupBy("rating").agg(F.count(F.lit(1)).alias("ratings"))
+        users = feed.select("rating", "user_id").distinct().groupBy("rating").agg(F.count("user_id").alias("users"))
+        return settle(ratings.join(users, "rating"))
 
 
 @query("partition_stats")
 def partition_stats(spark, folder):
-    return writers.partition_stats(writers.resize(feeds.orders_feed(spark, folder), 10))
+    return writers.partition_stats(writers.resize(feeds.orders_feed(spark, folder)))
+
+
+@query("partition_rows", "SELECT count(*) AS rows, true AS largest_within FROM orders_feed")
+def partition_rows(spark, folder):
+    """Rows over all partitions; none has more rows than there are."""
+    summary = writers.partition_summary(writers.resize(feeds.orders_feed(spark, folder)))
+    return summary.select("rows", (F.col("max_rows") <= F.col("rows")).alias("largest_within"))
 
 
 @query("preview", FEED_SQL + " ORDER BY user_id, product_id, ts, rating LIMIT 20")

@@ -1,17 +1,21 @@
 """Where intermediate tables go: the folder every executor can reach.
 
-The folder is the session's ``spark.checkpoint.dir``.  Only a ``local[...]``
-session without that setting gets a temporary folder of its own.
+The folder is the session's ``spark.checkpoint.dir``.  Only a ``local[...]`` session without
+that setting uses a folder in its warehouse.  What a run writes there can be removed with it
+(``scratch``); the rest goes when the Python process ends.
 """
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import contextlib
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+_made: list[str] = []
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -24,7 +28,7 @@ def shared_root(spark: SparkSession) -> str:
     if not root:
         if not context.master.startswith("local"):
             raise RuntimeError(f"set {SETTING} to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="tasteloom-")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/shared"
     if current is None:
         context.setCheckpointDir(root)
     return root
@@ -32,7 +36,9 @@ def shared_root(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no earlier run has used."""
-    return f"{shared_root(spark).rstrip('/')}/tasteloom/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark).rstrip('/')}/tasteloom/{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
 
 
 def settle(df: DataFrame, label: str = "settled") -> DataFrame:
@@ -45,3 +51,30 @@ def settle(df: DataFrame, label: str = "settled") -> DataFrame:
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Delete intermediate tables, wherever the shared folder is."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables written inside the block are deleted at its end."""
+    before = len(_made)
+    try:
+        yield
+    finally:
+        remove(spark, _made[before:])
+        del _made[before:]
+
+
+@atexit.register
+def _at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and _made:
+        with contextlib.suppress(Exception):  # the session may have ended before
+            remove(spark, _made)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
@@ -10,6 +9,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tasteloom.shared import settle
+
 
 def write_csv(df: DataFrame, path: str, header: bool = False) -> str:
     df.write.mode("overwrite").option("header", header).csv(path)
@@ -18,9 +19,10 @@ def write_csv(df: DataFrame, path: str, header: bool = False) -> str:
 
 def write_csv_single(df: DataFrame, path: str, rows: int, header: bool = True) -> str:
     """One CSV file.  Only for bounded results: more than ``rows`` rows is an error."""
-    if df.limit(rows + 1).count() > rows:
+    kept = settle(df.limit(rows + 1), "single")
+    if kept.count() > rows:
         raise ValueError(f"more than {rows} rows; write a distributed CSV instead")
-    return write_csv(df.coalesce(1), path, header)
+    return write_csv(kept.coalesce(1), path, header)
 
 
 def write_parquet(df: DataFrame, base: str, run: str | None = None) -> str:
@@ -44,12 +46,6 @@ def write_tables(tables: Mapping[str, DataFrame], base: str, fmt: str = "parquet
     return paths
 
 
-def target_partitions(size_mb: float, current: int, target_mb: int = 128, cap: int | None = None) -> int:
-    """Partitions of about ``target_mb``, never fewer than now, at most ``cap``."""
-    wanted = max(math.ceil(size_mb / target_mb), current, 1)
-    return min(wanted, cap) if cap else wanted
-
-
 def resize(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """A fixed number of partitions, or partitions of the session's advisory size.
 

@@ -17,32 +17,47 @@ from pyspark.sql import functions as F
 
 from tasteloom.shared import settle
 
-# A key with more rows than this is split into slices of about this size.
-HOT_ROWS = 2_000_000
-# The list of hot keys is broadcast, so its length is bounded.  A key that is not
-# among the 50,000 largest owns less than one 50,000th of the rows.
-MAX_HOT_KEYS = 50_000
-# Rows with a null key match nothing; an outer join may put them anywhere.
-NULL_SLICES = 4_096
+# A key with more rows than this, and with more than one such part of all rows, is split into
+# slices of about this size.
+HOT_ROWS, HOT_PART = 2_000_000, 50_000
+
+
+def _counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+
+
+def _limit(counts: DataFrame, hot_rows: int | None) -> Column:
+    """Rows above which a key is hot: ``hot_rows`` if given, else it grows with the table."""
+    if hot_rows:
+        return F.lit(hot_rows).cast("long")
+    share = F.ceil(F.sum("_rows") / HOT_PART)
+    return counts.agg(F.greatest(F.lit(HOT_ROWS).cast("long"), F.coalesce(share, F.lit(0).cast("long")))).scalar()
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows and the number of slices for each."""
-    limit = hot_rows or HOT_ROWS
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > limit)
-        .orderBy(F.desc("_rows"), *keys)
-        .limit(MAX_HOT_KEYS)
-        .select(*keys, F.ceil(F.col("_rows") / limit).alias("_slices"))
-    )
+    """Keys with more rows than the limit and the number of slices for each.
+
+    Every hot key is listed.  Without ``hot_rows`` each of them owns more than one part in
+    ``HOT_PART`` of the rows, so there are fewer than 50,000 and the list can be broadcast.
+    """
+    counts = _counts(df, keys)
+    slices = F.ceil(F.col("_rows") / F.col("_limit")).alias("_slices")
+    return counts.withColumn("_limit", _limit(counts, hot_rows)).filter("_rows > _limit").select(*keys, slices)
+
+
+def _null_slices(df: DataFrame, keys: Sequence[str], hot_rows: int | None) -> Column:
+    """Slices for rows with a null key.  They match nothing; an outer join may put them anywhere."""
+    counts = _counts(df, keys)
+    none = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    rows = counts.agg(F.coalesce(F.sum(F.when(none, F.col("_rows"))), F.lit(0).cast("long")).alias("n")).scalar()
+    return F.greatest(F.lit(1).cast("long"), F.ceil(rows / _limit(counts, hot_rows)))
 
 
 def spread_joins(
     fact: DataFrame,
     joins: Sequence[tuple[DataFrame, Sequence[str], str]],
     hot_rows: int | None = None,
+    identity: Sequence[str] = (),
 ) -> DataFrame:
     """Join ``fact`` to several tables, splitting the hot keys of ``fact``.
 
@@ -51,15 +66,19 @@ def spread_joins(
     are found there, so ``fact`` is read once, plus once per join for the key columns
     alone; write an expensive ``fact`` down first (``shared.settle``).
 
-    A row's slice comes from its content and its input partition, so it is
-    the same when a task is run again and differs between copies of a row.  A
-    ``dim`` row of a hot key is repeated once per slice.
+    A row's slice comes from its keys, its input partition and the columns named by
+    ``identity``, so it is the same when a task is run again, and no other column has to be read.
+    Name columns if a hot key may fill whole input partitions, as after a shuffle on that key.
+    A ``dim`` row of a hot key is repeated once per slice.
     """
-    one, nulls = F.lit(1).cast("long"), F.lit(NULL_SLICES).cast("long")
+    one = F.lit(1).cast("long")
     columns = list(fact.columns)
-    out = fact.withColumn("_mark", F.xxhash64(*columns, F.spark_partition_id()))
+    marks = dict.fromkeys([*(k for _, keys, _ in joins for k in keys), *identity])
+    out = fact.withColumn("_mark", F.xxhash64(*marks, F.spark_partition_id()))
     for dim, keys, how in joins:
         keys = list(keys)
+        # Only outer and anti joins keep rows with a null key.
+        nulls = _null_slices(fact, keys, hot_rows) if how in ("left", "left_anti") else one
         hot = F.broadcast(hot_keys(fact, keys, hot_rows))
         no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
         slices = F.when(no_key, nulls).otherwise(F.coalesce("_slices", one))
@@ -79,9 +98,10 @@ def spread_join(
     keys: Sequence[str],
     how: str = "inner",
     hot_rows: int | None = None,
+    identity: Sequence[str] = (),
 ) -> DataFrame:
     """``spread_joins`` with a single table."""
-    return spread_joins(fact, [(dim, keys, how)], hot_rows)
+    return spread_joins(fact, [(dim, keys, how)], hot_rows, identity)
 
 
 def _placed(df: DataFrame, order: Sequence[Column]) -> DataFrame:

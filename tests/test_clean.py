@@ -86,6 +86,26 @@ def test_audit_counts_what_clean_removes(spark, small, nulls, duplicates, first)
     assert duplicate.rows_left == clean.dedup(kept, duplicates).count()
 
 
+@pytest.mark.parametrize(
+    "nulls, duplicates, first",
+    list(itertools.product(["any", "keys"], ["latest", "exact"], [False, True])),
+)
+@pytest.mark.parametrize("kind", ["double", "string"])
+def test_audit_agrees_on_values_at_the_edges(spark, kind, nulls, duplicates, first):
+    """Ratings that the cast rounds into the range, texts that cannot be cast, ids beyond int."""
+    rules = clean.CleanRules(nulls=nulls, duplicates=duplicates, filter_first=first)
+    ratings = ["5.00000001", "0.4999999999", "5.1", "3", "3", None]
+    if kind == "string":
+        ratings += ["abc", "", "4"]
+    rows_ = [(str(i % 7), "1", r, i) for i, r in enumerate(ratings)]
+    rows_ += [("99999999999", "1", "4", 1), ("x", "1", "4", None), ("1", "1", "4", 0)]
+    df = spark.createDataFrame(rows_, "user_id string, product_id string, rating string, ts long")
+    df = df.withColumn("rating", F.col("rating").cast(kind))
+    audit = clean.clean_audit(df, rules).orderBy("step_no").collect()
+    assert audit[-1].rows_left == clean.clean(df, rules).count()
+    assert sum(r.removed for r in audit) + audit[-1].rows_left == df.count()
+
+
 def test_sample_by_key_is_stable(spark, small):
     df = feeds.events_feed(spark, small)
     once = rows(clean.sample_by_key(df, ["event_id"], 20))

@@ -126,7 +126,7 @@ def test_one_user_equals_the_lists(trained):
 
 def test_lists_have_no_rated_pairs_and_falling_scores(trained):
     lists = trained.lists(10)
-    seen = trained.train.select("user_id", "product_id")
+    seen = trained.coded.select("user_id", "product_id")
     assert lists.join(seen, ["user_id", "product_id"]).count() == 0
     for r in lists.groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct("rank", "prediction"))).alias("l")).collect():
         assert [e["rank"] for e in r.l] == list(range(1, len(r.l) + 1))

@@ -52,6 +52,26 @@ def test_hot_keys_lists_only_large_keys(fact):
     assert rows(hot_keys(fact, ["k"], 50)) == [(0, 4)]
 
 
+def test_every_hot_key_is_split(spark):
+    """There may be more hot keys than any fixed list would hold."""
+    df = spark.range(180_000).select((F.col("id") % 60_000).alias("k"))
+    found = hot_keys(df, ["k"], 2)
+    assert found.count() == 60_000
+    assert found.filter("_slices <> 2").count() == 0
+
+
+def test_no_key_is_hot_in_an_empty_table(spark):
+    assert hot_keys(spark.range(0).toDF("k"), ["k"]).count() == 0
+
+
+def test_only_used_columns_are_read(spark, small):
+    lines = spark.read.parquet(f"{small}/lineitem.parquet")
+    counts = lines.groupBy("l_partkey").agg(F.count("*").alias("n"))
+    joined = spread_join(lines, counts, ["l_partkey"], "left").select("l_partkey", "n")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "l_partkey" in plan and "l_comment" not in plan and "l_quantity" not in plan
+
+
 def test_hot_key_is_spread_over_partitions(spark, fact, dim):
     """Even the copies of one row land in several partitions."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tasteloom.plans.ingest import ingest
-from tasteloom.shared import new_path, settle, shared_root
+from tasteloom.shared import new_path, scratch, settle, shared_root
 from tasteloom.sources import readers, writers
 from tests.helpers import rows
 
@@ -31,13 +31,12 @@ class FakeContext:
 
 
 def session_without_setting(master):
-    return SimpleNamespace(conf={}, sparkContext=FakeContext(master))
+    return SimpleNamespace(conf={"spark.sql.warehouse.dir": "file:/w"}, sparkContext=FakeContext(master))
 
 
-def test_only_a_local_session_gets_a_temporary_folder():
+def test_only_a_local_session_falls_back_to_its_warehouse():
     local = session_without_setting("local[2]")
-    root = shared_root(local)
-    assert os.path.isdir(root) and shared_root(local) == root
+    assert shared_root(local) == "file:/w/shared" == shared_root(local)
     with pytest.raises(RuntimeError):
         shared_root(session_without_setting("yarn"))
 
@@ -89,11 +88,11 @@ def test_json_user_ids_are_text(spark, ratings, tmp_path):
     assert df.count() == 7
 
 
-def test_partition_numbers():
-    assert writers.target_partitions(6.7 * 1024, 10) == 54
-    assert writers.target_partitions(6.7 * 1024, 80) == 80
-    assert writers.target_partitions(10**6, 10, cap=200) == 200
-    assert writers.target_partitions(0, 0) == 1
+def test_scratch_tables_go_at_the_end(spark, ratings):
+    with scratch(spark):
+        path = settle(ratings).inputFiles()[0].removeprefix("file:").removeprefix("//").rpartition("/")[0]
+        assert os.path.isdir(path)
+    assert not os.path.exists(path)
 
 
 def test_layout_keeps_rows(ratings):
