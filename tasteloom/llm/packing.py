@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from tasteloom.llm.bpe import WORDS, split_words
 from tasteloom.llm.common import small_table
+from tasteloom.shared import settle
 from tasteloom.spread import place_rows
 
 CAPACITY = 2048
@@ -305,4 +306,5 @@ def pack_documents(
     ``path`` is a tokenizer file that every executor can read.  The result has one row per piece:
     ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``.
     """
-    return pack(pieces(docs, path, capacity, end_id), capacity, groups)
+    # Written once: the range partitions sample their input before they read it.
+    return pack(settle(pieces(docs, path, capacity, end_id), "pieces"), capacity, groups)
