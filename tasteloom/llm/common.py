@@ -62,28 +62,30 @@ def mix(x: np.ndarray) -> np.ndarray:
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges`` (``a``, ``b``): ``node`` and ``root``, its smallest node.
 
-    Every round a node takes the smallest label around it and then that label's label, so
-    paths shorten fast.  Labels are written after each round; joins have plain shuffles on both
-    sides, so adaptive execution can split a node with very many neighbours.
+    Every round each node goes to the smallest node around it, and on to where that one goes; then
+    links are drawn between the nodes that are left, without repeats.  So links get few fast.  What
+    a round makes is written; joins have plain shuffles on both sides, so adaptive
+    execution can split a node with very many links.
     """
-    links = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    links = settle(links.distinct(), "links")
-    labels = links.groupBy("a").agg(F.min("b").alias("m")).select(
-        F.col("a").alias("node"), F.least("a", "m").alias("root")
-    )
-    labels = settle(labels, "labels")
-    while True:
-        near = links.join(labels, links["b"] == labels["node"]).groupBy("a").agg(F.min("root").alias("m"))
-        lower = labels.join(near, labels["node"] == near["a"]).select(
-            "node", F.col("root").alias("was"), F.least("root", "m").alias("root")
-        )
-        up = labels.select(F.col("node").alias("root"), F.col("root").alias("top"))
-        labels = settle(
-            lower.join(up, "root").select("node", F.least("root", "top").alias("root"), "was"), "labels"
-        )
-        if labels.filter(F.col("root") != F.col("was")).isEmpty():
-            return labels.select("node", "root")
-        labels = labels.drop("was")
+    low, high = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    links = settle(edges.filter("a <> b").select(low, high).distinct(), "links")
+    found = None
+    while found is None or not links.isEmpty():
+        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        hop = both.groupBy("a").agg(F.min("b").alias("m"))
+        hop = settle(hop.select(F.col("a").alias("node"), F.least("a", "m").alias("root")), "hop")
+        up = hop.select(F.col("node").alias("root"), F.col("root").alias("top"))
+        hop = settle(hop.join(up, "root").select("node", F.col("top").alias("root")), "hop")
+        if found is None:
+            found = hop
+        else:
+            on = hop.select(F.col("node").alias("root"), F.col("root").alias("top"))
+            found = settle(found.join(on, "root", "left").select("node", F.coalesce("top", "root").alias("root")), "found")
+        one = hop.select(F.col("node").alias("a"), F.col("root").alias("x"))
+        two = hop.select(F.col("node").alias("b"), F.col("root").alias("y"))
+        drawn = links.join(one, "a").join(two, "b").filter("x <> y")
+        links = settle(drawn.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "links")
+    return found
 
 
 def shared_keys(keyed: DataFrame, key: str, value: str) -> DataFrame:

@@ -200,7 +200,7 @@ def plausible(members: DataFrame, feats: DataFrame, bands: int, rows: int, simil
 
 
 def links_in(sets: list[np.ndarray], similarity: int) -> list[tuple[int, int]]:
-    """Pairs of similar sets, as few as connect all that are linked."""
+    """Pairs that connect all sets that are linked: each with the first one of its group."""
     m = len(sets)
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
     if m == 2:
@@ -231,20 +231,19 @@ def links_in(sets: list[np.ndarray], similarity: int) -> list[tuple[int, int]]:
             x = root[x]
         return x
 
-    out = []
     for a, b in zip(*np.nonzero(np.triu(linked, 1)), strict=True):
         x, y = find(int(a)), find(int(b))
         if x != y:
-            root[y] = x
-            out.append((int(a), int(b)))
-    return out
+            root[max(x, y)] = min(x, y)
+    return [(find(x), x) for x in range(m) if find(x) != x]
 
 
 def exact_links(active: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """Links ``a, b`` between classes whose full sets are similar, within the blocks of ``active``."""
+    """Pairs ``a, b`` that connect the classes whose full sets are similar, within the blocks of ``active``."""
     joined = active.join(sets, "cls").select("key", "one", "two", "cls", "words")
 
     def work(block: pa.Table) -> pa.RecordBatch | None:
+        block = block.sort_by("cls")
         cls = block.column("cls").to_numpy()
         flat, limits = lists_of(block.column("words").combine_chunks())
         found = links_in([flat[a:b] for a, b in zip(limits, limits[1:])], similarity)
@@ -292,10 +291,11 @@ def near_duplicates(
     classes = full.groupBy("key").agg(F.min("uid").alias("cls"), F.min(order).alias("least"))
     own = settle(spread_join(full.select("uid", "doc_id", "row", "n", "key"), classes, ["key"]).drop("key"), "classes")
     heads = own.filter("uid = cls").select("cls", "row", "least")
-    head_feats = settle(feats.join(heads.select("cls"), F.col("uid") == F.col("cls"), "left_semi").withColumnRenamed("uid", "cls"), "heads")
-    keyed = head_feats.select(F.explode("bands").alias("key"), "cls")
+    as_class = feats.withColumnRenamed("uid", "cls")
+    keyed = as_class.select("cls", "bands").join(heads.select("cls"), "cls", "left_semi")
+    keyed = keyed.select(F.explode("bands").alias("key"), "cls")
     members = settle(shared_keys(keyed, "key", "cls"), "buckets")
-    active = settle(plausible(blocks_of(members, slice_size), head_feats, bands, rows, similarity), "active")
+    active = settle(plausible(blocks_of(members, slice_size), as_class, bands, rows, similarity), "active")
     wanted = heads.select("row", "cls").join(active.select("cls").distinct(), "cls", "left_semi")
     sets = settle(sets_of(docs, wanted, words), "sets")
     groups = components(settle(exact_links(active, sets, similarity), "found"))
