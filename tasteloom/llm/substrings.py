@@ -132,13 +132,13 @@ def _parsed(batch_words: tuple[np.ndarray, np.ndarray], window: int) -> Iterator
 
 
 def _identified(docs: DataFrame) -> DataFrame:
-    """``doc_id, o, t, words``: ``(o, t)`` is the place in the order of documents, null ids last."""
+    """``doc_id, o, t, text``: ``(o, t)`` is the place in the order of documents, null ids last."""
     number = F.col("doc_id").cast("long")
     return docs.select(
         number.alias("doc_id"),
         F.coalesce(number, F.lit(LAST)).alias("o"),
         F.xxhash64(number, F.col("text")).alias("t"),
-        word_array(F.col("text")).alias("words"),
+        "text",
     )
 
 
@@ -154,7 +154,7 @@ def _lists(parts: list[np.ndarray], kind) -> pa.ListArray:
 
 def parse(docs: DataFrame, window: int) -> DataFrame:
     """Blocks and anchors per document, with the digest of all its words."""
-    rows = _identified(docs)
+    rows = _identified(docs).withColumn("words", word_array(F.col("text")))
     rows = rows.select(
         "doc_id", "o", "t", F.size("words").cast("long").alias("n_words"),
         F.sha2(F.array_join("words", " ").cast("binary"), 256).alias("whole"), _hashed(F.col("words")).alias("hashes"),
@@ -193,7 +193,8 @@ def look_up(docs: DataFrame, known: DataFrame, window: int) -> DataFrame:
     ``known`` has ``o, t, refs`` (block starts that are first places) and ``doubles`` (anchors that
     occur elsewhere).  The words come along for the digest of what stays.
     """
-    rows = _identified(docs).join(known, ["o", "t"])
+    # The text is sent as it is, the words are cut after the join.
+    rows = _identified(docs).join(known, ["o", "t"]).withColumn("words", word_array(F.col("text")))
     rows = rows.select("o", "t", _hashed(F.col("words")).alias("hashes"), "refs", "doubles", F.array_join("words", " ").alias("joined"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
