@@ -20,11 +20,13 @@ def explore(df: DataFrame) -> dict[str, DataFrame]:
         "rating_value_counts": stats.rating_histogram(df),
         "top_rated_products": stats.top_rated(df),
         "most_active_users": stats.most_active(df),
+        "most_reviewed_products": stats.most_reviewed(df),
         "product_popularity": stats.product_stats(df),
         "user_activity": stats.user_stats(df),
     }
     if "ts" in df.columns:
         tables["ratings_per_year"] = stats.by_period(df, "year")
+        tables["ratings_per_month"] = stats.by_period(df, "month")
         tables["year_range"] = stats.year_range(df)
     return tables
 
