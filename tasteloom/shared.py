@@ -15,6 +15,8 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+# Spark's setting to delete the shuffle files of a query when it has ended.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _made: list[str] = []
 
 
@@ -41,6 +43,28 @@ def new_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+@contextlib.contextmanager
+def _shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Queries run inside leave no shuffle files behind: what they wrote takes their place."""
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(FREE_SHUFFLES)
+        else:
+            spark.conf.set(FREE_SHUFFLES, before)
+
+
+def store(df: DataFrame, path: str) -> DataFrame:
+    """``df`` as written to ``path``; the caller may ``remove`` the path when nothing reads it any more."""
+    spark = df.sparkSession
+    with _shuffles_freed(spark):
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def settle(df: DataFrame, label: str = "settled") -> DataFrame:
     """Write ``df`` to the shared folder as Parquet and go on from the written rows.
 
@@ -48,9 +72,7 @@ def settle(df: DataFrame, label: str = "settled") -> DataFrame:
     again would be dear or both reads must agree even if an executor is lost in between
     (range partitions, random splits).  Later reads still prune columns.
     """
-    path = new_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return store(df, new_path(df.sparkSession, label))
 
 
 def remove(spark: SparkSession, paths: list[str]) -> None:
