@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tasteloom.llm.common import lists_of, mix, shared_keys, word_array
-from tasteloom.shared import settle
+from tasteloom.shared import new_path, remove, settle, store
 
 WINDOW = 20
 ANCHOR = 5
@@ -187,11 +187,40 @@ def first_places(rows: DataFrame, out: str) -> DataFrame:
     return first.select("p.*").groupBy("o", "t").agg(F.collect_list("at").alias(out))
 
 
+def _judged(starts: np.ndarray, ends: np.ndarray, joined: str) -> tuple[np.ndarray, np.ndarray, int, str]:
+    """Starts and ends of the spans, number of covered words, digest of the others."""
+    words = joined.split(" ") if joined else []
+    mark = np.zeros(len(words) + 1, dtype=np.int64)
+    np.add.at(mark, starts, 1)
+    np.add.at(mark, ends, -1)
+    gone = np.cumsum(mark[:-1]) > 0
+    edge = np.diff(np.concatenate([[0], gone.astype(np.int8), [0]]))
+    kept = joined if not gone.any() else " ".join(words[i] for i in np.flatnonzero(~gone))
+    digest = hashlib.sha256(kept.encode()).hexdigest()
+    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), int(gone.sum()), digest
+
+
+RESULT_NAMES = ["span_starts", "span_ends", "n_removed", "kept_sha256"]
+RESULT = "span_starts array<int>, span_ends array<int>, n_removed bigint, kept_sha256 string"
+
+
+def _result(judged: list) -> list[pa.Array]:
+    """The columns of ``RESULT``; None for a row without a result yet."""
+    none = np.array([], dtype=np.int64)
+    return [
+        _lists([none if j is None else j[0] for j in judged], np.int32),
+        _lists([none if j is None else j[1] for j in judged], np.int32),
+        pa.array([None if j is None else j[2] for j in judged], pa.int64()),
+        pa.array([None if j is None else j[3] for j in judged], pa.string()),
+    ]
+
+
 def look_up(docs: DataFrame, known: DataFrame, window: int) -> DataFrame:
     """Covered words by blocks, and windows still to look up, of the documents in ``known``.
 
     ``known`` has ``o, t, refs`` (block starts that are first places) and ``doubles`` (anchors that
-    occur elsewhere).  The words come along for the digest of what stays.
+    occur elsewhere).  A document with windows to look up takes its words along (``joined``); one
+    without any has its result here; one without covered words or windows is left out.
     """
     # The text is sent as it is, the words are cut after the join.
     rows = _identified(docs).join(known, ["o", "t"]).withColumn("words", word_array(F.col("text")))
@@ -201,35 +230,42 @@ def look_up(docs: DataFrame, known: DataFrame, window: int) -> DataFrame:
         for batch in batches:
             refs, ref_ends = lists_of(_longs(batch.column(3)))
             doubles, double_ends = lists_of(batch.column(4))
-            starts, ends, w1, w2, at, texts = [], [], [], [], [], []
+            out, starts, ends, w1, w2, at, texts, judged = [], [], [], [], [], [], [], []
             for a, b, p in _parsed(lists_of(batch.column(2)), window):
                 for i in range(b - a):
                     s, n = p.starts[i], int(p.lengths[i])
                     row = a + i
                     start, end = p.blocks(i)
                     own = np.isin(start - s, refs[ref_ends[row] : ref_ends[row + 1]].astype(np.int64))
-                    starts.append((start - s)[~own])
-                    ends.append((end - s)[~own])
                     places = np.arange(s, s + max(0, n - window + 1))
                     mine = np.isin(p.anchor[places], doubles[double_ends[row] : double_ends[row + 1]])
                     if len(start):
                         # The block of a window is that of the chunk in which it starts.
                         mine &= own[np.minimum(np.searchsorted(start, places, side="right") - 1, len(own) - 1)]
                     places = places[mine]
+                    covered = (start - s)[~own], (end - s)[~own]
+                    if not len(covered[0]) and not len(places):
+                        continue
+                    joined = batch.column(5)[row].as_py()
+                    out.append(row)
+                    starts.append(covered[0])
+                    ends.append(covered[1])
                     w1.append(p.hashes(0, places, window))
                     w2.append(p.hashes(1, places, window))
                     at.append(places - s)
-                    texts.append(batch.column(5)[row].as_py())
+                    texts.append(joined if len(places) else None)
+                    judged.append(None if len(places) else _judged(*covered, joined))
             lists = [_lists(starts, np.int32), _lists(ends, np.int32), _lists(w1, np.uint64), _lists(w2, np.uint64), _lists(at, np.int32)]
+            ids = [batch.column(c).take(pa.array(out, pa.int64())) for c in (0, 1)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *lists, pa.array(texts, pa.string())],
-                ["o", "t", "starts", "ends", "w1", "w2", "at", "joined"],
+                [*ids, *lists, pa.array(texts, pa.string()), *_result(judged)],
+                ["o", "t", "starts", "ends", "w1", "w2", "at", "joined", *RESULT_NAMES],
             )
 
     return rows.mapInArrow(
         run,
         "o bigint, t bigint, starts array<int>, ends array<int>, w1 array<bigint>, w2 array<bigint>, at array<int>, "
-        "joined string",
+        "joined string, " + RESULT,
     )
 
 
@@ -241,33 +277,16 @@ def finish(rows: DataFrame, window: int) -> DataFrame:
             blocks, block_limits = lists_of(_longs(batch.column(2)))
             ends, _ = lists_of(_longs(batch.column(3)))
             again, again_limits = lists_of(_longs(batch.column(4)))
-            first, last, removed, digests = [], [], [], []
+            judged = []
             for row in range(batch.num_rows):
-                joined = batch.column(5)[row].as_py()
-                words = joined.split(" ") if joined else []
-                mark = np.zeros(len(words) + 1, dtype=np.int64)
                 x = slice(block_limits[row], block_limits[row + 1])
                 y = again[again_limits[row] : again_limits[row + 1]].astype(np.int64)
-                np.add.at(mark, blocks[x].astype(np.int64), 1)
-                np.add.at(mark, ends[x].astype(np.int64), -1)
-                np.add.at(mark, y, 1)
-                np.add.at(mark, y + window, -1)
-                gone = np.cumsum(mark[:-1]) > 0
-                edge = np.diff(np.concatenate([[0], gone.astype(np.int8), [0]]))
-                first.append(np.flatnonzero(edge == 1))
-                last.append(np.flatnonzero(edge == -1))
-                removed.append(int(gone.sum()))
-                kept = joined if not removed[-1] else " ".join(words[i] for i in np.flatnonzero(~gone))
-                digests.append(hashlib.sha256(kept.encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), _lists(first, np.int32), _lists(last, np.int32),
-                 pa.array(removed, pa.int64()), pa.array(digests, pa.string())],
-                ["o", "t", "span_starts", "span_ends", "n_removed", "kept_sha256"],
-            )
+                begin = np.concatenate([blocks[x].astype(np.int64), y])
+                end = np.concatenate([ends[x].astype(np.int64), y + window])
+                judged.append(_judged(begin, end, batch.column(5)[row].as_py()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *_result(judged)], ["o", "t", *RESULT_NAMES])
 
-    return rows.select("o", "t", "starts", "ends", "again", "joined").mapInArrow(
-        run, "o bigint, t bigint, span_starts array<int>, span_ends array<int>, n_removed bigint, kept_sha256 string"
-    )
+    return rows.select("o", "t", "starts", "ends", "again", "joined").mapInArrow(run, "o bigint, t bigint, " + RESULT)
 
 
 def _longs(column) -> pa.Array:
@@ -284,21 +303,27 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     document with one result.  A null text has no words.  Other columns do not matter; an
     empty table gives no rows.
     """
-    parsed = settle(parse(docs, window), "parsed")
+    spark = docs.sparkSession
+    place = new_path(spark, "parsed")
+    parsed = store(parse(docs, window), place)
+    facts = settle(parsed.select("doc_id", "o", "t", "n_words", "whole"), "facts")
     blocks = parsed.select("o", "t", F.inline(F.arrays_zip("h1", "h2", "at")))
-    refs = first_places(blocks, "refs")
+    refs = settle(first_places(blocks, "refs"), "refs")
     doubles = shared_keys(parsed.select(F.explode("anchors").alias("anchor"), "t"), "anchor", "t")
-    doubles = doubles.groupBy("t").agg(F.collect_set("anchor").alias("doubles"))
-    marked = parsed.select("o", "t").distinct().join(doubles, "t")
-    known = marked.join(refs, ["o", "t"], "left")
-    found = settle(look_up(docs, known, window), "lookups")
+    doubles = settle(doubles.groupBy("t").agg(F.collect_set("anchor").alias("doubles")), "doubles")
+    # Blocks and anchors are the largest table of all; nothing reads them from here on.
+    remove(spark, [place])
+    marked = facts.select("o", "t").distinct().join(doubles, "t")
+    found = settle(look_up(docs, marked.join(refs, ["o", "t"], "left"), window), "lookups")
     windows = found.select("o", "t", F.inline(F.arrays_zip(F.col("w1").alias("h1"), F.col("w2").alias("h2"), "at")))
-    firsts = first_places(windows, "firsts")
-    left = found.select("o", "t", "starts", "ends", "at", "joined").join(firsts, ["o", "t"], "left")
+    firsts = settle(first_places(windows, "firsts"), "firsts")
+    left = found.filter(F.col("joined").isNotNull()).select("o", "t", "starts", "ends", "at", "joined")
+    left = left.join(firsts, ["o", "t"], "left")
     again = F.when(F.col("firsts").isNull(), F.col("at")).otherwise(F.array_except("at", "firsts"))
-    done = finish(left.withColumn("again", again), window).dropDuplicates(["o", "t"])
+    early = found.filter(F.col("joined").isNull()).select("o", "t", *RESULT_NAMES)
+    done = finish(left.withColumn("again", again), window).unionByName(early).dropDuplicates(["o", "t"])
     none = F.array().cast("array<int>")
-    return parsed.join(done, ["o", "t"], "left").select(
+    return facts.join(done, ["o", "t"], "left").select(
         "doc_id",
         "n_words",
         F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
