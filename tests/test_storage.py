@@ -1,13 +1,14 @@
 """Sources, sinks, layout and the shared folder."""
 
 import os
+import time
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from tasteloom.plans.ingest import ingest
-from tasteloom.shared import new_path, scratch, settle, shared_root
+from tasteloom.shared import FREE_SHUFFLES, new_path, remove, scratch, settle, shared_root, store
 from tasteloom.sources import readers, writers
 from tests.helpers import rows
 
@@ -95,6 +96,36 @@ def test_scratch_tables_go_at_the_end(spark, ratings):
     assert not os.path.exists(path)
 
 
+def shuffle_files(spark) -> set[str]:
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {f for f in manager.getAllFiles().mkString("\n").split("\n") if os.path.basename(f).startswith("shuffle_")}
+
+
+def test_settle_leaves_no_shuffle_files(spark, ratings):
+    before, setting = shuffle_files(spark), spark.conf.get(FREE_SHUFFLES)
+    counts = ratings.repartition(3).groupBy("user_id").count()
+    settled = settle(counts, "free")
+    until = time.monotonic() + 20
+    while shuffle_files(spark) - before and time.monotonic() < until:
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before
+    assert spark.conf.get(FREE_SHUFFLES) == setting
+    assert rows(settled) == rows(counts)
+
+
+def test_held_rows_can_be_settled_and_read_again(ratings):
+    with writers.held(ratings.groupBy("user_id").count()) as kept:
+        assert rows(settle(kept, "held")) == rows(kept)
+        assert rows(settle(kept.filter("count > 1"), "held")) == rows(kept.filter("count > 1"))
+
+
+def test_stored_table_can_be_removed_early(spark, ratings):
+    path = new_path(spark, "early")
+    assert rows(store(ratings, path)) == rows(ratings)
+    remove(spark, [path])
+    assert not os.path.exists(path)
+
+
 def test_layout_keeps_rows(ratings):
     assert rows(writers.resize(ratings)) == rows(ratings)
     assert rows(writers.resize(ratings, 3)) == rows(ratings)
