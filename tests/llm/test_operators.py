@@ -85,6 +85,21 @@ def test_repeats_at_all_offsets(spark):
     assert found == brute.repeated_words(rows)
 
 
+def test_documents_that_blocks_cover(spark):
+    """Copies, a copy with a new head, and texts that share anchors but no window with any other."""
+    draw = random.Random(12)
+    long, other = prose(draw, 400, 10**6), prose(draw, 300, 10**6)
+    few = [" ".join(other.split()[a : a + 8]) + " " + prose(draw, 12, 10**6) for a in range(0, 200, 8)]
+    rows = [(1, long), (2, long), (3, long), (3, long), (4, prose(draw, 30, 10**6) + " " + long), (5, other), (6, None)]
+    rows += [(10 + i, " ".join(few[i:])) for i in (0, 5)] + [(50 + i, t) for i, t in enumerate(few)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {r["doc_id"]: r for r in substrings.repeats(df).collect()}
+    expected = brute.repeated_words(rows)
+    assert {k: (r["n_words"], r["n_removed"], r["kept_sha256"]) for k, r in found.items()} == expected
+    assert found[2]["n_removed"] == 400 and (found[2]["span_starts"], found[2]["span_ends"]) == ([0], [400])
+    assert found[5]["n_removed"] == 0 and found[5]["span_starts"] == []
+
+
 def test_spans_name_the_removed_words(spark):
     draw = random.Random(11)
     shared = prose(draw, 40, 10**6)
