@@ -49,11 +49,13 @@ def rating_bins(df: DataFrame, column: str = "rating", n: int = 20) -> DataFrame
     return bins(df, column, n, figures)
 
 
-def kde(df: DataFrame, column: str = "rating", points: int = 200) -> DataFrame:
+def kde(df: DataFrame, column: str = "rating", points: int = 200, cells: int | None = None) -> DataFrame:
     """Gaussian density at evenly spaced points from minimum to maximum.
 
     Scott's rule sets the bandwidth.  Values are counted first, so the work is the
     number of distinct values times ``points``, and only ``points`` sums are shuffled.
+    For a column with many different values, ``cells`` cuts the range into as many cells and
+    counts every value at the middle of its cell; all rows count, and the bandwidth is exact.
     """
     x = F.col(column).cast("double")
     known = df.filter(x.isNotNull()).select(x.alias("x"))
@@ -64,7 +66,11 @@ def kde(df: DataFrame, column: str = "rating", points: int = 200) -> DataFrame:
         F.max("x").alias("hi"),
     )
     n, s, low, high = (stats.select(c).scalar() for c in ("n", "s", "lo", "hi"))
-    counts = known.groupBy("x").agg(F.count(F.lit(1)).alias("_w"))
+    at = F.col("x")
+    if cells:
+        place = F.coalesce(F.floor(F.try_divide(at - low, high - low) * cells), F.lit(0).cast("long"))
+        at = low + (F.least(place, F.lit(cells - 1).cast("long")) + 0.5) * ((high - low) / cells)
+    counts = known.select(at.alias("x")).groupBy("x").agg(F.count(F.lit(1)).alias("_w"))
     width = s * F.pow(n.cast("double"), F.lit(-0.2))
     weighted = counts.select(
         "x",
@@ -92,6 +98,19 @@ def activity_bins(users: DataFrame, n: int = 20) -> DataFrame:
     return part("activity_score").unionByName(part("avg_rating"))
 
 
+def activity_densities(users: DataFrame, cells: int = 1_000) -> DataFrame:
+    """Density curves of the users' rating counts and of their average ratings."""
+    def part(column: str) -> DataFrame:
+        return kde(users, column, cells=cells).select(F.lit(column).alias("chart"), "*")
+
+    return part("activity_score").unionByName(part("avg_rating"))
+
+
+def score_density(predictions: DataFrame, cells: int = 1_000) -> DataFrame:
+    """The density curve of the predictions."""
+    return kde(predictions, "prediction", cells=cells)
+
+
 def _largest(df: DataFrame, key: str, n: int) -> DataFrame:
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     return top_n(counts, [F.desc("_n"), F.col(key)], n).select(key)

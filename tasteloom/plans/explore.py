@@ -94,12 +94,17 @@ def save_exploration(df: DataFrame, base: str) -> dict[str, str]:
 
 
 def chart_tables(ratings: DataFrame, predictions: DataFrame, report: DataFrame) -> dict[str, DataFrame]:
-    """One table per chart."""
+    """One table per chart.
+
+    The ratings' columns and the users' figures are written once, since several charts read them.
+    """
+    ratings = settle(ratings.select("user_id", "product_id", "rating"), "ratings")
+    users = settle(stats.user_stats(ratings, ordered=False), "users")
     return {
         "rating_bins": charts.rating_bins(ratings),
         "rating_density": charts.kde(ratings),
         "top_products": stats.top_rated(ratings),
-        "user_activity": charts.activity_bins(stats.user_stats(ratings, ordered=False)),
+        "user_activity": charts.activity_bins(users),
         "heatmap": charts.heatmap(ratings),
         "score_bins": charts.score_bins(predictions),
         "metrics": charts.metric_groups(report),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tasteloom.operators.profile import duplicate_rows, profile, shape
+from tasteloom.shared import settle
 from tasteloom.sources.writers import resize
 
 
@@ -28,5 +29,9 @@ def ingest_report(df: DataFrame) -> DataFrame:
 
 
 def ingest(df: DataFrame, partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """The feed in evenly sized partitions, and its report."""
-    return resize(df, partitions), ingest_report(df)
+    """The feed in evenly sized partitions, and its report.
+
+    The layout is written down once, and both the report and all later work read it from there.
+    """
+    laid_out = settle(resize(df, partitions), "feed")
+    return laid_out, ingest_report(laid_out)

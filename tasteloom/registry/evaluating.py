@@ -7,6 +7,7 @@ from tasteloom.plans import explore, train
 from tasteloom.registry import inputs
 from tasteloom.registry.book import query
 from tasteloom.registry.modelling import fitted
+from tasteloom.shared import settle
 from tasteloom.sources import feeds
 from tasteloom.spread import spread_join
 
@@ -170,6 +171,22 @@ KDE = """SELECT cast(p AS int) AS point, round(lo + p * ((hi - lo) / 199), 6) AS
        (SELECT min(rating) AS lo, max(rating) AS hi, count(rating) AS n,
                stddev_samp(rating) * count(rating) ** (-0.2) AS h FROM events_feed)
   GROUP BY p, lo, hi"""
+
+
+def density_sql(column, source, cells=1000):
+    """A density over the middles of cells."""
+    return f"""SELECT cast(p AS int) AS point, round(lo + p * ((hi - lo) / 199), 6) AS x,
+        round(sum(w * exp(-0.5 * ((lo + p * ((hi - lo) / 199) - v) / h) ** 2)
+                  / (n * h * sqrt(2 * 3.141592653589793))), 6) AS density
+      FROM range(200) g(p),
+           (SELECT min({column}) AS lo, max({column}) AS hi, count({column}) AS n,
+                   stddev_samp({column}) * count({column}) ** (-0.2) AS h FROM {source}),
+           (SELECT l + (least(floor(({column} - l) / (u - l) * {cells}), {cells - 1}) + 0.5) * ((u - l) / {cells}) AS v,
+                   count(*) AS w
+            FROM {source}, (SELECT min({column}) AS l, max({column}) AS u FROM {source}) GROUP BY 1)
+      GROUP BY p, lo, hi"""
+
+
 TOP = """SELECT product_id, count(rating) AS review_count, round(avg(rating), 4) AS avg_rating
   FROM {feed} GROUP BY 1 HAVING count(rating) >= 5
   ORDER BY avg_rating DESC, review_count DESC, product_id LIMIT 20"""
@@ -208,6 +225,23 @@ def chart_rating_kde(spark, folder):
     return charts.kde(feeds.events_feed(spark, folder))
 
 
+@query(
+    "chart_user_density",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS chart, * FROM ({density_sql(c, USERS.format(feed='orders_feed'))})"
+        for c in ("activity_score", "avg_rating")
+    ),
+)
+def chart_user_density(spark, folder):
+    users = settle(stats.user_stats(feeds.orders_feed(spark, folder), ordered=False), "users")
+    return charts.activity_densities(users)
+
+
+@query("chart_score_density", density_sql("prediction", "predictions"))
+def chart_score_density(spark, folder):
+    return charts.score_density(inputs.predictions(spark, folder))
+
+
 @query("chart_top_products", TOP.format(feed="events_feed"))
 def chart_top_products(spark, folder):
     return stats.top_rated(feeds.events_feed(spark, folder))

@@ -112,6 +112,17 @@ def test_density_integrates_to_about_one(spark):
     assert math.isclose(sum(p.density for p in points) * step, 1.0, abs_tol=0.02)
 
 
+def test_density_over_cells_is_close_to_the_exact_one(spark):
+    df = spark.range(2_000).select((F.randn(seed=2) * 3).alias("prediction"))
+    exact = charts.kde(df, "prediction").orderBy("point").collect()
+    close = charts.score_density(df).orderBy("point").collect()
+    assert [p.x for p in close] == [p.x for p in exact]
+    assert max(abs(a.density - b.density) for a, b in zip(exact, close, strict=True)) < 1e-3
+    # One cell holds all rows in its middle, so the curve is even on both sides.
+    one = charts.kde(df, "prediction", 3, cells=1).orderBy("point").collect()
+    assert one[0].density == one[2].density < one[1].density
+
+
 def test_heatmap_wide_has_the_cells_of_the_long_form(ratings):
     wide = {r.user_id: r.asDict() for r in charts.heatmap_wide(ratings, 3, 2).collect()}
     for cell in charts.heatmap(ratings, 3, 2).collect():
