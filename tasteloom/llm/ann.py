@@ -6,8 +6,9 @@ the product of code and rotated query is an unbiased estimate of the inner produ
 its error has a bound that holds with a chosen certainty.  A candidate whose upper bound is
 below the k-th best lower bound is dropped; only the others are scored on the original vectors.
 
-Queries and candidates meet in blocks: every block of candidates is a row with packed
-arrays, and so is every block of queries.  A task holds one of each.
+The codes of all vectors are made once and written (``index``).  Queries and candidates meet in
+blocks: every block of candidates is a row with codes and vectors, and every block of queries a
+row with vectors.  A task works through its pairs of blocks one after the other.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from tasteloom.shared import settle
 NEAREST = 20
 BLOCK_BYTES = 8 << 20  # of vectors in a block of candidates
 QUERIES = 1024  # in a block of queries
+TASKS = 100_000  # that the pairs of blocks are dealt over; a task's pairs come one after the other
 CERTAINTY = 4.0  # width of the error bound in standard deviations
 SEED = 11
 
@@ -34,9 +36,15 @@ def rotation(dim: int, seed: int = SEED) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
+def lengths(vectors: np.ndarray) -> np.ndarray:
+    """Norms of rows that are not zero; squares of very large or small components do not matter."""
+    top = np.abs(vectors).max(axis=1)
+    return top * np.linalg.norm(vectors / top[:, None], axis=1)
+
+
 def codes(vectors: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Packed sign bits of the rotated unit vectors, their lengths, and code times direction."""
-    length = np.linalg.norm(vectors, axis=1)
+    length = lengths(vectors)
     turned = (vectors / length[:, None]) @ turn
     bits = turned > 0
     aligned = np.abs(turned).sum(axis=1) / np.sqrt(vectors.shape[1])
@@ -50,7 +58,7 @@ def estimates(
     dim = query.shape[1]
     signs = np.unpackbits(packed, axis=1, count=dim).astype(np.float32) * 2 - 1
     size = np.linalg.norm(query, axis=1)
-    product = (query @ turn).astype(np.float32) @ signs.T / np.sqrt(dim)
+    product = (query @ turn).astype(np.float32) @ signs.T / np.float32(np.sqrt(dim))
     scale = (length / aligned).astype(np.float32)
     error = length * np.sqrt(np.maximum(1 / aligned**2 - 1, 0) / max(dim - 1, 1)) * certainty
     # The last term covers rounding in single precision.
@@ -75,6 +83,21 @@ def _classes(rows: DataFrame, keep: int) -> DataFrame:
     return short.groupBy("vec").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
 
 
+def index(classes: DataFrame, dim: int, seed: int = SEED) -> DataFrame:
+    """``classes`` (column ``vec``, ``dim`` components each) with ``code``, the packed sign bits, and the
+    correction scalars ``length`` and ``aligned``."""
+    schema = ", ".join(f"{name} {kind}" for name, kind in classes.dtypes)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        turn = rotation(dim, seed)
+        for frame in frames:
+            if len(frame):
+                packed, length, aligned = codes(np.stack(frame["vec"]), turn)
+                yield frame.assign(code=[bits.tobytes() for bits in packed], length=length, aligned=aligned)
+
+    return classes.mapInPandas(run, f"{schema}, code binary, length double, aligned double")
+
+
 def _pack(rows: DataFrame, number: Column, key: str) -> DataFrame:
     """Rows ``(id or ids, vec)`` as one row per block."""
     return rows.groupBy(number.alias(key)).agg(F.collect_list(F.struct(*rows.columns)).alias(f"{key}_rows"))
@@ -116,7 +139,8 @@ def _search_dim(
     rows: DataFrame, classes: DataFrame, dim: int, count: int, nearest: int, certainty: float, block_bytes: int, seed: int
 ) -> DataFrame:
     blocks = -(-count * dim * 8 // block_bytes)
-    candidates = _pack(classes, F.pmod(F.xxhash64("vec"), F.lit(blocks)), "c")
+    coded = settle(index(classes, dim, seed), "codes")
+    candidates = _pack(coded, F.pmod(F.xxhash64("vec"), F.lit(blocks)), "c")
     asking = rows.filter("is_query")
     groups = max(1, -(-asking.count() // QUERIES))
     asked = _pack(asking.select("vec_id", "vec"), F.pmod(F.xxhash64("vec_id"), F.lit(groups)), "q")
@@ -130,7 +154,7 @@ def _search_dim(
             for q_rows, c_rows in zip(frame["q_rows"], frame["c_rows"], strict=True):
                 yield _nearest_in(q_rows, c_rows, turn, nearest, certainty)
 
-    part = met.repartition(blocks * groups).mapInPandas(run, "query_id long, vec_id long, score double")
+    part = met.repartition(min(blocks * groups, TASKS)).mapInPandas(run, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         part.withColumn("rank", F.row_number().over(order))
@@ -145,7 +169,11 @@ def _nearest_in(q_rows, c_rows, turn: np.ndarray, nearest: int, certainty: float
     query = np.stack([r["vec"] for r in q_rows])
     vectors = np.stack([r["vec"] for r in c_rows])
     ids = [np.asarray(r["ids"]) for r in c_rows]
-    estimate, bound = estimates(query, *codes(vectors, turn), turn, certainty)
+    packed = np.frombuffer(b"".join(r["code"] for r in c_rows), dtype=np.uint8).reshape(len(c_rows), -1)
+    length, aligned = (np.array([r[name] for r in c_rows]) for name in ("length", "aligned"))
+    # Only the order counts here: relative to the queries' lengths and the block's longest vector, single precision holds all.
+    unit = query / lengths(query)[:, None]
+    estimate, bound = estimates(unit, packed, length / length.max(), aligned, turn, certainty)
     # One class may hold the query alone, so one more class than `nearest` is kept.
     k = min(nearest + 1, len(vectors))
     low = estimate - bound

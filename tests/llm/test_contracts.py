@@ -248,6 +248,21 @@ def test_nearest_neighbours(spark, tmp_path):
     assert all(found[k][0] == expected[k][0] and abs(found[k][1] - expected[k][1]) < 1e-9 for k in expected)
 
 
+@pytest.mark.parametrize("shortest", [-30, 25])
+def test_nearest_neighbours_of_very_long_and_short_vectors(spark, shortest):
+    draw = np.random.default_rng(9)
+    scales = 10.0 ** draw.uniform(shortest, 37, 300)
+    rows = [(i, (draw.standard_normal(16) * scales[i]).astype(np.float32).tolist()) for i in range(300)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    expected = brute.nearest(rows, lambda q: q % 20 == 0, 20)
+    found = {
+        (r["query_id"], r["rank"]): (r["vec_id"], r["score"])
+        for r in ann.search(df, df["vec_id"] % 20 == 0, block_bytes=64 * 16 * 8).collect()
+    }
+    assert {k: v[0] for k, v in found.items()} == {k: v[0] for k, v in expected.items()}
+    assert all(abs(found[k][1] / expected[k][1] - 1) < 1e-9 for k in expected)
+
+
 def test_nearest_neighbours_of_nothing(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert ann.search(none, none["vec_id"] % 20 == 0).collect() == []
