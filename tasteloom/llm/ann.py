@@ -3,8 +3,9 @@
 A unit vector is rotated at random; the signs of its coordinates are its code, packed into
 bytes.  With two numbers per vector (its length, and how far the code points in its direction)
 the product of code and rotated query is an unbiased estimate of the inner product, and
-its error has a bound that holds with a chosen certainty.  A candidate whose upper bound is
-below the k-th best lower bound is dropped; only the others are scored on the original vectors.
+its error has a bound that holds with a chosen certainty.  The candidates of the largest estimates
+are scored on the original vectors; of the others, only those whose upper bound reaches the
+k-th best score so far.
 
 The codes of all vectors are made once and written (``index``).  Queries and candidates meet in
 blocks: every block of candidates is a row with codes and vectors, and every block of queries a
@@ -25,6 +26,7 @@ from tasteloom.shared import settle
 NEAREST = 20
 BLOCK_BYTES = 8 << 20  # of vectors in a block of candidates
 QUERIES = 1024  # in a block of queries
+FIRST = 4  # times as many classes as are asked for are scored before the bounds choose
 TASKS = 100_000  # that the pairs of blocks are dealt over; a task's pairs come one after the other
 CERTAINTY = 4.0  # width of the error bound in standard deviations
 SEED = 11
@@ -172,18 +174,26 @@ def _nearest_in(q_rows, c_rows, turn: np.ndarray, nearest: int, certainty: float
     packed = np.frombuffer(b"".join(r["code"] for r in c_rows), dtype=np.uint8).reshape(len(c_rows), -1)
     length, aligned = (np.array([r[name] for r in c_rows]) for name in ("length", "aligned"))
     # Only the order counts here: relative to the queries' lengths and the block's longest vector, single precision holds all.
-    unit = query / lengths(query)[:, None]
-    estimate, bound = estimates(unit, packed, length / length.max(), aligned, turn, certainty)
+    size, most = lengths(query), length.max()
+    estimate, bound = estimates(query / size[:, None], packed, length / most, aligned, turn, certainty)
     # One class may hold the query alone, so one more class than `nearest` is kept.
     k = min(nearest + 1, len(vectors))
-    low = estimate - bound
-    least = np.partition(low, len(vectors) - k, axis=1)[:, len(vectors) - k]
+    few = min(FIRST * k, len(vectors))
+    first = np.argpartition(estimate, len(vectors) - few, axis=1)[:, len(vectors) - few :]
+    upper = estimate + bound
+    room = np.empty_like(vectors)
     out_q, out_v, out_s = [], [], []
     for i, q in enumerate(q_ids):
-        alive = np.flatnonzero(estimate[i] + bound[i] >= least[i])
+        # The most promising are scored first; only what may reach the k-th best of them is scored besides.
+        tried = (vectors[first[i]] * query[i]).sum(axis=1)
+        least = np.partition(tried, few - k)[few - k] / size[i] / most
+        may = upper[i] >= least - 1e-6 * abs(least)
+        may[first[i]] = True
+        alive = np.flatnonzero(may)
         # A sum along rows gives equal vectors equal scores.
-        score = (vectors[alive] * query[i]).sum(axis=1)
-        best = np.argsort(-score, kind="stable")
+        score = np.multiply(vectors[alive], query[i], out=room[: len(alive)]).sum(axis=1)
+        best = np.flatnonzero(score >= np.partition(score, len(score) - k)[len(score) - k])
+        best = best[np.argsort(-score[best], kind="stable")]
         take_v, take_s = [], []
         for j in best:
             # Stop when there are enough and no tie is left.
