@@ -18,10 +18,11 @@ their rank among pieces of equal length, so nothing but the list of kinds is bro
 
 from __future__ import annotations
 
+import json
 import zlib
 from bisect import bisect_left, insort
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -36,6 +37,8 @@ from tasteloom.spread import place_rows
 
 CAPACITY = 2048
 GROUPS = 64  # sizes that large pieces are rounded to
+# Fixed value: where byte-level tokenizers cut a text.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PIECE_SCHEMA = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
@@ -43,29 +46,69 @@ PIECE_SCHEMA = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32
 
 
 class _Words(dict):
-    """Ids (little-endian 32-bit) of a word after a space, as the tokenizer gives them."""
+    """Ids (little-endian 32-bit) of a word after ``lead``, as the tokenizer gives them.
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
+    At most ``WORDS`` words are remembered; the others are worked out anew.  Words with single
+    line feeds inside are put together from their parts, since a line feed between
+    other characters is never joined with them.
+    """
 
+    def __init__(self, tokenizer, ascii_ids: Callable[[str], list[int]] | None = None, lead: str = " "):
         super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer, self.ascii_ids, self.lead = tokenizer, ascii_ids, lead
+        self.lines = _Words(tokenizer, ascii_ids, "\n") if lead == " " else None
 
     def of(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        if self.ascii_ids is not None and text.isascii():
+            ids = self.ascii_ids(text)
+        else:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, dtype="<u4").tobytes()
 
     def __missing__(self, word: str) -> bytes:
-        made = self.of(" " + word)
+        parts = word.split("\n") if self.lines is not None else [word]
+        if len(parts) > 1 and word.split() == parts:
+            return self[parts[0]] + b"".join(map(self.lines.__getitem__, parts[1:]))
+        made = self.of(self.lead + word)
         if len(word) <= 64 and len(self) < WORDS:
             self[word] = made
         return made
 
 
+def _ascii_ids(path: str) -> Callable[[str], list[int]] | None:
+    """A faster way to the same ids for ASCII text, if the file is of a kind that allows it.
+
+    It is for plain byte-level BPE whose ids follow the order of the merges.
+    """
+    with open(path, encoding="utf-8") as f:
+        described = json.load(f)
+    model, cut_by = described["model"], described.get("pre_tokenizer") or {}
+    plain = model.get("type") == "BPE" and not any(
+        [described.get("normalizer"), described.get("truncation"), described.get("post_processor"), model.get("dropout"),
+         model.get("unk_token"), model.get("continuing_subword_prefix"), model.get("end_of_word_suffix"), model.get("ignore_merges")]
+    )
+    if not plain or cut_by.get("type") != "ByteLevel" or cut_by.get("add_prefix_space") or not cut_by.get("use_regex"):
+        return None
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    if len(model["vocab"]) != 256 + len(merges) or any(model["vocab"].get(a + b) != 256 + i for i, (a, b) in enumerate(merges)):
+        return None
+    import tiktoken
+
+    # Bytes that print stand for themselves, the others for the characters from 256 on.
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    hidden = sorted(set(range(256)) - set(shown))
+    byte = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+    ranks = {bytes(byte[c] for c in token): i for token, i in model["vocab"].items()}
+    return tiktoken.Encoding("packing", pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+
 @lru_cache(maxsize=2)
 def _tokenizer(path: str) -> _Words:
-    return _Words(path)
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    return _Words(tokenizer, _ascii_ids(path))
 
 
 def _token_bytes(text: str | None, words: _Words, end: bytes) -> bytes:

@@ -287,6 +287,18 @@ def test_words_of_a_text_can_be_encoded_apart():
         assert np.frombuffer(bpe.encode_text(text, words), dtype="<u4").tolist() == known.encode_ordinary(text)
 
 
+def test_words_and_lines_for_packing_can_be_encoded_apart():
+    words = packing._tokenizer(public_tokenizers.path(queries.TOKENIZER))
+    assert words.ascii_ids is not None
+    draw = random.Random(3)
+    parts = ["a", "b", " ", " ", "\n", "\n", "\t", "'s", "é", "1", "!", "　", "\x1c", "\x85", "字", "🙂", "\r\n", "<|endoftext|>"]
+    parts += [chr(c) for c in range(128)]
+    for _ in range(5000):
+        text = "".join(draw.choice(parts) for _ in range(draw.randint(0, 16)))
+        ids = words.tokenizer.encode(text, add_special_tokens=False).ids
+        assert packing._token_bytes(text, words, b"") == np.array(ids, dtype="<u4").tobytes()
+
+
 def test_perfect_hash_is_minimal():
     table = {f"k{i}".encode(): i for i in range(5000)}
     made = bpe.PerfectHash(table)
