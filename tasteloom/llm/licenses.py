@@ -1,12 +1,15 @@
 """License scans: an exact set-similarity join of text blocks with license templates.
 
-A block is a line of a text.  A template is found in a block if at least ``threshold`` of its
-distinct words stand in the block.  The join follows the prefix-filter scheme:
+A block is a window of words, wherever lines end: for each template windows of twice its word
+count, one at every quarter of a window, so a notice with half as many words again is seen whole.
+A template is found in a block if at least ``threshold`` of its distinct words stand in the
+block.  The join follows the prefix-filter scheme:
 
 * words are ordered by how many blocks hold them, the rarest first, over all documents;
 * to share ``need`` of its ``m`` words with a template, a block must hold one of the
   template's ``m - need + 1`` rarest (prefix filter);
-* a block with fewer than ``need`` words of any template is left out (length filter);
+* a block with fewer than ``need`` words of any template is left out, and so are all blocks of a
+  text that has fewer than ``need`` of the template's words (length filter);
 * the place of the shared word in both orders bounds the words that can still be shared
   (positional filter);
 * what is left is verified on the whole sets.  No block that meets the threshold is lost.
@@ -20,6 +23,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -84,13 +88,43 @@ def _may_hold(text: Column, phrases: Mapping[str, str]) -> Column:
     return text.rlike(f"(?i)(?:{joined})")
 
 
-def read_blocks(docs: DataFrame, templates: Mapping[str, str], phrases: Mapping[str, str]) -> DataFrame:
-    """One row per document: ``doc_id, n_words, places`` (label and word number), ``blocks``.
+def _span(template: str) -> int:
+    """Words in a window for ``template``."""
+    return 2 * len(template.split())
 
-    A block is the array of template words that its line holds.  Lines without any are left out.
-    """
-    words = sorted({w for t in templates.values() for w in t.split()})
-    known = F.array(*map(F.lit, words))
+
+def _blocks(words: Column, templates: Mapping[str, str], threshold: float) -> Column:
+    """Blocks of a text's ``words``: the window's ``span`` and the template words it holds, no block twice."""
+    known = sorted({w for t in templates.values() for w in t.split()})
+    sets = {label: sorted(set(t.split())) for label, t in templates.items()}
+    need = {label: _needed(len(own), threshold) for label, own in sets.items()}
+
+    def of_span(w: Column, held: Column, span: int) -> Column:
+        labels = [label for label, t in templates.items() if _span(t) == span]
+        least, step = min(need[label] for label in labels), max(1, span // 4)
+        enough = [F.size(F.array_intersect(held, F.array(*map(F.lit, sets[x])))) >= need[x] for x in labels]
+        starts = F.sequence(F.lit(0), F.greatest(F.size(w) - span + step - 1, F.lit(0)), F.lit(step))
+        windows = F.transform(
+            starts, lambda i: F.array_sort(F.array_distinct(F.filter(F.slice(w, i + 1, span), lambda x: x.isin(known))))
+        )
+        kept = F.array_distinct(F.filter(windows, lambda b: F.size(b) >= least))
+        out = F.transform(kept, lambda b: F.struct(F.lit(span).alias("span"), b.alias("words")))
+        return F.when(reduce(Column.__or__, enough), out).otherwise(none)
+
+    none = F.array().cast("array<struct<span:int,words:array<string>>>")
+    spans = sorted({_span(t) for t in templates.values() if t.split()})
+
+    def all_spans(w: Column) -> Column:
+        held = F.array_intersect(w, F.array(*map(F.lit, known)))
+        return let(held, lambda h: F.concat(none, *[of_span(w, h, span) for span in spans]))
+
+    return let(words, all_spans) if spans else none
+
+
+def read_blocks(
+    docs: DataFrame, templates: Mapping[str, str], phrases: Mapping[str, str], threshold: float = THRESHOLD
+) -> DataFrame:
+    """One row per document: ``doc_id, n_words, places`` (label and word number), ``blocks``."""
     text = F.coalesce("text", F.lit(""))
     empty = F.array().cast("array<struct<label:string,at:int>>")
 
@@ -100,19 +134,20 @@ def read_blocks(docs: DataFrame, templates: Mapping[str, str], phrases: Mapping[
         )
 
     found = F.concat(empty, *[labelled(p, label) for p, label in phrases.items()])
-    lines = F.split(lower_ascii(text), "\n")
-    blocks = F.transform(lines, lambda x: F.array_intersect(F.split(x, GAP), known))
     count = F.size(word_array(text, ANY_CASE_GAP)).cast("long")
     return docs.select(
         "doc_id",
         count.alias("n_words"),
         F.when(_may_hold(text, phrases), found).otherwise(empty).alias("places"),
-        F.filter(blocks, lambda b: F.size(b) > 0).alias("blocks"),
+        _blocks(word_array(lower_ascii(text), GAP), templates, threshold).alias("blocks"),
     )
 
 
 def join_templates(blocks: DataFrame, templates: Mapping[str, str], threshold: float) -> DataFrame:
-    """Blocks (``uid, words``) and the templates they contain: ``uid, label, containment``."""
+    """Blocks (``uid, span, words``) and the templates they contain: ``uid, label, containment``.
+
+    A template is looked for in the windows of its own span.
+    """
     spark = blocks.sparkSession
     held = blocks.select(F.explode("words").alias("word")).groupBy("word").count()
     counts = {r["word"]: r["count"] for r in held.collect()}  # at most as many as words in the templates
@@ -123,22 +158,24 @@ def join_templates(blocks: DataFrame, templates: Mapping[str, str], threshold: f
         ranks = sorted({rank[w] for w in text.split()})
         need = _needed(len(ranks), threshold)
         for at, r in enumerate(ranks[: len(ranks) - need + 1]):
-            rows.append({"_word": r, "label": label, "_at": at, "_need": need, "_all": ranks})
+            rows.append(
+                {"_word": r, "label": label, "_span": _span(text), "_at": at, "_need": need, "_all": ranks}
+            )
     if not rows:
         return blocks.select("uid", F.lit("").alias("label"), F.lit(0.0).alias("containment")).filter(F.lit(False))
-    index = small_table(spark, rows, "_word: int, label: string, _at: int, _need: int, _all: array<int>")
+    index = small_table(spark, rows, "_word: int, label: string, _span: int, _at: int, _need: int, _all: array<int>")
     lookup = F.create_map(*[F.lit(x) for w, i in rank.items() for x in (w, i)])
     least = min(r["_need"] for r in rows)
     prefixes = sorted({r["_word"] for r in rows})
     sets = blocks.filter(F.size("words") >= least).select(
-        "uid", F.sort_array(F.transform("words", lambda w: lookup[w])).alias("_own")
+        "uid", "span", F.sort_array(F.transform("words", lambda w: lookup[w])).alias("_own")
     )
     starts = F.filter(
         F.transform("_own", lambda r, i: F.struct(r.alias("r"), i.alias("i"))), lambda x: x["r"].isin(prefixes)
     )
     candidates = (
         sets.withColumn("_start", F.explode(starts))
-        .join(F.broadcast(index), F.col("_start.r") == F.col("_word"))
+        .join(F.broadcast(index), (F.col("_start.r") == F.col("_word")) & (F.col("span") == F.col("_span")))
         .filter(F.size("_own") >= F.col("_need"))
         .filter(F.least(F.size("_all") - F.col("_at"), F.size("_own") - F.col("_start.i")) >= F.col("_need"))
     )
@@ -162,9 +199,9 @@ def scan(
     table gives an empty result.
     """
     read = settle(
-        read_blocks(docs, templates, phrases).withColumn("uid", F.monotonically_increasing_id()), "blocks"
+        read_blocks(docs, templates, phrases, threshold).withColumn("uid", F.monotonically_increasing_id()), "blocks"
     )
-    blocks = read.select("uid", F.explode("blocks").alias("words"))
+    blocks = read.select("uid", F.inline("blocks"))
     matches = (
         join_templates(blocks, templates, threshold)
         .groupBy("uid", "label")
