@@ -19,6 +19,7 @@ their rank among pieces of equal length, so nothing but the list of kinds is bro
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections import Counter
@@ -50,20 +51,24 @@ class _Words(dict):
 
     At most ``WORDS`` words are remembered; the others are worked out anew.  Words with single
     line feeds inside are put together from their parts, since a line feed between
-    other characters is never joined with them.
+    other characters is never joined with them.  ``marks`` finds the tokens that the file adds to its
+    model, such as an end mark; the tokenizer cuts a text at them before anything else.
     """
 
-    def __init__(self, tokenizer, ascii_ids: Callable[[str], list[int]] | None = None, lead: str = " "):
+    def __init__(
+        self, tokenizer, ascii_ids: Callable[[str], list[int]] | None = None, lead: str = " ", marks: re.Pattern | None = None
+    ):
         super().__init__()
-        self.tokenizer, self.ascii_ids, self.lead = tokenizer, ascii_ids, lead
+        self.tokenizer, self.ascii_ids, self.lead, self.marks = tokenizer, ascii_ids, lead, marks
         self.lines = _Words(tokenizer, ascii_ids, "\n") if lead == " " else None
 
     def of(self, text: str) -> bytes:
         if self.ascii_ids is not None and text.isascii():
-            ids = self.ascii_ids(text)
-        else:
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, dtype="<u4").tobytes()
+            return np.array(self.ascii_ids(text), dtype="<u4").tobytes()
+        return self.whole(text)
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def __missing__(self, word: str) -> bytes:
         parts = word.split("\n") if self.lines is not None else [word]
@@ -102,20 +107,51 @@ def _ascii_ids(path: str) -> Callable[[str], list[int]] | None:
     return tiktoken.Encoding("packing", pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
 
+def _marks(path: str) -> re.Pattern | None:
+    """What finds the file's added tokens in a text, the longest first; None if it has none.
+
+    Only tokens that stand for their exact characters, wherever they are, can be found this way.
+    """
+    with open(path, encoding="utf-8") as f:
+        described = json.load(f)
+    added = [t for t in described.get("added_tokens") or [] if t["content"]]
+    if not added:
+        return None
+    if described.get("normalizer") or any(t.get(k) for t in added for k in ("single_word", "lstrip", "rstrip")):
+        return re.compile("")  # every text goes whole to the tokenizer
+    if len({bool(t.get("normalized")) for t in added}) > 1:
+        return re.compile("")  # looked for one kind after the other
+    return re.compile("|".join(re.escape(t) for t in sorted((t["content"] for t in added), key=len, reverse=True)))
+
+
 @lru_cache(maxsize=2)
 def _tokenizer(path: str) -> _Words:
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    return _Words(tokenizer, _ascii_ids(path))
+    return _Words(Tokenizer.from_file(path), _ascii_ids(path), marks=_marks(path))
+
+
+def _plain_bytes(text: str, words: _Words) -> bytes:
+    first, rest = split_words(text)
+    return words.of(first) + b"".join(map(words.__getitem__, rest))
 
 
 def _token_bytes(text: str | None, words: _Words, end: bytes) -> bytes:
     if not text:
         return end
-    first, rest = split_words(text)
-    return words.of(first) + b"".join(map(words.__getitem__, rest)) + end
+    if words.marks is None or not words.marks.search(text):
+        return _plain_bytes(text, words) + end
+    if not words.marks.pattern:
+        return words.whole(text) + end
+    out, at = [], 0
+    for mark in words.marks.finditer(text):
+        if mark.start() > at:
+            out.append(_plain_bytes(text[at : mark.start()], words))
+        out.append(words.whole(mark[0]))
+        at = mark.end()
+    if at < len(text):
+        out.append(_plain_bytes(text[at:], words))
+    return b"".join(out) + end
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -128,7 +164,8 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0
     """One row per piece of every row of ``docs``, with the CRC-32 of its ids.
 
     A null text counts as empty and is one piece, the end mark alone.  Repeated rows give
-    repeated pieces.  Only texts longer than ``capacity`` are cut.
+    repeated pieces.  Only texts longer than ``capacity`` are cut.  Ids are the file's own, so its added
+    tokens get their own id wherever a text holds them.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

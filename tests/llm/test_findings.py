@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
-from tasteloom.llm import licenses
+import json
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+from tokenizers import Tokenizer
+
+from tasteloom.llm import licenses, packing, queries
 
 WRAPPED = [
     "/* This program is free software: you can redistribute it and/or modify\n"
@@ -30,3 +38,28 @@ def test_license_words_far_apart_in_one_line_are_no_notice(spark):
     far = (" filler" * 100).join([" released", " under", " the", " mit", " license"])
     near = "filler " * 997 + "released under the MIT license" + " filler" * 1_000
     assert license_labels(spark, [far, near]) == {0: {}, 1: {"mit": 1.0}}
+
+
+def test_added_tokens_keep_their_ids(spark):
+    path = public_tokenizers.path(queries.TOKENIZER)
+    own = Tokenizer.from_file(path)
+    assert own.encode("one <|endoftext|> two", add_special_tokens=False).ids == [505, 220, 50256, 734]
+    draw = random.Random(7)
+    parts = ["a", "it's", " ", " ", "\n", "\t", "é", "<|endoftext|>", "<|endoftext|>", "<|", "|>", "endoftext", "字", "\r\n", "1", "!"]
+    texts = ["one <|endoftext|> two", "<|endoftext|>"] + ["".join(draw.choices(parts, k=draw.randint(1, 14))) for _ in range(3_000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in packing.pieces(docs, path).collect()}
+    for i, text in enumerate(texts):
+        ids = [*own.encode(text, add_special_tokens=False).ids, 0]
+        assert found[i] == (len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes()))
+
+
+def test_added_tokens_that_take_in_white_space(tmp_path):
+    with open(public_tokenizers.path(queries.TOKENIZER), encoding="utf-8") as f:
+        described = json.load(f)
+    described["added_tokens"][0]["lstrip"] = True
+    path = tmp_path / "tokenizer.json"
+    path.write_text(json.dumps(described))
+    ids = Tokenizer.from_file(str(path)).encode("one  <|endoftext|> two", add_special_tokens=False).ids
+    made = packing._token_bytes("one  <|endoftext|> two", packing._tokenizer(str(path)), b"")
+    assert made == np.array(ids, dtype="<u4").tobytes()
