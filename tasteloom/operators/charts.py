@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tasteloom.operators.ranking import top_n
 from tasteloom.operators.relate import of_top_entities
 
+COARSE, FINE = 10, 64  # cells a bandwidth: the fewest that a density may have, and how many it gets otherwise
+
 
 def bins(df: DataFrame, column: str, n: int, figures: Mapping[str, Column] | None = None) -> DataFrame:
     """An ``n``-bin histogram from minimum to maximum; the last bin is closed.
@@ -49,13 +51,18 @@ def rating_bins(df: DataFrame, column: str = "rating", n: int = 20) -> DataFrame
     return bins(df, column, n, figures)
 
 
-def kde(df: DataFrame, column: str = "rating", points: int = 200, cells: int | None = None) -> DataFrame:
+def kde(
+    df: DataFrame, column: str = "rating", points: int = 200, cells: int | None = None, finer: bool = False
+) -> DataFrame:
     """Gaussian density at evenly spaced points from minimum to maximum.
 
     Scott's rule sets the bandwidth.  Values are counted first, so the work is the
     number of distinct values times ``points``, and only ``points`` sums are shuffled.
     For a column with many different values, ``cells`` cuts the range into as many cells and
     counts every value at the middle of its cell; all rows count, and the bandwidth is exact.
+    ``finer`` takes more cells where these are wider than a ``COARSE``-th of the bandwidth, as with
+    one value far from all others: then a cell is a ``FINE``-th of the bandwidth.  Only cells
+    that hold values are counted.
     """
     x = F.col(column).cast("double")
     known = df.filter(x.isNotNull()).select(x.alias("x"))
@@ -67,11 +74,16 @@ def kde(df: DataFrame, column: str = "rating", points: int = 200, cells: int | N
     )
     n, s, low, high = (stats.select(c).scalar() for c in ("n", "s", "lo", "hi"))
     at = F.col("x")
+    width = s * F.pow(n.cast("double"), F.lit(-0.2))
     if cells:
+        if finer:
+            widths = F.try_divide(high - low, width)
+            cells = F.when(widths * COARSE > cells, F.ceil(widths * FINE)).otherwise(F.lit(cells).cast("long"))
+        else:
+            cells = F.lit(cells).cast("long")
         place = F.coalesce(F.floor(F.try_divide(at - low, high - low) * cells), F.lit(0).cast("long"))
-        at = low + (F.least(place, F.lit(cells - 1).cast("long")) + 0.5) * ((high - low) / cells)
+        at = low + (F.least(place, cells - 1) + 0.5) * ((high - low) / cells)
     counts = known.select(at.alias("x")).groupBy("x").agg(F.count(F.lit(1)).alias("_w"))
-    width = s * F.pow(n.cast("double"), F.lit(-0.2))
     weighted = counts.select(
         "x",
         "_w",
@@ -101,14 +113,14 @@ def activity_bins(users: DataFrame, n: int = 20) -> DataFrame:
 def activity_densities(users: DataFrame, cells: int = 1_000) -> DataFrame:
     """Density curves of the users' rating counts and of their average ratings."""
     def part(column: str) -> DataFrame:
-        return kde(users, column, cells=cells).select(F.lit(column).alias("chart"), "*")
+        return kde(users, column, cells=cells, finer=True).select(F.lit(column).alias("chart"), "*")
 
     return part("activity_score").unionByName(part("avg_rating"))
 
 
 def score_density(predictions: DataFrame, cells: int = 1_000) -> DataFrame:
     """The density curve of the predictions."""
-    return kde(predictions, "prediction", cells=cells)
+    return kde(predictions, "prediction", cells=cells, finer=True)
 
 
 def _largest(df: DataFrame, key: str, n: int) -> DataFrame:

@@ -123,6 +123,20 @@ def test_density_over_cells_is_close_to_the_exact_one(spark):
     assert one[0].density == one[2].density < one[1].density
 
 
+def test_density_with_one_hot_user(spark):
+    # Users with 1 to 19 rows and one with a third of all rows; the exact curve counts every value.
+    score = F.when(F.col("id") == 0, 500_000).otherwise(F.col("id") % 19 + 1).cast("double")
+    users = spark.range(100_000).select(score.alias("activity_score"), (F.col("id") % 5).cast("double").alias("avg_rating"))
+    exact = charts.kde(users, "activity_score").orderBy("point").collect()
+    close = charts.activity_densities(users).filter("chart = 'activity_score'").orderBy("point").collect()
+    peak = exact[0].density
+    assert peak > 0.002
+    assert max(abs(a.density - b.density) for a, b in zip(exact, close, strict=True)) < 0.01 * peak
+    predictions = users.select(F.col("activity_score").alias("prediction"))
+    scores = charts.score_density(predictions).orderBy("point").collect()
+    assert [r.density for r in scores] == [r.density for r in close]
+
+
 def test_heatmap_wide_has_the_cells_of_the_long_form(ratings):
     wide = {r.user_id: r.asDict() for r in charts.heatmap_wide(ratings, 3, 2).collect()}
     for cell in charts.heatmap(ratings, 3, 2).collect():
