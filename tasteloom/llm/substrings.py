@@ -1,15 +1,13 @@
-"""Repeated passages, found by a relative Lempel-Ziv parse at two grain sizes.
+"""Repeated passages, found by hashes of content-defined blocks and of windows of words.
 
-Documents are factored against an index of reference blocks, the blocks of text at their first
-place in the corpus:
+This is no Lempel-Ziv parse: nothing is factored greedily and no match is extended.  Documents are
+compared with reference blocks, the blocks of text at their first place in the corpus:
 
 1. Content cuts a document into chunks of 19 or more words (a cut is where the hash of the next
    words is least within 18 places on both sides).  A block is two neighbouring chunks, so every
    window of 20 words lies in one block.
-2. Whole blocks are factored first: a block that stands earlier is a factor, and all of its words
-   are covered.  What remains are the reference blocks, each at its first place.
-3. At the boundaries of these factors a passage may go on for part of a block.  Windows there are
-   looked up one by one, but only if their anchor, the least hash of five words in the
+2. Whole blocks are compared first: all words of a block that stands earlier are covered.  What remains are the reference blocks, each at its first place.
+3. A passage may cover part of a reference block.  All windows of these blocks are looked up one by one, but only if their anchor, the least hash of five words in the
    window, occurs elsewhere too; equal windows have equal anchors.
 4. A window found earlier covers its words.  Neighbouring covered words are one duplicate span.
 
