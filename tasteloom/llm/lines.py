@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tasteloom.llm.common import let, row_key
 from tasteloom.shared import settle
 
+ENDS = " \t\n\x0b\x0c\r"  # white space, as between words
 SITES = 10  # a line on as many distinct sites is boilerplate
 LOG_K = 12  # 4,096 registers: a standard error of 1.6%
 MARGIN = 0.15  # estimates within this share of the threshold (at least 2 sites) are counted exactly
@@ -24,15 +25,15 @@ MARGIN = 0.15  # estimates within this share of the threshold (at least 2 sites)
 def line_rows(docs: DataFrame, site: str = "source") -> DataFrame:
     """Lines that are not blank: ``line`` (128-bit key), ``site``, ``doc_id``, ``row``, ``at`` (from 0).
 
-    White space at the ends of a line does not count.  A null site is a site of its own.
+    White space (``ENDS``) at the ends of a line does not count.  A null site is a site of its own.
     """
     rows = docs.select(
         "doc_id",
         row_key().alias("row"),
         F.coalesce(F.col(site).cast("string"), F.lit("")).alias("site"),
         F.posexplode(F.split("text", "\n")).alias("at", "_line"),
-    ).filter(F.trim("_line") != "")
-    return rows.select(F.unhex(F.md5(F.trim("_line"))).alias("line"), "site", "doc_id", "row", "at")
+    ).withColumn("_line", F.btrim("_line", F.lit(ENDS))).filter(F.col("_line") != "")
+    return rows.select(F.unhex(F.md5("_line")).alias("line"), "site", "doc_id", "row", "at")
 
 
 def wide_lines(rows: DataFrame, sites: int = SITES, log_k: int = LOG_K, margin: float = MARGIN) -> DataFrame:

@@ -10,7 +10,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from tasteloom.llm import licenses, packing, queries
+from tasteloom.llm import licenses, lines, packing, queries
 
 WRAPPED = [
     "/* This program is free software: you can redistribute it and/or modify\n"
@@ -63,3 +63,12 @@ def test_added_tokens_that_take_in_white_space(tmp_path):
     ids = Tokenizer.from_file(str(path)).encode("one  <|endoftext|> two", add_special_tokens=False).ids
     made = packing._token_bytes("one  <|endoftext|> two", packing._tokenizer(str(path)), b"")
     assert made == np.array(ids, dtype="<u4").tobytes()
+
+
+def test_lines_with_mixed_ends_are_one_line(spark):
+    ends = ["\r", "", "\t", " \x0b", "\x0c"]
+    rows = [(i, f"own {i}\r\n\r\n\t\n \n{ends[i % 5]}cookie notice{ends[i % 5]}\nend {i}", f"site{i}") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = {r["doc_id"]: (r["n_lines"], r["n_removed"], r["text"]) for r in lines.remove_lines(docs).collect()}
+    assert found[0] == (6, 0, rows[0][1])
+    assert all(found[i] == (6, 1, f"own {i}\r\n\r\n\t\n \nend {i}") for i in range(1, 12))
