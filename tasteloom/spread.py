@@ -22,35 +22,50 @@ from tasteloom.shared import settle
 HOT_ROWS, HOT_PART = 2_000_000, 50_000
 
 
-def _counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+def unused(taken: Sequence[str], *names: str) -> list[str]:
+    """One column name per entry of ``names`` that ``taken`` does not hold, in any case of letters."""
+    held = {c.lower() for c in taken}
+    out = []
+    for name in names:
+        while name.lower() in held:
+            name += "_"
+        held.add(name.lower())
+        out.append(name)
+    return out
 
 
-def _limit(counts: DataFrame, hot_rows: int | None) -> Column:
+def _counts(df: DataFrame, keys: Sequence[str], rows: str) -> DataFrame:
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(rows))
+
+
+def _limit(counts: DataFrame, rows: str, hot_rows: int | None) -> Column:
     """Rows above which a key is hot: ``hot_rows`` if given, else it grows with the table."""
     if hot_rows:
         return F.lit(hot_rows).cast("long")
-    share = F.ceil(F.sum("_rows") / HOT_PART)
+    share = F.ceil(F.sum(rows) / HOT_PART)
     return counts.agg(F.greatest(F.lit(HOT_ROWS).cast("long"), F.coalesce(share, F.lit(0).cast("long")))).scalar()
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> DataFrame:
-    """Keys with more rows than the limit and the number of slices for each.
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None, slices: str = "_slices") -> DataFrame:
+    """Keys with more rows than the limit and the number of slices for each, as column ``slices``.
 
     Every hot key is listed.  Without ``hot_rows`` each of them owns more than one part in
     ``HOT_PART`` of the rows, so there are fewer than 50,000 and the list can be broadcast.
     """
-    counts = _counts(df, keys)
-    slices = F.ceil(F.col("_rows") / F.col("_limit")).alias("_slices")
-    return counts.withColumn("_limit", _limit(counts, hot_rows)).filter("_rows > _limit").select(*keys, slices)
+    rows, limit = unused([*keys, slices], "_rows", "_limit")
+    counts = _counts(df, keys, rows)
+    number = F.ceil(F.col(rows) / F.col(limit)).alias(slices)
+    listed = counts.withColumn(limit, _limit(counts, rows, hot_rows)).filter(F.col(rows) > F.col(limit))
+    return listed.select(*keys, number)
 
 
 def _null_slices(df: DataFrame, keys: Sequence[str], hot_rows: int | None) -> Column:
     """Slices for rows with a null key.  They match nothing; an outer join may put them anywhere."""
-    counts = _counts(df, keys)
+    (name,) = unused(keys, "_rows")
+    counts = _counts(df, keys, name)
     none = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    rows = counts.agg(F.coalesce(F.sum(F.when(none, F.col("_rows"))), F.lit(0).cast("long")).alias("n")).scalar()
-    return F.greatest(F.lit(1).cast("long"), F.ceil(rows / _limit(counts, hot_rows)))
+    rows = counts.agg(F.coalesce(F.sum(F.when(none, F.col(name))), F.lit(0).cast("long")).alias("n")).scalar()
+    return F.greatest(F.lit(1).cast("long"), F.ceil(rows / _limit(counts, name, hot_rows)))
 
 
 def spread_joins(
@@ -73,23 +88,25 @@ def spread_joins(
     """
     one = F.lit(1).cast("long")
     columns = list(fact.columns)
+    taken = [*columns, *(c for dim, _, _ in joins for c in dim.columns)]
+    mark, piece, slices = unused(taken, "_mark", "_slice", "_slices")
     marks = dict.fromkeys([*(k for _, keys, _ in joins for k in keys), *identity])
-    out = fact.withColumn("_mark", F.xxhash64(*marks, F.spark_partition_id()))
+    out = fact.withColumn(mark, F.xxhash64(*marks, F.spark_partition_id()))
     for dim, keys, how in joins:
         keys = list(keys)
         # Only outer and anti joins keep rows with a null key.
         nulls = _null_slices(fact, keys, hot_rows) if how in ("left", "left_anti") else one
-        hot = F.broadcast(hot_keys(fact, keys, hot_rows))
+        hot = F.broadcast(hot_keys(fact, keys, hot_rows, slices))
         no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-        slices = F.when(no_key, nulls).otherwise(F.coalesce("_slices", one))
-        left = out.join(hot, keys, "left").withColumn("_slice", F.pmod("_mark", slices))
-        every = F.explode(F.sequence(one - 1, F.coalesce("_slices", one) - 1))
-        right = dim.join(hot, keys, "left").withColumn("_slice", every).drop("_slices")
-        joined = left.drop("_slices").join(right, [*keys, "_slice"], how)
+        number = F.when(no_key, nulls).otherwise(F.coalesce(slices, one))
+        left = out.join(hot, keys, "left").withColumn(piece, F.pmod(mark, number))
+        every = F.explode(F.sequence(one - 1, F.coalesce(slices, one) - 1))
+        right = dim.join(hot, keys, "left").withColumn(piece, every).drop(slices)
+        joined = left.drop(slices).join(right, [*keys, piece], how)
         if how not in ("left_semi", "left_anti"):
             columns += [c for c in dim.columns if c not in keys]
-        out = joined.select(*columns, "_mark")
-    return out.drop("_mark")
+        out = joined.select(*columns, mark)
+    return out.drop(mark)
 
 
 def spread_join(
@@ -104,58 +121,62 @@ def spread_join(
     return spread_joins(fact, [(dim, keys, how)], hot_rows, identity)
 
 
-def _placed(df: DataFrame, order: Sequence[Column]) -> DataFrame:
-    """Rows sorted over range partitions, with ``_part`` and ``_pos`` columns.
+def _placed(df: DataFrame, order: Sequence[Column], part: str, pos: str) -> DataFrame:
+    """Rows sorted over range partitions, with the columns ``part`` and ``pos``.
 
     The input partition is the last sort key, so that identical copies can be
     spread over several ranges as well.  Adaptive execution may merge neighbouring
     ranges of little data; the order over all partitions stays.
     """
-    source = df.withColumn("_src", F.spark_partition_id())
-    order = [*order, F.col("_src")]
+    src, at = unused([*df.columns, part, pos], "_src", "_at")
+    source = df.withColumn(src, F.spark_partition_id())
+    order = [*order, F.col(src)]
     placed = settle(
         source.repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .drop("_src")
-        .withColumn("_at", F.monotonically_increasing_id())
+        .drop(src)
+        .withColumn(at, F.monotonically_increasing_id())
     )
     return (
-        placed.withColumn("_part", F.shiftright("_at", 33))
-        .withColumn("_pos", F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)))
-        .drop("_at")
+        placed.withColumn(part, F.shiftright(at, 33))
+        .withColumn(pos, F.col(at).bitwiseAND(F.lit((1 << 33) - 1)))
+        .drop(at)
     )
 
 
-def _offsets(placed: DataFrame, amount: Column) -> DataFrame:
+def _offsets(placed: DataFrame, amount: Column, part: str, before: str) -> DataFrame:
     """Per range partition, the amount in the partitions before it.
 
     One row per partition, so the unpartitioned window and the broadcast are small.
     """
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    totals = placed.groupBy("_part").agg(amount.alias("_amount"))
-    return totals.select("_part", F.coalesce(F.sum("_amount").over(before), F.lit(0)).alias("_before"))
+    earlier = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    (name,) = unused([part, before], "_amount")
+    totals = placed.groupBy(part).agg(amount.alias(name))
+    return totals.select(part, F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(before))
 
 
 def place_rows(df: DataFrame, order: Sequence[Column], out: str) -> DataFrame:
     """Global position (0, 1, 2, ...) of every row in ``order``, without one big task."""
-    placed = _placed(df, order)
-    offsets = _offsets(placed, F.count(F.lit(1)))
+    part, pos, before = unused([*df.columns, out], "_part", "_pos", "_before")
+    placed = _placed(df, order, part, pos)
+    offsets = _offsets(placed, F.count(F.lit(1)), part, before)
     return (
-        placed.join(F.broadcast(offsets), "_part")
-        .withColumn(out, F.col("_before") + F.col("_pos"))
+        placed.join(F.broadcast(offsets), part)
+        .withColumn(out, F.col(before) + F.col(pos))
         .select(*df.columns, out)
     )
 
 
 def running_total(df: DataFrame, order: Sequence[Column], amount: str, out: str) -> DataFrame:
     """Global running sum of ``amount`` in ``order``, without one big task."""
-    placed = _placed(df, order)
-    offsets = _offsets(placed, F.sum(amount))
-    inside = Window.partitionBy("_part").orderBy("_pos")
+    part, pos, before, total = unused([*df.columns, out], "_part", "_pos", "_before", "_inside")
+    placed = _placed(df, order, part, pos)
+    offsets = _offsets(placed, F.sum(amount), part, before)
+    inside = Window.partitionBy(part).orderBy(pos)
     return (
-        placed.withColumn("_inside", F.sum(amount).over(inside))
-        .join(F.broadcast(offsets), "_part")
-        .withColumn(out, F.col("_before") + F.col("_inside"))
+        placed.withColumn(total, F.sum(amount).over(inside))
+        .join(F.broadcast(offsets), part)
+        .withColumn(out, F.col(before) + F.col(total))
         .select(*df.columns, out)
     )
 
@@ -172,31 +193,33 @@ def number_rows(
     All other keys take the plain window.
     """
     keys = list(keys)
-    hot = hot_keys(df, keys, hot_rows).select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
+    part, pos, piece, number, before = unused([*df.columns, out], "_part", "_pos", "_p", "_n", "_carried")
+    twins = unused([*df.columns, out, part, pos, piece, number, before], *[f"_hot_{k}" for k in keys])
+    hot = hot_keys(df, keys, hot_rows).select(*[F.col(k).alias(t) for k, t in zip(keys, twins, strict=True)])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(t)) for k, t in zip(keys, twins, strict=True)])
     window = Window.partitionBy(*keys).orderBy(*order)
     cold = df.join(F.broadcast(hot), same, "left_anti").withColumn(
         out, F.row_number().over(window).cast("long")
     )
     placed = _placed(
-        df.join(F.broadcast(hot), same, "left_semi"), [*[F.col(k) for k in keys], *order]
+        df.join(F.broadcast(hot), same, "left_semi"), [*[F.col(k) for k in keys], *order], part, pos
     )
     # A key reaches into a later partition only as that partition's first key, so
     # ``carried`` has at most one row per partition.
     earlier = (
-        Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     )
     carried = (
-        placed.groupBy("_part", *keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_carried", F.sum("_n").over(earlier))
-        .filter(F.col("_carried").isNotNull())
-        .select(F.col("_part").alias("_p"), *[F.col(k).alias(f"_hot_{k}") for k in keys], "_carried")
+        placed.groupBy(part, *keys)
+        .agg(F.count(F.lit(1)).alias(number))
+        .withColumn(before, F.sum(number).over(earlier))
+        .filter(F.col(before).isNotNull())
+        .select(F.col(part).alias(piece), *[F.col(k).alias(t) for k, t in zip(keys, twins, strict=True)], before)
     )
-    inside = Window.partitionBy("_part", *keys).orderBy("_pos")
+    inside = Window.partitionBy(part, *keys).orderBy(pos)
     numbered = (
-        placed.withColumn("_inside", F.row_number().over(inside))
-        .join(F.broadcast(carried), (F.col("_part") == F.col("_p")) & same, "left")
-        .withColumn(out, F.col("_inside") + F.coalesce("_carried", F.lit(0).cast("long")))
+        placed.withColumn(number, F.row_number().over(inside))
+        .join(F.broadcast(carried), (F.col(part) == F.col(piece)) & same, "left")
+        .withColumn(out, F.col(number) + F.coalesce(before, F.lit(0).cast("long")))
     )
     return cold.unionByName(numbered.select(*cold.columns))

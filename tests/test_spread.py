@@ -110,3 +110,17 @@ def test_running_total(spark):
     for v in range(100):
         total += v % 7
         assert got[v] == total
+
+
+def test_internal_names_may_be_columns(spark):
+    """Columns named like those that the functions add for themselves keep their values."""
+    names = ["_mark", "_slice", "_slices", "_rows", "_limit", "_src", "_at", "_part", "_pos", "_before", "_amount", "_inside", "_p", "_n", "_carried", "_hot_k"]
+    fact = spark.range(60).select((F.col("id") % 3).alias("k"), "id", *[F.lit(f"own {n}").alias(n) for n in names])
+    dim = spark.createDataFrame([(0, "a", 1), (1, "b", 2)], "k long, label string, _mark_ int")
+    joined = spread_join(fact, dim, ["k"], "left", hot_rows=5)
+    assert joined.columns == [*fact.columns, "label", "_mark_"]
+    order = [F.col("id")]
+    for df in (joined, place_rows(fact, order, "o"), running_total(fact, order, "id", "o"), number_rows(fact, ["k"], order, "o", hot_rows=5)):
+        got = df.collect()
+        assert len(got) == 60 and all(r[n] == f"own {n}" for r in got for n in names)
+    assert {(r["id"], r["o"]) for r in number_rows(fact, ["k"], order, "o", hot_rows=5).collect()} == {(i, i // 3 + 1) for i in range(60)}
