@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tasteloom.llm import licenses, lines
+from tasteloom.llm import clustering, licenses, lines, mixing, resampling
 
 BLANK = r"[^\x20\x09-\x0D]+"
 ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -135,9 +135,142 @@ QUALITY = f"""
             and not (lines >= 10 and n_dup_lines * 2 > lines) as kept
     from judged"""
 
+
+
+def _clusters_sql() -> str:
+    """Every vector against every centroid in each round, without any bound."""
+    k = clustering
+    far = "cast(list_sum(list_transform(list_zip({v}, {c}), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) as bigint)"
+    parts = []
+    for i in range(k.ROUNDS + 1):
+        parts.append(f"""
+        a{i} as materialized (
+            select row, arg_min(c, (d, c)) as c, min(d) as d from (
+                select p.row, m.c, {far.format(v="p.v", c="m.v")} as d from kept p, c{i} m) group by row)""")
+        if i < k.ROUNDS:
+            parts.append(f"""
+        c{i + 1} as materialized (
+            select o.c, coalesce(n.v, o.v) as v from c{i} o left join (
+                select c, list(cast((s - ((s % n + n) % n)) // n as bigint) order by i) as v from (
+                    select a.c, e.i, sum(p.v[e.i]) as s, count(*) as n from a{i} a join kept p using (row),
+                    range(1, {k.DIMS + 1}) e(i) group by all) group by c) n using (c))""")
+    last = k.ROUNDS
+    return f"""
+        with whole as (
+            select vec_id, list_transform(embedding, lambda x: cast(x as double) * {k.SCALE}) as v
+            from embeddings where len(embedding) = {k.DIMS}
+        ), kept as materialized (
+            select row_number() over () as row, vec_id, list_transform(v, lambda x: cast(floor(x) as bigint)) as v
+            from whole where len(list_filter(v, lambda x: x is null or not coalesce(abs(x) < {k.largest(k.DIMS)}, false))) = 0
+        ), c0 as materialized (
+            select row_number() over (order by sha256('{k.SEED}:' || vec_id), v) - 1 as c, v
+            from kept order by sha256('{k.SEED}:' || vec_id), v limit {k.CENTROIDS}
+        ), {",".join(parts)},
+        sums as (select c, sum(d) as s from a{last} group by c)
+        select p.vec_id, cast(a.c as integer) as cluster, a.d as distance, cast(s.s as bigint) as cluster_inertia,
+            cast((select sum(s) from sums) as bigint) as inertia, sha256(array_to_string(m.v, ',')) as centroid_sha256
+        from kept p join a{last} a using (row) join sums s on s.c = a.c join c{last} m on m.c = a.c"""
+
+
+def _resampling_sql() -> str:
+    """CRC-32 of every distinct word, byte by byte; then counts, gains and the draw."""
+    r = resampling
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    step = "case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end"
+    table = "n"
+    for _ in range(8):
+        table = f"list_transform([{table}], lambda x: {step})[1]"
+    return f"""
+        with crc as materialized (
+            select list({table} order by n) as t from (select cast(range as bigint) as n from range(256))
+        ), texts as materialized (
+            select row_number() over () as row, doc_id, regexp_extract_all({lower}, '{ALNUM}') as w from documents
+        ), own as (
+            select row, unnest(w) as word from texts
+        ), wanted as (
+            select unnest(regexp_extract_all({lower}, '{ALNUM}')) as word from benchmark
+        ), words as materialized (
+            select word, xor(list_reduce(
+                list_prepend(4294967295, list_transform(range(octet_length(encode(word))),
+                    lambda i: cast('0x' || substr(hex(encode(word)), cast(2 * i + 1 as bigint), 2) as bigint))),
+                lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) % {r.BUCKETS} as bucket
+            from (select word from own union select word from wanted), crc
+        ), s as (
+            select bucket, count(*) as n from own join words using (word) group by bucket
+        ), t as (
+            select bucket, count(*) as n from wanted join words using (word) group by bucket
+        ), sums as (
+            select (select coalesce(sum(n), 0) from s) + {r.BUCKETS}.0 as s, (select coalesce(sum(n), 0) from t) + {r.BUCKETS}.0 as t
+        ), gains as materialized (
+            select range as bucket, cast(floor(1000 * ln(
+                cast(coalesce(t.n, 0) + 1 as double) * cast(sums.s as double)
+                / (cast(coalesce(s.n, 0) + 1 as double) * cast(sums.t as double)))) as bigint) as gain
+            from range({r.BUCKETS}) left join s on s.bucket = range left join t on t.bucket = range, sums
+        ), weights as (
+            select row, count(*) as n, sum(gain) as weight
+            from own join words using (word) join gains using (bucket) group by row
+        ), scored as (
+            select x.doc_id, x.row, coalesce(g.n, 0) as n_features, cast(coalesce(g.weight, 0) as bigint) as weight,
+                cast('0x' || substr(sha256('{r.SEED}:' || coalesce(cast(x.doc_id as varchar), '')), 1, 8) as bigint) as h
+            from texts x left join weights g using (row)
+        ), noisy as (
+            select *, weight + cast(floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296::double))) as bigint) as score from scored
+        ), ranked as (
+            select *, row_number() over (partition by n_features >= {r.LEAST_WORDS} order by score desc, doc_id) as place,
+                (select count(*) from noisy where n_features >= {r.LEAST_WORDS}) * {r.PERCENT} // 100 as drawn
+            from noisy
+        )
+        select doc_id, n_features, weight, score,
+            case when n_features >= {r.LEAST_WORDS} and place <= drawn then place end as rank
+        from ranked"""
+
+
+def _mixing_sql() -> str:
+    """Shares are reshared often enough for twenty sources; the words taken are the first ones of each shuffled source."""
+    m = mixing
+    weights = "[" + ", ".join(map(str, m.WEIGHTS)) + "]"
+    rounds = ", ".join(
+        f"""
+        r{i + 1} as materialized (
+            select r.* replace (free and w * rest <= cap * left_w as free) from r{i} r, (
+                select (select coalesce(sum(size), 0) from r{i}) - coalesce(sum(cap) filter (not free), 0) as rest,
+                    coalesce(sum(w) filter (free), 0) as left_w from r{i})
+        )"""
+        for i in range(20)
+    )
+    return f"""
+        with rows as materialized (
+            select row_number() over () as row, doc_id, cast(len(regexp_extract_all(coalesce(text, ''), '{BLANK}')) as bigint) as size,
+                coalesce('0' || source, '1') as key, md5('{m.SEED}:' || coalesce(cast(doc_id as varchar), '')) as mark
+            from documents
+        ), r0 as materialized (
+            select key, size, {weights}[(number - 1) % {len(m.WEIGHTS)} + 1] as w, {m.MOST} * size as cap, true as free from (
+                select key, sum(size) as size, row_number() over (order by key) as number from rows group by key)
+        ), {rounds},
+        last as (
+            select (select coalesce(sum(size), 0) from r20) - coalesce(sum(cap) filter (not free), 0) as rest,
+                coalesce(sum(w) filter (free), 0) as left_w from r20
+        ), targets as (
+            select key, cast(size as bigint) as source_size, cap,
+                case when free then cast(rest as double) * cast(w as double) / greatest(cast(left_w as double), 1.0)
+                    else cast(cap as double) end as target
+            from r20, last
+        ), laid as (
+            select r.*, t.source_size, t.target, least(round(t.target), t.cap) as goal,
+                sum(r.size) over (partition by key order by r.mark, r.doc_id nulls first, r.size, r.row) - r.size as start
+            from rows r join targets t using (key)
+        )
+        select doc_id, size, source_size, target, cast(
+            {" + ".join(f"greatest(least(goal - start - {i} * source_size, size), 0)" for i in range(m.MOST))} as bigint) as taken
+        from laid"""
+
+
 ORACLE = {
     "op1_license_scan": _license_sql(),
     "op4_substring_dedup": REPEATS,
     "op6_line_dedup": LINES,
     "op9_quality_rules": QUALITY,
+    "op11_centroid_clustering": _clusters_sql(),
+    "op12_importance_resampling": _resampling_sql(),
+    "op13_source_mixing": _mixing_sql(),
 }

@@ -9,7 +9,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tasteloom.llm import ann, bpe, licenses, lines, minhash, packing, quality, secret_scan, sharding, substrings
+from tasteloom.llm import (
+    ann, bpe, clustering, licenses, lines, minhash, mixing, packing, quality, resampling, secret_scan, sharding, substrings,
+)
 from tasteloom.llm.oracles import ORACLE  # noqa: F401
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -117,10 +119,25 @@ def op10_one_bit_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cluster(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resampling.scores(_table(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, each = mixing.mix(_table(spark, sf_dir))
+    return each
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_license_scan, op2_best_fit_packing, op3_minhash_near_dedup, op4_substring_dedup, op5_byte_bpe,
         op6_line_dedup, op7_ring_sharding, op8_secret_scan, op9_quality_rules, op10_one_bit_search,
+        op11_centroid_clustering, op12_importance_resampling, op13_source_mixing,
     )
 }
