@@ -91,7 +91,8 @@ def schedule(goals: DataFrame, block: int = BLOCK) -> DataFrame:
     earlier = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.select("key", "part", F.coalesce(F.sum("here").over(earlier), F.lit(0)).alias("before"))
     inside = F.row_number().over(Window.partitionBy("key", "part").orderBy("slot"))
-    ranked = slots.withColumn("inside", inside).join(before, ["key", "part"])
+    # Exploded rows are more than the planner takes them for, so it must not choose a broadcast.
+    ranked = slots.withColumn("inside", inside).join(before.hint("merge"), ["key", "part"])
     return ranked.select("slot", "key", (F.col("before") + F.col("inside") - 1).alias("block"))
 
 
@@ -140,8 +141,8 @@ def mix(
     rows = settle(sized(docs, seed), "sized")
     goals = targets(rows, weights, most)
     placed = settle(laid(rows, goals), "placed")
-    slots = schedule(goals, block)
-    mixed = settle(spans(placed, block, most).join(slots, ["key", "block"]), "mix")
+    slots = settle(schedule(goals, block), "slots")
+    mixed = settle(spans(placed, block, most).join(slots.hint("merge"), ["key", "block"]), "mix")
     # A row with words is the only one of its source that starts where it does.
     amounts = mixed.groupBy("key", "start").agg(F.sum("words").alias("taken"))
     full = placed.filter("size > 0").join(amounts, ["key", "start"], "left")
