@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from tasteloom.functions.scalar import any_null, bucket, is_number, percent
+from tasteloom.shared import RanOnce
 
 PAIR = ("user_id", "product_id")
 REQUIRED = ("user_id", "product_id", "rating")
@@ -89,11 +90,6 @@ def scored_only(df: DataFrame, column: str = "prediction") -> DataFrame:
     return df.filter(is_number(F.col(column)))
 
 
-def sample_rows(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
-    """A Bernoulli sample; repeatable only while the input partitions stay the same."""
-    return df.sample(fraction=fraction, seed=seed)
-
-
 def sample_by_key(df: DataFrame, keys: Sequence[str], percentage: int) -> DataFrame:
     """Rows whose key hash falls into the first ``percentage`` of 100 buckets."""
     return df.filter(bucket(*keys) < percentage)
@@ -165,13 +161,48 @@ def _rating_in_bounds(rules: CleanRules) -> Column:
 
 def clean(df: DataFrame, rules: CleanRules = CleanRules()) -> DataFrame:
     """Pick, drop nulls, drop duplicates, cast, filter the range."""
-    picked = pick(df, rules.required, rules.optional)
-    kept = without_nulls(picked, None if rules.nulls == "any" else rules.required)
+    return _steps(df, rules, lambda rows, step: rows)
+
+
+def _steps(df: DataFrame, rules: CleanRules, seen: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """The steps of ``clean``; ``seen`` gets the rows that each one leaves."""
+    picked = seen(pick(df, rules.required, rules.optional), "total")
+    kept = seen(without_nulls(picked, None if rules.nulls == "any" else rules.required), "null")
     if rules.filter_first:
-        kept = kept.filter(_rating_in_bounds(rules))
-    unique = dedup(kept, rules.duplicates)
-    typed = coerce(unique, rules.types, rules.required)
-    return typed if rules.filter_first else in_range(typed, rules.low, rules.high)
+        kept = seen(kept.filter(_rating_in_bounds(rules)), "early_range")
+    unique = seen(dedup(kept, rules.duplicates), "duplicate")
+    typed = seen(coerce(unique, rules.types, rules.required), "type")
+    return typed if rules.filter_first else seen(in_range(typed, rules.low, rules.high), "range")
+
+
+class Watched:
+    """``clean`` with its audit taken by the pass that writes the clean rows.
+
+    Write ``rows`` once, inside ``with watched.writing:``; ``audit`` then has the rows of ``clean_audit``.  Spark adds
+    up what every finished task has seen, and tasks that run again are added twice.  So when any task of the
+    write failed, as with a lost executor, ``audit`` falls back to ``clean_audit``, which reads the feed again.
+    """
+
+    def __init__(self, df: DataFrame, rules: CleanRules = CleanRules()):
+        self.df, self.rules = df, rules
+        self.writing = RanOnce(df.sparkSession)
+        self._seen: dict[str, Observation] = {}
+        self.rows = _steps(df, rules, self._watch)
+
+    def _watch(self, rows: DataFrame, step: str) -> DataFrame:
+        self._seen[step] = Observation()
+        return rows.observe(self._seen[step], F.count(F.lit(1)).alias("rows"))
+
+    def audit(self) -> DataFrame:
+        """Rows left and removed after every step."""
+        if not self.writing.surely:
+            return clean_audit(self.df, self.rules)
+        left = {step: seen.get["rows"] for step, seen in self._seen.items()}
+        steps = list(left)
+        removed = [F.lit(left["total"]).cast("long").alias("total")]
+        for before, step in zip(steps, steps[1:], strict=False):
+            removed.append(F.lit(left[before] - left[step]).cast("long").alias(step))
+        return _audit_rows(self.df.sparkSession.range(1).select(*removed), steps[1:])
 
 
 def clean_audit(df: DataFrame, rules: CleanRules = CleanRules()) -> DataFrame:
@@ -214,7 +245,11 @@ def clean_audit(df: DataFrame, rules: CleanRules = CleanRules()) -> DataFrame:
         F.count_if(alive & castable & ~in_bounds).alias("range"),
     ).na.fill(0)
     middle = ["duplicate", "type"]
-    steps = ["null", "early_range", *middle] if rules.filter_first else ["null", *middle, "range"]
+    return _audit_rows(removed, ["null", "early_range", *middle] if rules.filter_first else ["null", *middle, "range"])
+
+
+def _audit_rows(removed: DataFrame, steps: Sequence[str]) -> DataFrame:
+    """One row per step from one row of the rows that each removes, and their ``total``."""
     gone = F.lit(0).cast("long")
     rows = []
     for number, step in enumerate(steps, 1):

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tasteloom.spread import place_rows, spread_joins
@@ -12,17 +12,26 @@ from tasteloom.spread import place_rows, spread_joins
 CODES = {"user_id": "user_idx", "product_id": "item_idx"}
 
 
-def hash_codes(df: DataFrame, codes: Mapping[str, str] = CODES) -> DataFrame:
-    """Add 32-bit hashes of the ids.  Different ids can share a code."""
-    return df.withColumns({out: F.hash(F.col(c).cast("string")) for c, out in codes.items()})
+def md5_code(bits: int = 32) -> Callable[[Column], Column]:
+    """The leading ``bits`` (a multiple of four) of an id's MD5: the same code in any system."""
+    return lambda text: F.conv(F.substring(F.md5(text), 1, bits // 4), 16, 10).cast("long")
 
 
-def hash_collisions(df: DataFrame, codes: Mapping[str, str] = CODES) -> DataFrame:
+def hash_codes(
+    df: DataFrame, codes: Mapping[str, str] = CODES, code: Callable[[Column], Column] = F.hash
+) -> DataFrame:
+    """Add hashes of the ids as text, Spark's own of 32 bits if no ``code`` is given.  Different ids can share a code."""
+    return df.withColumns({out: code(F.col(c).cast("string")) for c, out in codes.items()})
+
+
+def hash_collisions(
+    df: DataFrame, codes: Mapping[str, str] = CODES, code: Callable[[Column], Column] = F.hash
+) -> DataFrame:
     """Per id column: ids, distinct codes, and ids that share a code with another."""
     parts = []
     for column in codes:
         ids = df.select(F.col(column).cast("string").alias("id")).na.drop().distinct()
-        by_code = ids.groupBy(F.hash("id").alias("code")).agg(F.count(F.lit(1)).alias("n"))
+        by_code = ids.groupBy(code(F.col("id")).alias("code")).agg(F.count(F.lit(1)).alias("n"))
         parts.append(
             by_code.agg(
                 F.coalesce(F.sum("n"), F.lit(0).cast("long")).alias("ids"),

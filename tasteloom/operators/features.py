@@ -143,6 +143,12 @@ def training_frame(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).try_cast(t).alias(c) for c, t in TRAINING_TYPES.items()]).na.drop()
 
 
+def feature_frames(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The training frame, and every rating row with all features; the feed is read once for both."""
+    df = settle(df, "feed")
+    return training_frame(df), enrich(df)
+
+
 def enrich(df: DataFrame) -> DataFrame:
     """Every rating row with all user and product features, frequency and ranks."""
     df = settle(df)

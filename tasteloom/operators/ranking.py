@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tasteloom.operators.clean import PAIR, newest_first, scored_only
-from tasteloom.spread import number_rows, spread_join
+from tasteloom.spread import number_rows, place_rows, spread_join, unused
 
 
 def numbered_latest(df: DataFrame, keys: Sequence[str] = PAIR, out: str = "rn") -> DataFrame:
@@ -28,6 +28,19 @@ def count_rank(df: DataFrame, count: str, out: str) -> DataFrame:
     return df.join(F.broadcast(ranks), count, "left").select(*df.columns, out)
 
 
+def value_rank(df: DataFrame, score: str, out: str, descending: bool = True) -> DataFrame:
+    """Dense rank by any score, for scores that may all be different.
+
+    The different scores are placed over range partitions; a score's position is its rank, which goes
+    back to the rows by a join that splits scores with very many rows.  A null score has no rank.
+    """
+    (position,) = unused([*df.columns, out], "_place")
+    scores = df.select(score).filter(F.col(score).isNotNull()).distinct()
+    placed = place_rows(scores, [F.desc(score) if descending else F.asc(score)], position)
+    ranks = placed.select(score, (F.col(position) + 1).alias(out))
+    return spread_join(df, ranks, [score], "left").select(*df.columns, out)
+
+
 def top_k_with_ties(
     scored: DataFrame, k: int, user: str = "user_id", score: str = "prediction", out: str = "rank"
 ) -> DataFrame:

@@ -45,12 +45,16 @@ def with_price(recs: DataFrame) -> DataFrame:
     return recs.withColumn("price", price_of(F.col("category"), F.col("product_id")))
 
 
+def _pictured(manifest: DataFrame) -> DataFrame:
+    return manifest.select("product_id").distinct().withColumn("_own", F.lit(True))
+
+
 def with_picture(recs: DataFrame, manifest: DataFrame) -> DataFrame:
     """The product's own picture if the manifest has one, else the category's."""
-    marked = spread_join(
-        recs, manifest.select("product_id").distinct().withColumn("_own", F.lit(True)),
-        ["product_id"], "left",
-    )
+    return _with_url(spread_join(recs, _pictured(manifest), ["product_id"], "left"))
+
+
+def _with_url(marked: DataFrame) -> DataFrame:
     before, after = PICTURE_PATH.split("{}")
     own = F.concat(F.lit(before), F.col("product_id").cast("string"), F.lit(after))
     return marked.withColumn(
@@ -60,7 +64,10 @@ def with_picture(recs: DataFrame, manifest: DataFrame) -> DataFrame:
 
 def enriched(recs: DataFrame, catalogue: DataFrame, manifest: DataFrame) -> DataFrame:
     """Name, category, price and picture for every recommendation."""
-    return with_picture(with_price(with_category(with_names(recs, catalogue))), manifest)
+    # Names and pictures have the same key, so they are one table, joined once.
+    names = catalogue.select("product_id", "product_name").join(_pictured(manifest), "product_id", "full")
+    named = spread_join(recs, names, ["product_id"], "left")
+    return _with_url(with_price(with_category(named)))
 
 
 def pages(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tasteloom.functions.scalar import year_of
+from tasteloom.functions.scalar import utc_day, year_of
 from tasteloom.operators import charts, stats
 from tasteloom.operators.evaluate import long_form
 from tasteloom.shared import settle
@@ -34,8 +34,8 @@ def explore(df: DataFrame) -> dict[str, DataFrame]:
 def explore_report(df: DataFrame) -> DataFrame:
     """The scalar figures and the short histograms as (section, metric, value).
 
-    The feed is read twice: once for all scalar figures, once for the rows per
-    rating and year, from which both histograms and the median follow.
+    The feed is read three times: once for all scalar figures, once for the rows per
+    rating and month, from which all histograms and the median follow, and once for the products with most ratings.
     """
     timed = "ts" in df.columns
     figures = [*stats.basic_counts(), *stats.summary_figures()]
@@ -48,6 +48,7 @@ def explore_report(df: DataFrame) -> DataFrame:
     if timed:
         figures += stats.year_figures()
         groups["year"] = year_of(F.col("ts"))
+        groups["month"] = F.date_format(utc_day(F.col("ts")), "yyyy-MM")
         sections["time"] = ["earliest_year", "latest_year"]
     scalars = df.agg(*figures).select("*", *stats.basic_ratios())
     entries = [
@@ -77,7 +78,13 @@ def explore_report(df: DataFrame) -> DataFrame:
     out = out.unionByName(
         long_form("rating", stats.median_of_counts(values, "rating", "n"), {"median": "median"})
     ).unionByName(counted("rating_value", "rating"))
-    return out.unionByName(counted("year", "year")) if timed else out
+    top = stats.most_reviewed(df).select(
+        F.lit("most_reviewed").alias("section"),
+        F.col("product_id").cast("string").alias("metric"),
+        F.col("review_count").cast("double").alias("value"),
+    )
+    out = out.unionByName(top)
+    return out.unionByName(counted("year", "year")).unionByName(counted("month", "month")) if timed else out
 
 
 def save_exploration(df: DataFrame, base: str) -> dict[str, str]:
@@ -105,8 +112,10 @@ def chart_tables(ratings: DataFrame, predictions: DataFrame, report: DataFrame)
         "rating_density": charts.kde(ratings),
         "top_products": stats.top_rated(ratings),
         "user_activity": charts.activity_bins(users),
+        "user_density": charts.activity_densities(users),
         "heatmap": charts.heatmap(ratings),
         "score_bins": charts.score_bins(predictions),
+        "score_density": charts.score_density(predictions),
         "metrics": charts.metric_groups(report),
     }
 
@@ -118,14 +127,16 @@ def chart_points(tables: dict[str, DataFrame]) -> DataFrame:
         "rating_density": ("x", "density"),
         "top_products": ("product_id", "avg_rating"),
         "user_activity": ("lower", "rows"),
+        "user_density": ("x", "density"),
         "heatmap": ("product_id", "mean_rating"),
         "score_bins": ("lower", "rows"),
+        "score_density": ("x", "density"),
         "metrics": ("metric", "value"),
     }
     out = None
     for name, table in tables.items():
         x, y = axes[name]
-        if name in ("user_activity", "metrics"):
+        if name in ("user_activity", "user_density", "metrics"):
             label = F.concat(F.lit(f"{name}:"), F.col("chart"))
         elif name == "heatmap":
             label = F.concat(F.lit("heatmap:"), F.col("user_id").cast("string"))

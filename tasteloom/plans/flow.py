@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from tasteloom.operators import clean, ranking, recommend
 from tasteloom.operators.clean import CleanRules
 from tasteloom.operators.model import FULL, AlsSpec, save_model
+from tasteloom.operators.sampling import sample_share
 from tasteloom.plans.explore import save_exploration
 from tasteloom.plans.train import evaluation_report, train, train_report
 from tasteloom.shared import scratch, settle
@@ -38,8 +39,8 @@ def run(
 ) -> Written:
     """Clean, explore, train, evaluate, recommend; everything goes below ``base``.
 
-    The clean table is written once and every later step reads it.  ``sample``
-    trains on a share of the raw rows.  Recommendations go to a folder of the run.  Intermediate
+    The clean table is written once, with its audit from the same pass, and every later step reads it.  ``sample``
+    cleans, audits and trains on a share of the raw rows, of exact size.  Recommendations go to a folder of the run.  Intermediate
     tables are removed at the end.
     """
     with scratch(raw.sparkSession):
@@ -49,10 +50,12 @@ def run(
 def _run(
     raw: DataFrame, base: str, run_id: str, rules: CleanRules, spec: AlsSpec, n: int, sample: float | None, explore: bool
 ) -> Written:
-    rows = clean.sample_rows(raw, sample) if sample else raw
-    clean_path = write_parquet(clean.clean(rows, rules), f"{base}/clean")
+    rows = settle(sample_share(raw, sample, raw.columns), "sample") if sample else raw
+    watched = clean.Watched(rows, rules)
+    with watched.writing:
+        clean_path = write_parquet(watched.rows, f"{base}/clean")
     ratings = raw.sparkSession.read.parquet(clean_path)
-    reports = {"audit": write_report(clean.clean_audit(raw, rules), f"{base}/audit")}
+    reports = {"audit": write_report(watched.audit(), f"{base}/audit")}
     if explore:
         reports |= save_exploration(ratings, f"{base}/exploration")
     trained = train(ratings, spec)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tasteloom.operators.profile import duplicate_rows, profile, shape
-from tasteloom.shared import settle
+from tasteloom.operators.sketches import column_figures, column_sketches
+from tasteloom.shared import RanOnce, settle
 from tasteloom.sources.writers import resize
 
 
@@ -35,3 +37,24 @@ def ingest(df: DataFrame, partitions: int | None = None) -> tuple[DataFrame, Dat
     """
     laid_out = settle(resize(df, partitions), "feed")
     return laid_out, ingest_report(laid_out)
+
+
+def ingest_sketched(df: DataFrame, partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """The feed in evenly sized partitions, and its column sketches from the pass that writes it.
+
+    The second table is ``sketches.column_sketches``: rows, nulls and a sketch of the distinct values per
+    column; keep it, and merge it with those of other days.  If a task of the pass ran more than once, the
+    sketches are made from the written feed instead, since Spark would have counted its rows twice.
+    """
+    watch = Observation()
+    figures, entries = column_figures(df)
+    once = RanOnce(df.sparkSession)
+    with once:
+        laid_out = settle(resize(df.observe(watch, *figures), partitions), "feed")
+    if not once.surely:
+        return laid_out, column_sketches(laid_out)
+    spark = df.sparkSession
+    seen = spark.createDataFrame([tuple(watch.get.values())], T.StructType([
+        T.StructField(name, T.BinaryType() if isinstance(value, bytes | bytearray) else T.LongType()) for name, value in watch.get.items()
+    ]))
+    return laid_out, seen.select(F.inline(F.array(*entries)))

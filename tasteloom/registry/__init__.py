@@ -5,6 +5,7 @@ from tasteloom.registry import (  # noqa: F401
     evaluating,
     exploring,
     featuring,
+    keeping,
     modelling,
     profiling,
     relating,

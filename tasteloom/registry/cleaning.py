@@ -155,9 +155,7 @@ def clean_ratings(spark, folder):
     return clean.clean(feeds.dirty_feed(spark, folder))
 
 
-@query(
-    "clean_audit",
-    f"""SELECT step_no, step, removed, round(removed / total * 100, 2) AS removed_pct, rows_left FROM (
+AUDIT = f"""SELECT step_no, step, removed, round(removed / total * 100, 2) AS removed_pct, rows_left FROM (
           SELECT 1 AS step_no, 'null' AS step, t - a AS removed, a AS rows_left, t AS total FROM
             (SELECT count(*) AS t, count(*) FILTER (WHERE {NO_NULLS}) AS a FROM dirty_feed)
           UNION ALL
@@ -170,7 +168,9 @@ def clean_ratings(spark, folder):
           UNION ALL
           SELECT 4, 'range', c - d, d, t FROM (SELECT count(*) AS t FROM dirty_feed),
             (SELECT count(*) AS c, count(*) FILTER (WHERE rating BETWEEN 0.5 AND 5.0) AS d
-             FROM ({ONE_PER_PAIR}) WHERE user_id <> 'U-bad'))""",
-)
+             FROM ({ONE_PER_PAIR}) WHERE user_id <> 'U-bad'))"""
+
+
+@query("clean_audit", AUDIT)
 def clean_audit(spark, folder):
     return clean.clean_audit(feeds.dirty_feed(spark, folder))

@@ -163,30 +163,21 @@ RATING_BINS = f"""SELECT *, (SELECT round(avg(rating), 2) FROM events_feed) AS m
     (SELECT round(min(rating), 1) FROM events_feed) AS min,
     (SELECT round(max(rating), 1) FROM events_feed) AS max
   FROM ({bins_sql("rating", "events_feed", 20)})"""
-KDE = """SELECT cast(p AS int) AS point, round(lo + p * ((hi - lo) / 199), 6) AS x,
-    round(sum(w * exp(-0.5 * ((lo + p * ((hi - lo) / 199) - v) / h) ** 2)
-              / (n * h * sqrt(2 * 3.141592653589793))), 6) AS density
-  FROM range(200) g(p),
-       (SELECT rating AS v, count(*) AS w FROM events_feed GROUP BY 1),
-       (SELECT min(rating) AS lo, max(rating) AS hi, count(rating) AS n,
-               stddev_samp(rating) * count(rating) ** (-0.2) AS h FROM events_feed)
-  GROUP BY p, lo, hi"""
-
-
-def density_sql(column, source, cells=1000):
-    """A density over the middles of cells."""
+
+
+def density_sql(column, source):
+    """The density of the values themselves, without any grid."""
     return f"""SELECT cast(p AS int) AS point, round(lo + p * ((hi - lo) / 199), 6) AS x,
         round(sum(w * exp(-0.5 * ((lo + p * ((hi - lo) / 199) - v) / h) ** 2)
-                  / (n * h * sqrt(2 * 3.141592653589793))), 6) AS density
+                  / (n * h * sqrt(2 * 3.141592653589793))), 5) AS density
       FROM range(200) g(p),
+           (SELECT {column} AS v, count(*) AS w FROM {source} WHERE {column} IS NOT NULL GROUP BY 1),
            (SELECT min({column}) AS lo, max({column}) AS hi, count({column}) AS n,
-                   stddev_samp({column}) * count({column}) ** (-0.2) AS h FROM {source}),
-           (SELECT l + (least(floor(({column} - l) / (u - l) * {cells}), {cells - 1}) + 0.5) * ((u - l) / {cells}) AS v,
-                   count(*) AS w
-            FROM {source}, (SELECT min({column}) AS l, max({column}) AS u FROM {source}) GROUP BY 1)
+                   stddev_samp({column}) * count({column}) ** (-0.2) AS h FROM {source})
       GROUP BY p, lo, hi"""
 
 
+KDE = density_sql("rating", "events_feed")
 TOP = """SELECT product_id, count(rating) AS review_count, round(avg(rating), 4) AS avg_rating
   FROM {feed} GROUP BY 1 HAVING count(rating) >= 5
   ORDER BY avg_rating DESC, review_count DESC, product_id LIMIT 20"""
@@ -194,6 +185,13 @@ USERS = """(SELECT user_id, cast(count(rating) AS double) AS activity_score,
     round(avg(rating), 4) AS avg_rating FROM {feed} GROUP BY 1)"""
 
 
+def user_density_sql(feed):
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS chart, * FROM ({density_sql(c, USERS.format(feed=feed))})"
+        for c in ("activity_score", "avg_rating")
+    )
+
+
 def activity_sql(feed):
     return " UNION ALL ".join(
         f"SELECT '{c}' AS chart, * FROM ({bins_sql(c, USERS.format(feed=feed), 20)})"
@@ -225,13 +223,7 @@ def chart_rating_kde(spark, folder):
     return charts.kde(feeds.events_feed(spark, folder))
 
 
-@query(
-    "chart_user_density",
-    " UNION ALL ".join(
-        f"SELECT '{c}' AS chart, * FROM ({density_sql(c, USERS.format(feed='orders_feed'))})"
-        for c in ("activity_score", "avg_rating")
-    ),
-)
+@query("chart_user_density", user_density_sql("orders_feed"))
 def chart_user_density(spark, folder):
     users = settle(stats.user_stats(feeds.orders_feed(spark, folder), ordered=False), "users")
     return charts.activity_densities(users)
@@ -280,6 +272,8 @@ def chart_score_bins(spark, folder):
                   FROM ({TOP.format(feed="events_feed")})
         UNION ALL SELECT 'user_activity:' || chart, lower, cast(rows AS double)
                   FROM ({activity_sql("events_feed")})
+        UNION ALL SELECT 'user_density:' || chart, x, density FROM ({user_density_sql("events_feed")})
+        UNION ALL SELECT 'score_density', x, density FROM ({density_sql("prediction", "predictions")})
         UNION ALL SELECT 'heatmap:' || user_id, cast(product_id AS double), mean_rating
                   FROM ({heatmap_sql("events_feed")})
         UNION ALL SELECT 'score_bins', lower, cast(rows AS double) FROM ({SCORE_BINS})

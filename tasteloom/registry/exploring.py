@@ -163,6 +163,10 @@ def _long(section, source, columns):
             "SELECT 'rating_value', cast(rating AS varchar), cast(count(*) AS double) FROM orders_feed GROUP BY rating",
             f"SELECT 'year', cast(year AS varchar), cast(rating_count AS double) FROM ({PER_YEAR})",
             _long("time", YEARS, ["earliest_year", "latest_year"]),
+            """SELECT 'month', strftime(to_timestamp(ts) AT TIME ZONE 'UTC', '%Y-%m'), cast(count(*) AS double)
+               FROM orders_feed GROUP BY 2""",
+            """SELECT 'most_reviewed', cast(product_id AS varchar), n FROM (
+               SELECT product_id, cast(count(rating) AS double) AS n FROM orders_feed GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10)""",
         ]
     ),
 )

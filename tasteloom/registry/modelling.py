@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tasteloom.operators import clean, encode, model, ranking, recommend, relate, split
@@ -67,26 +68,27 @@ def encode_rejects(spark, folder):
     return clean.cast_rejects(feeds.dirty_feed(spark, folder), dict.fromkeys(encode.CODES, "int"))
 
 
-@query("encode_hash_codes", "SELECT count(DISTINCT user_id) AS users, 0 AS users_with_two_codes FROM orders_feed")
+@query(
+    "encode_hash_codes",
+    """SELECT *, cast('0x' || substr(md5(cast(user_id AS varchar)), 1, 8) AS bigint) AS user_idx,
+              cast('0x' || substr(md5(cast(product_id AS varchar)), 1, 8) AS bigint) AS item_idx FROM orders_feed""",
+)
 def encode_hash_codes(spark, folder):
-    """An id has one hash code wherever it occurs."""
-    coded = encode.hash_codes(feeds.orders_feed(spark, folder))
-    codes = coded.groupBy("user_id").agg(F.count_distinct("user_idx").alias("n"))
-    return codes.agg(
-        F.count(F.lit(1)).alias("users"), F.count_if(F.col("n") > 1).cast("int").alias("users_with_two_codes")
-    )
+    """Codes that any system can work out."""
+    return encode.hash_codes(feeds.orders_feed(spark, folder), code=encode.md5_code())
 
 
-@query(
-    "hash_collision_ids",
-    """SELECT 'user_id' AS column_name, count(DISTINCT user_id) AS ids, true AS codes_fit FROM orders_feed
-       UNION ALL SELECT 'product_id', count(DISTINCT product_id), true FROM orders_feed""",
-)
+def _collisions_sql(column):
+    return f"""SELECT '{column}' AS column_name, cast(sum(n) AS bigint) AS ids, count(*) AS codes,
+        cast(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS bigint) AS colliding_ids
+      FROM (SELECT substr(md5(cast({column} AS varchar)), 1, 2) AS code, count(DISTINCT {column}) AS n
+            FROM orders_feed GROUP BY 1)"""
+
+
+@query("hash_collision_ids", f"{_collisions_sql('user_id')} UNION ALL {_collisions_sql('product_id')}")
 def hash_collision_ids(spark, folder):
-    """Codes and ids that share one add up: as many codes as ids, less what collides at most."""
-    found = encode.hash_collisions(feeds.orders_feed(spark, folder))
-    lost = F.col("ids") - F.col("codes")
-    return found.select("column_name", "ids", ((lost >= 0) & (lost <= F.col("colliding_ids"))).alias("codes_fit"))
+    """Ids that share a code, with so few codes that many do."""
+    return encode.hash_collisions(feeds.orders_feed(spark, folder), code=encode.md5_code(8))
 
 
 @query("split_random_rows", "SELECT count(*) AS rows, 0 AS in_both FROM (SELECT DISTINCT * FROM orders_feed)")
@@ -257,6 +259,56 @@ def recommend_one_user(spark, folder):
     return train.decode(settle(best), trained.indexes).select("user_id", "product_id", "prediction")
 
 
+@query(
+    "recommend_one_facts",
+    """SELECT least(10, (SELECT count(DISTINCT product_id) FROM train)
+                        - (SELECT count(*) FROM clean_orders WHERE user_id = u.user_id
+                           AND product_id IN (SELECT product_id FROM train))) AS rows,
+              u.user_id, 0 AS rated, 0 AS out_of_order
+       FROM (SELECT user_id FROM train GROUP BY 1 ORDER BY count(*) DESC, cast(user_id AS varchar) LIMIT 1) u""",
+)
+def recommend_one_facts(spark, folder):
+    """The most active user's list is full, holds no rated product, and every entry scores as the model says, best first."""
+    trained = fitted(spark, folder)
+    best = settle(recommend.recommend_one(trained.model, trained.coded, 0, 10, "user_idx", "item_idx"))
+    named = settle(train.decode(best, trained.indexes))
+    rated = named.join(trained.coded.select("user_id", "product_id"), ["user_id", "product_id"], "left_semi")
+    every = trained.model.recommendForUserSubset(best.select("user_idx").distinct(), 1_000_000)
+    scores = every.select(F.inline("recommendations")).select("item_idx", F.col("rating").alias("score"))
+    unseen = scores.join(trained.coded.filter("user_idx = 0").select("item_idx"), "item_idx", "left_anti")
+    order = Window.orderBy(F.desc("score"), "item_idx")  # over one user's ten best
+    top = unseen.orderBy(F.desc("score"), "item_idx").limit(10).withColumn("at", F.row_number().over(order))
+    mine = best.withColumn("at", F.row_number().over(Window.orderBy(F.desc("prediction"), "item_idx")))
+    off = mine.join(top.select("at", "score"), "at").filter(F.abs(F.col("prediction") - F.col("score")) > 1e-4)
+    count = lambda df: df.agg(F.count(F.lit(1)).cast("int")).scalar()
+    return named.groupBy("user_id").agg(F.count(F.lit(1)).alias("rows")).select(
+        "rows", "user_id", count(rated).alias("rated"), count(off).alias("out_of_order")
+    )
+
+
+@query(
+    "train_report_facts",
+    f"""SELECT unnest(['settings:train_rows', 'settings:rank', 'settings:iterations', 'settings:reg', 'test:test_rows',
+                       'test:scored_rows', 'test:cold_start_rows', 'test:scored_pct', 'error:rmse_within', 'error:mae_within']) AS metric,
+               unnest([(SELECT count(*) FROM train), {model.FAST.rank}, {model.FAST.iterations}, {model.FAST.reg},
+                       t.n, t.k, t.n - t.k, round(t.k / t.n * 100, 2), 1.0, 1.0]::double[]) AS value
+        FROM (SELECT count(*) AS n, count(*) FILTER (WHERE {KNOWN}) AS k FROM test) t""",
+)
+def train_report_facts(spark, folder):
+    """Sizes, settings and yield as SQL counts them; the errors are those of the predictions, worked out here anew."""
+    trained = fitted(spark, folder)
+    report = settle(train.train_report(trained))
+    off = F.col("rating") - F.col("prediction")
+    errors = trained.predictions().agg(F.sqrt(F.avg(off * off)).alias("rmse"), F.avg(F.abs(off)).alias("mae"))
+    name = F.concat_ws(":", "section", "metric")
+    counts = report.filter("section <> 'error' AND metric <> 'fit_seconds'").select(name.alias("metric"), "value")
+    for error in ("rmse", "mae"):
+        same = (F.abs(F.col("value") - errors.select(error).scalar()) < 1e-4).cast("double")
+        one = report.filter((F.col("section") == "error") & (F.col("metric") == error))
+        counts = counts.unionByName(one.select(F.lit(f"error:{error}_within").alias("metric"), same.alias("value")))
+    return counts
+
+
 @query(
     "recommend_popular",
     """SELECT u.user_id, b.product_id, cast(b.rank AS int) AS rank

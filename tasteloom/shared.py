@@ -18,6 +18,7 @@ SETTING = "spark.checkpoint.dir"
 # Spark's setting to delete the shuffle files of a query when it has ended.
 FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _made: list[str] = []
+_tables: list[str] = []
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -83,6 +84,18 @@ def remove(spark: SparkSession, paths: list[str]) -> None:
         place.getFileSystem(conf).delete(place, True)
 
 
+def new_table() -> str:
+    """A table name that no earlier run has used; what is left of such tables goes when the process ends."""
+    _tables.append(f"tasteloom_{uuid.uuid4().hex}")
+    return _tables[-1]
+
+
+def drop_tables(spark: SparkSession, names: list[str]) -> None:
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        _tables.remove(name)
+
+
 @contextlib.contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Intermediate tables written inside the block are deleted at its end."""
@@ -94,9 +107,35 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         del _made[before:]
 
 
+class RanOnce:
+    """A block of Spark work; afterwards ``surely`` says whether every task of it ran once and without failing."""
+
+    KEY = "spark.jobGroup.id"
+
+    def __init__(self, spark: SparkSession):
+        self._context = spark.sparkContext
+        self._group = f"tasteloom-{uuid.uuid4().hex}"
+        self.surely = False
+
+    def __enter__(self) -> RanOnce:
+        self._before = self._context.getLocalProperty(self.KEY)
+        self._context.setLocalProperty(self.KEY, self._group)
+        return self
+
+    def __exit__(self, *error: object) -> None:
+        self._context.setLocalProperty(self.KEY, self._before)
+        tracker = self._context.statusTracker()
+        jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(self._group)]
+        stages = [tracker.getStageInfo(s) for j in jobs if j for s in j.stageIds]
+        # Skipped stages have no tasks; what is no longer known counts as run again.
+        calm = all(s is not None and s.currentAttemptId == 0 and s.numFailedTasks == 0 for s in stages)
+        self.surely = bool(jobs) and all(jobs) and calm and error[0] is None
+
+
 @atexit.register
 def _at_exit() -> None:
     spark = SparkSession.getActiveSession()
-    if spark is not None and _made:
+    if spark is not None and (_made or _tables):
         with contextlib.suppress(Exception):  # the session may have ended before
+            drop_tables(spark, list(_tables))
             remove(spark, _made)

@@ -42,6 +42,17 @@ def events_feed(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def dirty_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Event id, text user id with nulls and malformed ones, and text product id."""
+    events = events_feed(spark, folder)
+    none = F.lit(None).cast("string")
+    user = F.when(F.col("event_id") % 37 == 0, none).when(F.col("event_id") % 53 == 0, F.lit("U-bad"))
+    return events.select(
+        "event_id", user.otherwise(F.col("user_id").cast("string")).alias("user_id"),
+        F.col("product_id").cast("string").alias("product_id"),
+    )
+
+
 def dirty_feed(spark: SparkSession, folder: str) -> DataFrame:
     """The events feed with text ids, nulls and malformed user ids."""
 

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tasteloom.shared import settle
+
 RATING_SCHEMA = T.StructType(
     [
         T.StructField("product_id", T.StringType()),
@@ -16,6 +18,13 @@ RATING_SCHEMA = T.StructType(
         T.StructField("timestamp", T.LongType()),
     ]
 )
+EVENT_SCHEMA = T.StructType(
+    [
+        T.StructField("product_id", T.LongType()),
+        T.StructField("user_id", T.LongType()),
+        T.StructField("event_id", T.LongType()),
+    ]
+)
 RECOMMENDATION_SCHEMA = T.StructType(
     [
         T.StructField("user_id", T.StringType()),
@@ -47,6 +56,29 @@ def read_ratings_csv(
     return df.toDF(*names) if names else df
 
 
+REJECTED = "rejected_line"
+
+
+def divert(
+    spark: SparkSession, path: str, rejects: str, schema: T.StructType = RATING_SCHEMA, header: bool = False
+) -> DataFrame:
+    """The well-formed rows of a ratings CSV; the lines that are not are written to ``rejects`` as text.
+
+    A line is malformed if it has too many or too few fields, or a field that its type cannot hold.  The file
+    is parsed once, without inferring types.
+    """
+    rows = settle(_with_lines(spark, path, schema, header), "parsed")
+    bad = F.col(REJECTED).isNotNull()
+    rows.filter(bad).select(REJECTED).write.mode("overwrite").text(rejects)
+    return rows.filter(~bad).drop(REJECTED)
+
+
+def _with_lines(spark: SparkSession, path: str, schema: T.StructType, header: bool) -> DataFrame:
+    wide = T.StructType([*schema.fields, T.StructField(REJECTED, T.StringType())])
+    options = {"header": header, "encoding": "UTF-8", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": REJECTED}
+    return spark.read.options(**options).schema(wide).csv(path)
+
+
 def read_recommendations_json(
     spark: SparkSession, path: str, schema: T.StructType = RECOMMENDATION_SCHEMA
 ) -> DataFrame:

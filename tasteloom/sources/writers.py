@@ -32,6 +32,17 @@ def write_parquet(df: DataFrame, base: str, run: str | None = None) -> str:
     return path
 
 
+def write_run(df: DataFrame, base: str, run: str, column: str = "run") -> str:
+    """The rows of one run below ``base``, replacing that run's folder and no other.
+
+    Rows are staged and take the old ones' place when all of them are written, so a run
+    that fails leaves what was there.
+    """
+    marked = df.withColumn(column, F.lit(run))
+    marked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(base)
+    return base
+
+
 def write_report(report: DataFrame, path: str) -> str:
     """A long-format report as JSON records."""
     report.write.mode("overwrite").json(path)

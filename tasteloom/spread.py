@@ -59,7 +59,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None, sl
     return listed.select(*keys, number)
 
 
-def _null_slices(df: DataFrame, keys: Sequence[str], hot_rows: int | None) -> Column:
+def null_slices(df: DataFrame, keys: Sequence[str], hot_rows: int | None) -> Column:
     """Slices for rows with a null key.  They match nothing; an outer join may put them anywhere."""
     (name,) = unused(keys, "_rows")
     counts = _counts(df, keys, name)
@@ -95,7 +95,7 @@ def spread_joins(
     for dim, keys, how in joins:
         keys = list(keys)
         # Only outer and anti joins keep rows with a null key.
-        nulls = _null_slices(fact, keys, hot_rows) if how in ("left", "left_anti") else one
+        nulls = null_slices(fact, keys, hot_rows) if how in ("left", "left_anti") else one
         hot = F.broadcast(hot_keys(fact, keys, hot_rows, slices))
         no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
         number = F.when(no_key, nulls).otherwise(F.coalesce(slices, one))

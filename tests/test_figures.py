@@ -3,6 +3,7 @@
 import math
 import statistics
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -112,29 +113,36 @@ def test_density_integrates_to_about_one(spark):
     assert math.isclose(sum(p.density for p in points) * step, 1.0, abs_tol=0.02)
 
 
-def test_density_over_cells_is_close_to_the_exact_one(spark):
+def plain_density(values, points=200):
+    """The density of the values themselves at every point."""
+    x = np.sort(np.array(values))
+    width = x.std(ddof=1) * len(x) ** -0.2
+    at = x[0] + np.arange(points) * (x[-1] - x[0]) / (points - 1)
+    return np.array([np.exp(-0.5 * ((p - x) / width) ** 2).sum() for p in at]) / (len(x) * width * math.sqrt(2 * math.pi))
+
+
+def test_density_equals_that_of_the_values(spark):
     df = spark.range(2_000).select((F.randn(seed=2) * 3).alias("prediction"))
-    exact = charts.kde(df, "prediction").orderBy("point").collect()
-    close = charts.score_density(df).orderBy("point").collect()
-    assert [p.x for p in close] == [p.x for p in exact]
-    assert max(abs(a.density - b.density) for a, b in zip(exact, close, strict=True)) < 1e-3
-    # One cell holds all rows in its middle, so the curve is even on both sides.
-    one = charts.kde(df, "prediction", 3, cells=1).orderBy("point").collect()
-    assert one[0].density == one[2].density < one[1].density
+    exact = plain_density([r[0] for r in df.collect()])
+    close = charts.kde(df, "prediction", digits=12).orderBy("point").collect()
+    assert np.abs(np.array([r.density for r in close]) - exact).max() < 1e-6 * exact.max()
 
 
 def test_density_with_one_hot_user(spark):
-    # Users with 1 to 19 rows and one with a third of all rows; the exact curve counts every value.
+    # Users with 1 to 19 rows and one with a third of all rows.
     score = F.when(F.col("id") == 0, 500_000).otherwise(F.col("id") % 19 + 1).cast("double")
-    users = spark.range(100_000).select(score.alias("activity_score"), (F.col("id") % 5).cast("double").alias("avg_rating"))
-    exact = charts.kde(users, "activity_score").orderBy("point").collect()
-    close = charts.activity_densities(users).filter("chart = 'activity_score'").orderBy("point").collect()
-    peak = exact[0].density
-    assert peak > 0.002
-    assert max(abs(a.density - b.density) for a, b in zip(exact, close, strict=True)) < 0.01 * peak
-    predictions = users.select(F.col("activity_score").alias("prediction"))
-    scores = charts.score_density(predictions).orderBy("point").collect()
-    assert [r.density for r in scores] == [r.density for r in close]
+    users = spark.range(100_000).select(score.alias("activity_score"))
+    exact = plain_density([r[0] for r in users.collect()])
+    close = charts.kde(users, "activity_score", digits=12).orderBy("point").collect()
+    assert exact[0] > 0.002
+    assert np.abs(np.array([r.density for r in close]) - exact).max() < 1e-4 * exact[0]
+
+
+def test_density_without_spread_or_rows(spark):
+    same = spark.range(5).select(F.lit(2.0).alias("rating"))
+    assert {(r.x, r.density) for r in charts.kde(same, "rating", 3).collect()} == {(2.0, None)}
+    assert charts.kde(same.limit(0)).collect() == []
+    assert charts.kde(same.select(F.lit(None).cast("double").alias("rating"))).collect() == []
 
 
 def test_heatmap_wide_has_the_cells_of_the_long_form(ratings):

@@ -29,6 +29,15 @@ def test_run(spark, small, tmp_path):
     assert {"rmse", "mae", "r2", "precision_at_5", "recall_at_5", "coverage", "diversity"} <= metrics
 
 
+def test_a_sampled_run_audits_what_it_cleans(spark, small, tmp_path):
+    raw = feeds.dirty_feed(spark, small)
+    spec = replace(FAST, rank=3, iterations=2)
+    written = flow.run(raw, str(tmp_path / "out"), "r1", spec=spec, n=5, sample=0.5, explore=False)
+    audit = spark.read.json(written.reports["audit"]).orderBy("step_no").collect()
+    assert audit[0].rows_left + audit[0].removed == raw.count() // 2
+    assert audit[-1].rows_left == spark.read.parquet(written.clean).count()
+
+
 def test_run_popular(spark, small, tmp_path):
     raw = feeds.orders_feed(spark, small)
     path = flow.run_popular(raw, str(tmp_path / "popular"), head=3_000, users=7, n=4)
