@@ -262,10 +262,9 @@ def recommend_one_user(spark, folder):
 @query(
     "recommend_one_facts",
     """SELECT least(10, (SELECT count(DISTINCT product_id) FROM train)
-                        - (SELECT count(*) FROM clean_orders WHERE user_id = u.user_id
-                           AND product_id IN (SELECT product_id FROM train))) AS rows,
-              u.user_id, 0 AS rated, 0 AS out_of_order
-       FROM (SELECT user_id FROM train GROUP BY 1 ORDER BY count(*) DESC, cast(user_id AS varchar) LIMIT 1) u""",
+                        - (SELECT max(n) FROM (SELECT count(*) AS n FROM train GROUP BY user_id))) AS rows,
+              (SELECT max(n) FROM (SELECT count(*) AS n FROM train GROUP BY user_id)) AS user_rows,
+              0 AS rated, 0 AS out_of_order""",
 )
 def recommend_one_facts(spark, folder):
     """The most active user's list is full, holds no rated product, and every entry scores as the model says, best first."""
@@ -281,8 +280,10 @@ def recommend_one_facts(spark, folder):
     mine = best.withColumn("at", F.row_number().over(Window.orderBy(F.desc("prediction"), "item_idx")))
     off = mine.join(top.select("at", "score"), "at").filter(F.abs(F.col("prediction") - F.col("score")) > 1e-4)
     count = lambda df: df.agg(F.count(F.lit(1)).cast("int")).scalar()
-    return named.groupBy("user_id").agg(F.count(F.lit(1)).alias("rows")).select(
-        "rows", "user_id", count(rated).alias("rated"), count(off).alias("out_of_order")
+    own = trained.train.join(F.broadcast(named.select("user_id").distinct()), "user_id", "left_semi")
+    return named.agg(F.count(F.lit(1)).alias("rows")).select(
+        "rows", own.agg(F.count(F.lit(1))).scalar().alias("user_rows"),
+        count(rated).alias("rated"), count(off).alias("out_of_order"),
     )
 
 
