@@ -262,8 +262,8 @@ def recommend_one_user(spark, folder):
 @query(
     "recommend_one_facts",
     """SELECT least(10, (SELECT count(DISTINCT product_id) FROM train)
-                        - (SELECT max(n) FROM (SELECT count(*) AS n FROM train GROUP BY user_id))) AS rows,
-              (SELECT max(n) FROM (SELECT count(*) AS n FROM train GROUP BY user_id)) AS user_rows,
+                        - (SELECT max(n) FROM (SELECT count(*) AS n FROM clean_orders GROUP BY user_id))) AS rows,
+              (SELECT max(n) FROM (SELECT count(*) AS n FROM clean_orders GROUP BY user_id)) AS user_rows,
               0 AS rated, 0 AS out_of_order""",
 )
 def recommend_one_facts(spark, folder):
@@ -280,7 +280,7 @@ def recommend_one_facts(spark, folder):
     mine = best.withColumn("at", F.row_number().over(Window.orderBy(F.desc("prediction"), "item_idx")))
     off = mine.join(top.select("at", "score"), "at").filter(F.abs(F.col("prediction") - F.col("score")) > 1e-4)
     count = lambda df: df.agg(F.count(F.lit(1)).cast("int")).scalar()
-    own = trained.train.join(F.broadcast(named.select("user_id").distinct()), "user_id", "left_semi")
+    own = trained.coded.join(F.broadcast(named.select("user_id").distinct()), "user_id", "left_semi")
     return named.agg(F.count(F.lit(1)).alias("rows")).select(
         "rows", own.agg(F.count(F.lit(1))).scalar().alias("user_rows"),
         count(rated).alias("rated"), count(off).alias("out_of_order"),
