@@ -6,28 +6,35 @@ that is a token is found in one step in a minimal perfect hash over the vocabula
 start as single bytes in a doubly linked list; a heap gives the pair of lowest rank, leftmost
 first, until no adjacent pair is a token.
 
-Results of frequent words are remembered per Python worker, in dictionaries of bounded size.
+Texts meet in chunks whose different words are encoded once, and results of frequent words and pieces are
+remembered per Python worker, in dictionaries of bounded size.
 """
 
 from __future__ import annotations
 
 import base64
 import re
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
+from itertools import pairwise
 from struct import pack
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
-# Pieces and words remembered per Python worker, about 200 bytes each.  Frequent ones are met
+# Pieces (about 200 bytes each) and words (about 30) remembered per Python worker.  Frequent ones are met
 # early, so a full memory stays as it is; what it lacks is worked out each time.
-PIECES, WORDS = 800_000, 300_000
+PIECES, WORDS = 600_000, 1_000_000
+CHUNK = 12_000_000  # characters of texts that are looked at together
+PORTION = 1_000_000  # characters, or ids, that are worked on at once
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -145,70 +152,165 @@ class Pieces(dict):
         return made
 
 
-class Words(dict):
-    """Ids of a word with the space before it, put together from its pieces when missing."""
+class Encoder:
+    """Ids of texts by the ranks in the file at ``path``; every match of ``pattern`` is encoded by itself."""
 
     def __init__(self, path: str, pattern: str):
-        super().__init__()
-        self.ranks = read_ranks(path)
-        self.piece = Pieces(self.ranks)
+        self.piece = Pieces(read_ranks(path))
         self.find = regex.compile(pattern).findall
+        # Words met before, and the ids of each after a space.
+        self.known = pa.array([], pa.large_string())
+        self.values, self.sizes = np.array([], dtype="<u4"), np.array([], dtype=np.int64)
 
     def of(self, text: str) -> bytes:
         return b"".join(map(self.piece.__getitem__, self.find(text)))
 
-    def __missing__(self, word: str) -> bytes:
-        made = self.of(" " + word)
-        if len(word) <= 64 and len(self) < WORDS:
-            self[word] = made
-        return made
+    def __call__(self, text: str | None) -> bytes:
+        """Ids of a text as little-endian 32-bit integers; a null text has none."""
+        return self.many([text])[0]
+
+    def many(self, texts: Sequence[str | None]) -> list[bytes]:
+        """The ids of several texts.  Texts meet in chunks of bounded length, and each chunk's different words are looked up once."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        chunk: list[str] = []
+        rows: list[int] = []
+        size = 0
+
+        def done() -> None:
+            for row, ids in zip(rows, self._chunk(chunk), strict=True):
+                out[row].append(ids)
+
+        for row, text in enumerate(texts):
+            for part in portions(text or ""):
+                if _ALONE.search(part):
+                    # Spaces among white space: no cut before a space.  What came before it must not be overtaken.
+                    chunk.append("")
+                    rows.append(row)
+                    done()
+                    chunk, rows, size = [], [], 0
+                    out[row].append(self.of(part))
+                    continue
+                chunk.append(part)
+                rows.append(row)
+                size += len(part)
+                if size > CHUNK:
+                    done()
+                    chunk, rows, size = [], [], 0
+        done()
+        return [b"".join(parts) for parts in out]
+
+    def _chunk(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts in which the pattern cuts before every space."""
+        if not texts:
+            return []
+        cut = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        limits = cut.offsets.to_numpy()
+        firsts = limits[:-1]
+        coded = cut.flatten().dictionary_encode()
+        values, sizes, place = self._words(coded.dictionary)
+        number = place[coded.indices.to_numpy()]
+        # A text's first part has no space before it.
+        number[limits[:-1]] = len(sizes) + np.arange(len(texts))
+        first = [self.of(t.partition(" ")[0]) for t in texts]
+        values = np.concatenate([values, np.frombuffer(b"".join(first), dtype="<u4")])
+        sizes = np.concatenate([sizes, np.array([len(p) // 4 for p in first])])
+        raw = gather(values, sizes, number).tobytes()
+        ends = 4 * np.concatenate([[0], np.cumsum(sizes[number])])[limits]
+        return [raw[a:b] for a, b in pairwise(ends.tolist())]
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of known and new words in a row, how many each has, and where each of ``words`` stands among them."""
+        place = pc.index_in(words, value_set=self.known)
+        new = words.filter(place.is_null())
+        made, lengths = self._spelt(new.to_pylist())
+        values, sizes = np.concatenate([self.values, made]), np.concatenate([self.sizes, lengths])
+        numbers = place.fill_null(-1).to_numpy().astype(np.int64)
+        numbers[numbers < 0] = len(self.known) + np.arange(len(new))
+        if len(self.known) < WORDS:
+            short = pc.less_equal(pc.binary_length(new), 64).to_numpy(zero_copy_only=False)
+            kept = np.flatnonzero(short)[: WORDS - len(self.known)]
+            self.values = np.concatenate([self.values, gather(made, lengths, kept)])
+            self.sizes = np.concatenate([self.sizes, lengths[kept]])
+            self.known = pa.concat_arrays([self.known, new.take(pa.array(kept))])
+        return values, sizes, numbers
+
+    def _spelt(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of each word after a space, in a row, and how many each has.
+
+        The words are cut together, and their different pieces are looked up once.  A piece that begins
+        with a space begins a word, since words hold none.
+        """
+        if any(not w or w[0].isspace() for w in words):
+            parts = [self.of(" " + w) for w in words]
+        else:
+            coded = pa.array(self.find("".join(f" {w}" for w in words)), pa.large_string()).dictionary_encode()
+            pieces, number = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+            parts = [self.piece[p] for p in pieces]
+            begins = np.flatnonzero(np.array([p[0] == " " for p in pieces], dtype=bool)[number])
+            if len(begins) == len(words):
+                sizes = np.array([len(p) // 4 for p in parts], dtype=np.int64)
+                values = gather(np.frombuffer(b"".join(parts), dtype="<u4"), sizes, number)
+                return values, np.add.reduceat(sizes[number], begins) if len(words) else sizes
+            parts = [self.of(" " + w) for w in words]
+        return np.frombuffer(b"".join(parts), dtype="<u4"), np.array([len(p) // 4 for p in parts], dtype=np.int64)
+
+
+def gather(values: np.ndarray, sizes: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """``values`` holds runs of these ``sizes``, one after the other; the runs that ``number`` names, in a row."""
+    starts = np.cumsum(sizes) - sizes
+    taken = sizes[number]
+    ends = np.cumsum(taken)
+    if not len(ends) or not ends[-1]:
+        return values[:0]
+    # The place of each value: its run's beginning, and how far it is into the run.
+    return values[np.arange(ends[-1]) + np.repeat(starts[number] - (ends - taken), taken)]
 
 
 # A space with white space or an end of the text on both sides.
 _ALONE = re.compile(r" (?!\S)(?<!\S )")
+# A space between characters that are no white space.
+_BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 
 
-def split_words(text: str) -> tuple[str, list[str]]:
-    """A first part, and words that each stand after one space, to be encoded separately.
+def portions(text: str) -> Iterator[str]:
+    """A text in parts of bounded length that the pattern cuts as it cuts the whole.
 
-    Patterns of this kind match a space only together with what follows it or as part of a run of
-    white space.  A text may therefore be cut before a space unless white space stands on both
-    sides of the space; such parts stay together.
+    Patterns of this kind match a space only together with what follows it or as part of a run of white
+    space, so a text may be cut before a space that has no white space on either side.
     """
-    first, *rest = text.split(" ")
-    if not _ALONE.search(text):
-        return first, rest
-    parts = [first]
-    for word in rest:
-        last = parts[-1]
-        if (not last or last[-1].isspace()) and (not word or word[0].isspace()):
-            parts[-1] = f"{last} {word}"
-        else:
-            parts.append(word)
-    return parts[0], parts[1:]
+    at = 0
+    while len(text) - at > PORTION:
+        cut = _BETWEEN.search(text, at + PORTION)
+        if cut is None:
+            break
+        yield text[at : cut.start()]
+        at = cut.start()
+    yield text[at:] if at else text
 
 
 @lru_cache(maxsize=4)
-def _words(path: str, pattern: str) -> Words:
-    return Words(path, pattern)
+def _encoder(path: str, pattern: str) -> Encoder:
+    return Encoder(path, pattern)
 
 
-@lru_cache(maxsize=4)
-def _spelled(path: str) -> dict[int, bytes]:
-    """Token bytes by id."""
-    return {i: b for b, i in read_ranks(path).items()}
+class Decoder:
+    """Bytes of many ids at once, from one array with all tokens."""
 
+    def __init__(self, path: str):
+        spelled = {i: b for b, i in read_ranks(path).items()}
+        tokens = [spelled.get(i, b"") for i in range(max(spelled) + 1)]
+        self.sizes = np.array([len(t) for t in tokens], dtype=np.int64)
+        self.bytes = np.frombuffer(b"".join(tokens), dtype=np.uint8)
 
-def encode_text(text: str | None, words: Words) -> bytes:
-    """Ids of a text as little-endian 32-bit integers; a null text has none."""
-    if not text:
-        return b""
-    first, rest = split_words(text)
-    return words.of(first) + b"".join(map(words.__getitem__, rest))
+    def __call__(self, ids: bytes | None) -> bytes:
+        every = np.frombuffer(ids or b"", dtype="<u4")
+        parts = (every[at : at + PORTION] for at in range(0, len(every), PORTION))
+        return b"".join(gather(self.bytes, self.sizes, part).tobytes() for part in parts)
 
 
-def decode_ids(ids: bytes | None, spelled: dict[int, bytes]) -> bytes:
-    return b"".join(map(spelled.__getitem__, np.frombuffer(ids or b"", dtype="<u4").tolist()))
+@lru_cache(maxsize=4)
+def _decoder(path: str) -> Decoder:
+    return Decoder(path)
 
 
 def encode(text: Column, path: str, pattern: str) -> Column:
@@ -220,8 +322,7 @@ def encode(text: Column, path: str, pattern: str) -> Column:
 
     @F.pandas_udf(BinaryType())
     def run(texts: pd.Series) -> pd.Series:
-        words = _words(path, pattern)
-        return pd.Series([encode_text(t, words) for t in texts], dtype=object)
+        return pd.Series(_encoder(path, pattern).many(texts.tolist()), dtype=object)
 
     return run(text)
 
@@ -231,18 +332,7 @@ def decode(ids: Column, path: str) -> Column:
 
     @F.pandas_udf(BinaryType())
     def run(rows: pd.Series) -> pd.Series:
-        spelled = _spelled(path)
-        return pd.Series([decode_ids(r, spelled) for r in rows], dtype=object)
-
-    return run(ids)
-
-
-def ids_array(ids: Column) -> Column:
-    """The ids of ``encode`` as an array of longs, for those who want numbers."""
-
-    @F.pandas_udf("array<bigint>")
-    def run(rows: pd.Series) -> pd.Series:
-        return pd.Series([np.frombuffer(r or b"", dtype="<u4").astype(np.int64) for r in rows])
+        return pd.Series(list(map(_decoder(path), rows)), dtype=object)
 
     return run(ids)
 

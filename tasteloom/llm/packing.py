@@ -31,7 +31,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tasteloom.llm.bpe import WORDS, split_words
 from tasteloom.llm.common import small_table
 from tasteloom.shared import settle
 from tasteloom.spread import place_rows
@@ -46,42 +45,49 @@ PIECE_SCHEMA = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32
 # ---------------------------------------------------------------- tokens and pieces
 
 
-class _Words(dict):
-    """Ids (little-endian 32-bit) of a word after ``lead``, as the tokenizer gives them.
+# Characters of which every Unicode version since 5.0 says alike whether they are letters, numbers, white space or none
+# of these, so that libraries with different tables cut texts alike: ASCII, Latin, Cyrillic, kana, Chinese and
+# Korean, dashes, quotes and dots.
+_SETTLED = re.compile(
+    "[\\x00-\\x7F\u00A1-\u00AC\u00AE-\u024F\u0400-\u0481\u048A-\u04FF\u2010-\u2027\u3041-\u3096\u30A1-\u30FA"
+    "\u4E00-\u9FA5\uAC00-\uD7A3]*"
+)
 
-    At most ``WORDS`` words are remembered; the others are worked out anew.  Words with single
-    line feeds inside are put together from their parts, since a line feed between
-    other characters is never joined with them.  ``marks`` finds the tokens that the file adds to its
-    model, such as an end mark; the tokenizer cuts a text at them before anything else.
+
+class _Tokens:
+    """Ids (little-endian 32-bit) of a text, as the tokenizer file at ``path`` gives them.
+
+    A text goes whole to the ``tokenizers`` library, but for texts of settled characters where the file is plain
+    byte-level BPE: those go to a faster library with the same vocabulary.  ``marks`` finds the tokens that the
+    file adds to its model, such as an end mark; texts are cut at them before anything else.
     """
 
-    def __init__(
-        self, tokenizer, ascii_ids: Callable[[str], list[int]] | None = None, lead: str = " ", marks: re.Pattern | None = None
-    ):
-        super().__init__()
-        self.tokenizer, self.ascii_ids, self.lead, self.marks = tokenizer, ascii_ids, lead, marks
-        self.lines = _Words(tokenizer, ascii_ids, "\n") if lead == " " else None
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
 
-    def of(self, text: str) -> bytes:
-        if self.ascii_ids is not None and text.isascii():
-            return np.array(self.ascii_ids(text), dtype="<u4").tobytes()
-        return self.whole(text)
+        self.tokenizer, self.fast, self.marks = Tokenizer.from_file(path), _fast_ids(path), _marks(path)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def __missing__(self, word: str) -> bytes:
-        parts = word.split("\n") if self.lines is not None else [word]
-        if len(parts) > 1 and word.split() == parts:
-            return self[parts[0]] + b"".join(map(self.lines.__getitem__, parts[1:]))
-        made = self.of(self.lead + word)
-        if len(word) <= 64 and len(self) < WORDS:
-            self[word] = made
-        return made
+    def plain(self, text: str) -> bytes:
+        """Ids of a text without added tokens."""
+        return self.fast(text) if self.fast is not None and _SETTLED.fullmatch(text) else self.whole(text)
+
+    def of(self, text: str) -> bytes:
+        if self.marks is None or not self.marks.search(text):
+            return self.plain(text)
+        if not self.marks.pattern:
+            return self.whole(text)
+        out, at = [], 0
+        for mark in self.marks.finditer(text):
+            out += [self.plain(text[at : mark.start()]), self.whole(mark[0])]
+            at = mark.end()
+        return b"".join([*out, self.plain(text[at:])])
 
 
-def _ascii_ids(path: str) -> Callable[[str], list[int]] | None:
-    """A faster way to the same ids for ASCII text, if the file is of a kind that allows it.
+def _fast_ids(path: str) -> Callable[[str], bytes] | None:
+    """A faster way to the same ids, if the file is of a kind that allows it.
 
     It is for plain byte-level BPE whose ids follow the order of the merges.
     """
@@ -104,7 +110,8 @@ def _ascii_ids(path: str) -> Callable[[str], list[int]] | None:
     hidden = sorted(set(range(256)) - set(shown))
     byte = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
     ranks = {bytes(byte[c] for c in token): i for token, i in model["vocab"].items()}
-    return tiktoken.Encoding("packing", pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    coder = tiktoken.Encoding("packing", pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={})
+    return lambda text: np.asarray(coder.encode_to_numpy(text, disallowed_special=()), dtype="<u4").tobytes()
 
 
 def _marks(path: str) -> re.Pattern | None:
@@ -125,33 +132,8 @@ def _marks(path: str) -> re.Pattern | None:
 
 
 @lru_cache(maxsize=2)
-def _tokenizer(path: str) -> _Words:
-    from tokenizers import Tokenizer
-
-    return _Words(Tokenizer.from_file(path), _ascii_ids(path), marks=_marks(path))
-
-
-def _plain_bytes(text: str, words: _Words) -> bytes:
-    first, rest = split_words(text)
-    return words.of(first) + b"".join(map(words.__getitem__, rest))
-
-
-def _token_bytes(text: str | None, words: _Words, end: bytes) -> bytes:
-    if not text:
-        return end
-    if words.marks is None or not words.marks.search(text):
-        return _plain_bytes(text, words) + end
-    if not words.marks.pattern:
-        return words.whole(text) + end
-    out, at = [], 0
-    for mark in words.marks.finditer(text):
-        if mark.start() > at:
-            out.append(_plain_bytes(text[at : mark.start()], words))
-        out.append(words.whole(mark[0]))
-        at = mark.end()
-    if at < len(text):
-        out.append(_plain_bytes(text[at:], words))
-    return b"".join(out) + end
+def _tokens(path: str) -> _Tokens:
+    return _Tokens(path)
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -169,11 +151,11 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, end = _tokenizer(path), np.array([end_id], dtype="<u4").tobytes()
+        tokens, end = _tokens(path), np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             rows: list[tuple] = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = _token_bytes(text.as_py(), words, end)
+                ids = tokens.of(text.as_py() or "") + end
                 for i, (start, n) in enumerate(cut(len(ids) // 4, capacity)):
                     rows.append((doc, i, start, n, zlib.crc32(ids[4 * start : 4 * (start + n)])))
             if rows:

@@ -61,7 +61,7 @@ def test_added_tokens_that_take_in_white_space(tmp_path):
     path = tmp_path / "tokenizer.json"
     path.write_text(json.dumps(described))
     ids = Tokenizer.from_file(str(path)).encode("one  <|endoftext|> two", add_special_tokens=False).ids
-    made = packing._token_bytes("one  <|endoftext|> two", packing._tokenizer(str(path)), b"")
+    made = packing._Tokens(str(path)).of("one  <|endoftext|> two")
     assert made == np.array(ids, dtype="<u4").tobytes()
 
 
