@@ -32,8 +32,8 @@ from pyspark.sql.types import BinaryType
 
 # Pieces (about 200 bytes each) and words (about 30) remembered per Python worker.  Frequent ones are met
 # early, so a full memory stays as it is; what it lacks is worked out each time.
-PIECES, WORDS = 600_000, 1_000_000
-CHUNK = 12_000_000  # characters of texts that are looked at together
+PIECES, WORDS = 400_000, 1_000_000
+CHUNK = 5_000_000  # characters of texts that are looked at together
 PORTION = 1_000_000  # characters, or ids, that are worked on at once
 
 
