@@ -81,7 +81,8 @@ REPEATS = f"""
         sha256(coalesce(k.kept, '')) as kept_sha256
     from texts x left join kept k using (doc_id)"""
 
-# The exact counts that the sketches stand for; the first place of a line stays.
+# The exact counts that the sketches stand for; the first place of a line stays.  White space at its ends does not count.
+ENDS = "concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))"
 LINES = f"""
     with parts as (
         select doc_id, source, string_split(text, chr(10)) as parts from documents
@@ -89,12 +90,12 @@ LINES = f"""
         select doc_id, coalesce(source, '') as site, unnest(parts) as line, generate_subscripts(parts, 1) as pos
         from parts
     ), wide as (
-        select trim(line, ' ') as k from rows where trim(line, ' ') <> ''
+        select trim(line, {ENDS}) as k from rows where trim(line, {ENDS}) <> ''
         group by 1 having count(distinct site) >= {lines.SITES}
     ), marked as (
         select r.doc_id, r.line, r.pos,
-            w.k is not null and row_number() over (partition by trim(r.line, ' ') order by r.doc_id, r.pos) > 1 as gone
-        from rows r left join wide w on trim(r.line, ' ') = w.k
+            w.k is not null and row_number() over (partition by trim(r.line, {ENDS}) order by r.doc_id, r.pos) > 1 as gone
+        from rows r left join wide w on trim(r.line, {ENDS}) = w.k
     ), kept as (
         select doc_id, count(*) as n_lines, count(*) filter (gone) as n_removed,
             coalesce(string_agg(line, chr(10) order by pos) filter (not gone), '') as text

@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from tasteloom.llm.common import BLANK, let, word_array
 from tasteloom.shared import settle
 
-SAMPLE = 0.01  # share of rows on which costs are estimated
-SAMPLE_ROWS = 2_000  # and the most rows; the estimate needs no more
+SAMPLE_ROWS = 2_000  # different texts on which costs are estimated
+SEED = 9
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 
@@ -134,12 +134,36 @@ RULES = (
 )
 
 
-def estimate(docs: DataFrame, rules: Sequence[Rule] = RULES, sample: float = SAMPLE) -> list[tuple[Rule, float, float]]:
-    """Rules with seconds and share of rows rejected, on a sample; best rejection per cost first.
+def sampled(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
+    """The ``rows`` different texts with the smallest hashes, each once, as ``text``.
+
+    Hashes come first: those in the lowest stretch, which holds twice as many as are wanted, are sorted
+    and cut, without any text.  Then the texts up to the last hash are taken.  So the sample depends on the texts
+    alone, and no task gets more than what is kept.
+    """
+    total = max(docs.count(), 1)
+    width = min((1 << 64) * 2 * rows // total, (1 << 64) - 1)
+    mark = F.xxhash64(F.lit(SEED), F.coalesce("text", F.lit("")))
+    marked = docs.select("text", mark.alias("h"))
+
+    def last(below: int | None) -> tuple[int, int | None]:
+        some = marked if below is None else marked.filter(F.col("h") <= below)
+        kept = some.select("h").distinct().orderBy("h").limit(rows)
+        return kept.agg(F.count(F.lit(1)), F.max("h")).first()
+
+    found, upto = last(width - (1 << 63))  # the stretch begins at the smallest long
+    if found < rows:  # many rows repeat, so the stretch held too few different texts
+        found, upto = last(None)
+    few = marked.filter(F.col("h") <= upto) if found else marked.limit(0)
+    return few.dropDuplicates(["h"]).select("text")
+
+
+def estimate(docs: DataFrame, rules: Sequence[Rule] = RULES, sample: int = SAMPLE_ROWS) -> list[tuple[Rule, float, float]]:
+    """Rules with seconds and share of texts rejected, on a sample of so many texts; best rejection per cost first.
 
     The sample is written once.  Reading it without any rule is timed first and subtracted.
     """
-    rows = settle(docs.select("text").sample(sample, seed=1).limit(SAMPLE_ROWS), "sample")
+    rows = settle(sampled(docs, sample), "sample")
     few = rows.count()
 
     def timed(reject: Column) -> tuple[float, int]:
@@ -164,7 +188,7 @@ def verdict(text: Column, ordered: Sequence[Rule]) -> Column:
     return out
 
 
-def cascade(docs: DataFrame, rules: Sequence[Rule] = RULES, sample: float = SAMPLE) -> DataFrame:
+def cascade(docs: DataFrame, rules: Sequence[Rule] = RULES, sample: int = SAMPLE_ROWS) -> DataFrame:
     """``docs`` with ``rejected_by``: the first rule, in the estimated order, that rejects the row.
 
     Null and empty texts have no words and fall to the shortness rule.  Repeated rows are

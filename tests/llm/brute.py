@@ -15,6 +15,8 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
+ENDS = " \t\n\x0b\x0c\r"  # white space that does not count at the ends of a line
+
 
 def sha(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
@@ -136,7 +138,7 @@ def boilerplate(docs, sites):
     held, first = defaultdict(set), {}
     for d, text, site in sorted(docs, key=lambda x: x[0]):
         for at, line in enumerate((text or "").split("\n") if text is not None else []):
-            if key := line.strip(" "):
+            if key := line.strip(ENDS):
                 held[key].add(site or "")
                 first.setdefault(key, (d, at))
     out = {}
@@ -147,7 +149,7 @@ def boilerplate(docs, sites):
         lines = text.split("\n")
         keep = [
             x for at, x in enumerate(lines)
-            if not x.strip(" ") or len(held[x.strip(" ")]) < sites or first[x.strip(" ")] == (d, at)
+            if not x.strip(ENDS) or len(held[x.strip(ENDS)]) < sites or first[x.strip(ENDS)] == (d, at)
         ]
         out[d] = (len(lines), len(lines) - len(keep), "\n".join(keep))
     return out

@@ -186,7 +186,7 @@ def test_cascade_verdict_does_not_depend_on_the_order(spark):
         r["doc_id"] for r in docs.withColumn("v", quality.verdict(F.col("text"), rules)).filter("v is not null").collect()
     }
     assert rejected(quality.RULES) == rejected(quality.RULES[::-1]) != set()
-    order = [x[0].name for x in quality.estimate(docs, sample=1.0)]
+    order = [x[0].name for x in quality.estimate(docs)]
     assert sorted(order) == sorted(r.name for r in quality.RULES)
 
 
@@ -269,3 +269,15 @@ def test_pipeline_against_plain_version(spark, small):
 def test_pipeline_of_an_empty_table(spark, tmp_path):
     spark.read.parquet("/root/testdata/sf0.001/documents.parquet").filter("false").write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_rules_are_estimated_on_the_texts_with_the_smallest_hashes(spark):
+    """Hot copies count once, the size is exact, and partitions do not matter."""
+    docs = spark.range(6_000).select(F.when(F.col("id") % 3 > 0, F.concat(F.lit("text "), F.col("id"))).otherwise("copy").alias("text"))
+    some = sorted(r["text"] for r in quality.sampled(docs, 500).collect())
+    assert len(some) == len(set(some)) == 500
+    assert some == sorted(r["text"] for r in quality.sampled(docs.repartition(7), 500).collect())
+    assert quality.sampled(docs, 9_999).count() == 4_001
+    assert quality.sampled(docs.limit(0)).collect() == []
+    copies = spark.range(1_000).select(F.lit(None).cast("string").alias("text"))
+    assert [r["text"] for r in quality.sampled(copies, 50).collect()] == [None]
