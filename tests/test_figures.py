@@ -160,7 +160,7 @@ def test_exploration_is_saved(spark, ratings, tmp_path):
 
 def test_report_without_timestamps(ratings):
     sections = {r.section for r in explore.explore_report(ratings.drop("ts")).collect()}
-    assert sections == {"basic", "rating", "rating_value"}
+    assert sections == {"basic", "rating", "rating_value", "most_reviewed"}
     assert "ratings_per_year" not in explore.explore(ratings.drop("ts"))
 
 
