@@ -9,53 +9,59 @@ how much work is done, never the verdict.  Everything is column expressions.
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tasteloom.llm.common import BLANK, let, word_array
+from tasteloom.llm.common import let, word_array
 from tasteloom.shared import settle
 
 SAMPLE_ROWS = 2_000  # different texts on which costs are estimated
 SEED = 9
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
 WINDOW = 5
 
 
 @dataclass(frozen=True)
 class Rule:
-    """``reject`` makes a Boolean column from a text column."""
+    """``reject`` makes a Boolean column from the measures (``measures``) of a text."""
 
     name: str
-    reject: Callable[[Column], Column]
+    reject: Callable[[Mapping[str, Column]], Column]
 
 
 # ------------------------------------------------------------------ measures
 
 
-def n_words(text: Column) -> Column:
-    return F.size(word_array(text)).cast("long")
+def n_words(words: Column) -> Column:
+    return F.size(words).cast("long")
 
 
-def word_chars(text: Column) -> Column:
-    """Code points outside white space."""
-    return F.length(F.regexp_replace(F.coalesce(text, F.lit("")), BLANK, "")).cast("long")
+def word_chars(words: Column) -> Column:
+    """Code points in words."""
+    return F.length(F.array_join(words, "")).cast("long")
 
 
 def n_symbols(text: Column) -> Column:
-    text = F.coalesce(text, F.lit(""))
-    return (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long")
+    return (F.length(text) - F.length(F.regexp_replace(text, SYMBOLS, ""))).cast("long")
 
 
-def n_dup_lines(text: Column) -> Column:
-    """Lines with a word that are equal to an earlier line."""
-    lines = F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    return let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long"))
+def n_dup_lines(lines: Column) -> Column:
+    """Lines with a word that are equal to an earlier line; only where lines repeat they are looked at one by one."""
+    zero = F.lit(0).cast("long")
+
+    def repeats(x: Column) -> Column:
+        return (F.size(x) - F.size(F.array_distinct(x))).cast("long")
+
+    def of(x: Column) -> Column:
+        return F.when(repeats(x) == 0, zero).otherwise(let(F.filter(x, lambda y: y.rlike(r"[^\x20\x09-\x0D]")), repeats))
 
+    return let(F.array_remove(lines, ""), of)
 
-def n_repeat_words(text: Column, window: int = WINDOW) -> Column:
+
+def n_repeat_words(words: Column, window: int = WINDOW) -> Column:
     """Words inside windows of ``window`` words that stand twice or more in the text.
 
     Words are hashed, and windows of hashes; only a text that has fewer different windows than
@@ -94,35 +100,52 @@ def n_repeat_words(text: Column, window: int = WINDOW) -> Column:
     def repeated(w: Column) -> Column:
         return F.when(F.size(F.array_distinct(w)) == F.size(w), zero).otherwise(covered(w))
 
-    hashes = F.transform(word_array(text), lambda w: F.xxhash64(w))
+    hashes = F.transform(words, lambda w: F.xxhash64(w))
     return let(hashes, lambda h: F.when(F.size(h) < window, zero).otherwise(let(windows(h), repeated)))
 
 
+def measures(text: Column, words: Column) -> dict[str, Column]:
+    """The measures of a text that is not null and has these ``words``; one that nothing reads costs nothing."""
+    lines = F.split(text, "\n")
+    return {
+        "n_words": n_words(words),
+        "word_chars": word_chars(words),
+        "n_symbols": n_symbols(text),
+        "n_lines": F.size(lines).cast("long"),
+        "n_dup_lines": n_dup_lines(lines),
+        "n_repeat_words": n_repeat_words(words),
+    }
+
+
+def with_words(text: Column, body: Callable[[Mapping[str, Column]], Column]) -> Column:
+    """``body`` of the measures of ``text``, which is cut into words once; a null text is empty."""
+    return let(word_array(text), lambda w: body(measures(F.coalesce(text, F.lit("")), w)))
+
+
 # ------------------------------------------------------------------ rules
 
 
-def too_short(text: Column) -> Column:
-    return n_words(text) < 10
+def too_short(of: Mapping[str, Column]) -> Column:
+    return of["n_words"] < 10
 
 
-def too_repetitive(text: Column) -> Column:
-    return let(word_array(text), lambda w: F.size(w) * 20) < n_repeat_words(text) * 100
+def too_repetitive(of: Mapping[str, Column]) -> Column:
+    return of["n_repeat_words"] * 100 > of["n_words"] * 20
 
 
-def too_many_symbols(text: Column) -> Column:
+def too_many_symbols(of: Mapping[str, Column]) -> Column:
     """More than a tenth of the characters are symbols."""
-    return n_symbols(text) * 10 > word_chars(text)
+    return of["n_symbols"] * 10 > of["word_chars"]
 
 
-def odd_words(text: Column) -> Column:
+def odd_words(of: Mapping[str, Column]) -> Column:
     """The mean word is longer than 30 characters: no prose."""
-    return word_chars(text) > n_words(text) * 30
+    return of["word_chars"] > of["n_words"] * 30
 
 
-def too_many_same_lines(text: Column) -> Column:
+def too_many_same_lines(of: Mapping[str, Column]) -> Column:
     """More than half of ten or more lines are equal to an earlier one."""
-    lines = F.size(F.split(F.coalesce(text, F.lit("")), "\n"))
-    return (lines >= 10) & (n_dup_lines(text) * 2 > lines)
+    return (of["n_lines"] >= 10) & (of["n_dup_lines"] * 2 > of["n_lines"])
 
 
 RULES = (
@@ -161,38 +184,50 @@ def sampled(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
 def estimate(docs: DataFrame, rules: Sequence[Rule] = RULES, sample: int = SAMPLE_ROWS) -> list[tuple[Rule, float, float]]:
     """Rules with seconds and share of texts rejected, on a sample of so many texts; best rejection per cost first.
 
-    The sample is written once.  Reading it without any rule is timed first and subtracted.
+    The sample is written once.  Reading it and cutting it into words is timed first and subtracted.
     """
     rows = settle(sampled(docs, sample), "sample")
     few = rows.count()
 
-    def timed(reject: Column) -> tuple[float, int]:
+    def timed(reject: Callable[[Mapping[str, Column]], Column]) -> tuple[float, int]:
         started = time.monotonic()
-        found = rows.agg(F.count_if(reject)).first()[0]
+        found = rows.agg(F.count_if(with_words(F.col("text"), reject))).first()[0]
         return time.monotonic() - started, found
 
-    timed(F.length("text") < 0)
-    base, _ = timed(F.length("text") < 0)
+    timed(lambda of: of["n_words"] < 0)
+    base, _ = timed(lambda of: of["n_words"] < 0)
     out = []
     for rule in rules:
-        seconds, found = timed(rule.reject(F.col("text")))
+        seconds, found = timed(rule.reject)
         out.append((rule, max(seconds - base, 1e-4), found / max(few, 1)))
     return sorted(out, key=lambda x: (-x[2] / x[1], x[0].name))
 
 
-def verdict(text: Column, ordered: Sequence[Rule]) -> Column:
+def verdict(of: Mapping[str, Column], ordered: Sequence[Rule]) -> Column:
     """Name of the first rule that rejects, null if none does; later rules are not worked out."""
     out = F.lit(None).cast("string")
     for rule in reversed(ordered):
-        out = F.when(F.coalesce(rule.reject(text), F.lit(False)), F.lit(rule.name)).otherwise(out)
+        out = F.when(F.coalesce(rule.reject(of), F.lit(False)), F.lit(rule.name)).otherwise(out)
     return out
 
 
-def cascade(docs: DataFrame, rules: Sequence[Rule] = RULES, sample: int = SAMPLE_ROWS) -> DataFrame:
-    """``docs`` with ``rejected_by``: the first rule, in the estimated order, that rejects the row.
+def cascade(
+    docs: DataFrame, rules: Sequence[Rule] = RULES, sample: int = SAMPLE_ROWS, measured: bool = False, out: str = "rejected_by"
+) -> DataFrame:
+    """``docs`` with column ``out``: the first rule, in the estimated order, that rejects the row.
+
+    The order rests on measured seconds, so where several rules reject a row another one may be named
+    next time; whether one is named does not change.  A rule that comes after a rejection is not
+    worked out for that row.  With ``measured`` the result has the measures besides, as struct ``measures``: all of
+    them are worked out, once, and the rules read them.
 
-    Null and empty texts have no words and fall to the shortness rule.  Repeated rows are
-    judged alike.  A column named ``rejected_by`` is replaced.
+    Null and empty texts have no words and fall to the shortness rule.  Texts of any length are taken
+    whole.  Repeated rows are judged alike; an empty table stays empty.  Columns of these names are
+    replaced, others stay.
     """
     ordered = [rule for rule, _, _ in estimate(docs, rules, sample)]
-    return docs.withColumn("rejected_by", verdict(F.col("text"), ordered))
+    if not measured:
+        return docs.withColumn(out, with_words(F.col("text"), lambda of: verdict(of, ordered)))
+    every = with_words(F.col("text"), lambda of: F.struct(*[c.alias(name) for name, c in of.items()]))
+    known = docs.withColumn("measures", every)
+    return known.withColumn(out, verdict({c: F.col("measures")[c] for c in measures(F.lit(""), F.array(F.lit("")))}, ordered))

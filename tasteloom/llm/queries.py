@@ -100,17 +100,9 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir).select("doc_id", "text")
-    judged = quality.cascade(docs)
-    text = F.col("text")
-    measured = judged.select(
-        "doc_id",
-        quality.n_words(text).alias("n_words"),
-        quality.word_chars(text).alias("word_chars"),
-        quality.n_symbols(text).alias("n_symbols"),
-        quality.n_dup_lines(text).alias("n_dup_lines"),
-        quality.n_repeat_words(text).alias("n_repeat_words"),
-        F.col("rejected_by").isNull().alias("passed"),
-    )
+    judged = quality.cascade(docs, measured=True)
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    measured = judged.select("doc_id", *[F.col("measures")[c].alias(c) for c in names], F.col("rejected_by").isNull().alias("passed"))
     failed = (F.col("n_words") < 10) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 20)
     return measured.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & F.col("passed")).drop("passed")
 
