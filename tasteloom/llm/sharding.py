@@ -80,21 +80,21 @@ def overflow(counts: list[int], owners: list[int], limits: list[int]) -> list[di
 
 
 def _with_place(df: DataFrame, points: list[tuple[int, int]]) -> DataFrame:
-    """Add ``_ring_place``: the number of the first point at or after the row's hash, wrapping around."""
+    """Add ``place``: the number of the first point at or after the row's hash ``at``, wrapping around."""
     edges = [p for p, _ in points]
     shift = 32 - PREFIX
     rows = []
     for prefix in range(1 << PREFIX):
         low = bisect_left(edges, prefix << shift)
         high = bisect_left(edges, (prefix + 1) << shift)
-        rows.append({"_prefix": prefix, "_low": low, "_edges": edges[low:high]})
-    index = small_table(df.sparkSession, rows, "_prefix: bigint, _low: bigint, _edges: array<bigint>")
-    passed = F.size(F.filter("_edges", lambda e: e < F.col("_ring_at")))
-    place = F.pmod(F.col("_low") + passed, F.lit(len(edges)))
+        rows.append({"prefix": prefix, "low": low, "edges": edges[low:high]})
+    index = small_table(df.sparkSession, rows, "prefix: bigint, low: bigint, edges: array<bigint>")
+    passed = F.size(F.filter("edges", lambda e: e < F.col("at")))
+    place = F.pmod(F.col("low") + passed, F.lit(len(edges)))
     return (
-        df.join(F.broadcast(index), F.shiftright("_ring_at", shift) == F.col("_prefix"))
-        .withColumn("_ring_place", place.cast("long"))
-        .drop("_prefix", "_low", "_edges")
+        df.join(F.broadcast(index), F.shiftright("at", shift) == F.col("prefix"))
+        .withColumn("place", place.cast("long"))
+        .drop("prefix", "low", "edges")
     )
 
 
@@ -104,25 +104,26 @@ def assign(df: DataFrame, key: str, shards: int = SHARDS, places: int = PLACES)
     Every shard gets the same number of rows, give or take one; slots count from 0 without gaps.
     A null key has a place on the ring like any other.  Rows with the same key stand together
     on the ring and may fill more than one shard, so one key may own any share of the rows.
-    Repeated rows each get a slot.  Columns named ``shard`` or ``slot`` are replaced.
+    Repeated rows each get a slot; an empty table stays empty.  Columns named ``shard`` or ``slot`` are replaced, all
+    others stay: rows travel as one struct, so their names meet no other.
     """
     spark = df.sparkSession
     kept = [c for c in df.columns if c.lower() not in ("shard", "slot")]
     hashed = F.pmod(F.xxhash64(F.col(key)), F.lit(RING))
     points = ring(shards, places)
-    on_ring = df.select(*kept).withColumn("_ring_at", hashed)
+    on_ring = df.select(F.struct(*kept).alias("row"), hashed.alias("at"))
     # After the last point comes the first one: the rows there stand in front, so that places ascend.
-    turn = F.when(F.col("_ring_at") > points[-1][0], F.col("_ring_at") - RING).otherwise(F.col("_ring_at"))
-    order = [F.col("_ring_turn"), *[F.col(c) for c in kept]]
-    ordered = place_rows(_with_place(on_ring, points).withColumn("_ring_turn", turn), order, "_at")
-    ordered = settle(ordered.select(*kept, "_ring_place", "_at"), "ring")
+    turn = F.when(F.col("at") > points[-1][0], F.col("at") - RING).otherwise(F.col("at"))
+    order = [F.col("turn"), F.col("row")]
+    ordered = place_rows(_with_place(on_ring.withColumn("turn", turn), points), order, "number")
+    ordered = settle(ordered.select("row", "place", "number"), "ring")
     counts = [0] * len(points)
-    for r in ordered.groupBy("_ring_place").count().collect():  # one row per place on the ring
-        counts[r["_ring_place"]] = r["count"]
+    for r in ordered.groupBy("place").count().collect():  # one row per place on the ring
+        counts[r["place"]] = r["count"]
     stretches = overflow(counts, [s for _, s in points], bounds(sum(counts), shards))
     schema = "place: bigint, first: bigint, last: bigint, shard: int, slot: bigint"
     where = small_table(spark, stretches, schema)
-    inside = F.col("_at").between(F.col("first"), F.col("last"))
-    return ordered.join(F.broadcast(where), (F.col("_ring_place") == F.col("place")) & inside).select(
-        *kept, "shard", (F.col("slot") + F.col("_at") - F.col("first")).alias("slot")
+    inside = F.col("number").between(F.col("first"), F.col("last"))
+    return ordered.join(F.broadcast(where), (ordered["place"] == where["place"]) & inside).select(
+        "row.*", "shard", (F.col("slot") + F.col("number") - F.col("first")).alias("slot")
     )
