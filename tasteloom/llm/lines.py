@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tasteloom.llm.common import let, row_key
 from tasteloom.shared import settle
+from tasteloom.spread import unused
 
 ENDS = " \t\n\x0b\x0c\r"  # white space, as between words
 SITES = 10  # a line on as many distinct sites is boilerplate
@@ -57,13 +58,17 @@ def wide_lines(rows: DataFrame, sites: int = SITES, log_k: int = LOG_K, margin:
     return sure.withColumn("exact", F.lit(False)).unionByName(counted.withColumn("exact", F.lit(True)))
 
 
-def remove_lines(docs: DataFrame, sites: int = SITES, site: str = "source", keep_first: bool = True) -> DataFrame:
-    """``docs`` without boilerplate lines in ``text``, plus ``n_lines`` and ``n_removed``.
+def remove_lines(
+    docs: DataFrame, sites: int = SITES, site: str = "source", keep_first: bool = True,
+    counts: tuple[str, str] = ("n_lines", "n_removed"),
+) -> DataFrame:
+    """``docs`` without boilerplate lines in ``text``, plus how many lines there were and how many went (``counts``).
 
     Other lines stay as they are, blank ones too.  A null text stays null (0 lines); a text
     whose lines all go becomes empty, its row stays.  Rows with equal id and text are one
     document.  With ``keep_first`` a line stays at its first place; null ids come first.
-    Columns named ``n_lines`` or ``n_removed`` are replaced; an empty table stays empty.
+    Texts and lines of any length are taken whole.  Columns with the names in ``counts`` are replaced, all others stay;
+    an empty table stays empty.
     """
     rows = settle(line_rows(docs, site), "lines")
     wide = settle(wide_lines(rows, sites).select("line"), "wide")
@@ -73,19 +78,20 @@ def remove_lines(docs: DataFrame, sites: int = SITES, site: str = "source", keep
         hits = settle(hits, "hits")
         first = hits.groupBy("line").agg(F.min(place).alias("p")).select("p.row", "p.at")
         hits = hits.join(first, ["row", "at"], "left_anti")
-    gone = settle(hits.groupBy("row").agg(F.collect_set("at").alias("_gone")), "gone")
-    kept = docs.drop("n_lines", "n_removed").withColumn("_row", row_key())
-    joined = kept.join(gone.withColumnRenamed("row", "_row"), "_row", "left")
+    gone = settle(hits.groupBy("row").agg(F.collect_set("at").alias("gone")), "gone")
+    kept = docs.drop(*counts)
+    key, cut = unused(docs.columns, "_row", "_gone")
+    joined = kept.withColumn(key, row_key()).join(gone.toDF(key, cut), key, "left")
     lines = F.split("text", "\n")
 
     def without(parts: Column) -> Column:
-        stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_gone"))
+        stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col(cut))
         return F.array_join(F.transform(stay, lambda i: parts[i]), "\n")
 
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(let(lines, without))
-    columns = [text.alias("text") if c == "text" else F.col(c) for c in kept.columns if c != "_row"]
+    text = F.when(F.col(cut).isNull(), F.col("text")).otherwise(let(lines, without))
+    columns = [text.alias("text") if c == "text" else F.col(c) for c in kept.columns]
     return joined.select(
         *columns,
-        F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"),
+        F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias(counts[0]),
+        F.coalesce(F.size(cut), F.lit(0)).cast("long").alias(counts[1]),
     )
