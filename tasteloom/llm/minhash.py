@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tasteloom.llm.common import components, lists_of, lower_ascii, mix, row_key, shared_keys, word_hashes
 from tasteloom.shared import settle
-from tasteloom.spread import spread_join
+from tasteloom.spread import spread_join, unused
 
 WORDS = 5  # in a shingle
 SIMILARITY = 80  # per cent
@@ -257,7 +257,8 @@ def exact_links(active: DataFrame, sets: DataFrame, similarity: int) -> DataFram
 
 def sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """Shingle sets (``cls``, ``words``) of the rows that ``wanted`` (``row``, ``cls``) names."""
-    texts = docs.select(row_key().alias("row"), "text").join(wanted, "row").select("cls", "text")
+    # Rows that are equal in id and text share a key, and there may be any number of them.
+    texts = spread_join(docs.select(row_key().alias("row"), "text"), wanted, ["row"]).select("cls", "text")
     once = texts.dropDuplicates(["cls"]).select("cls", word_hashes(lower_ascii(F.col("text"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,7 +301,8 @@ def near_duplicates(
     sets = settle(sets_of(docs, wanted, words), "sets")
     groups = components(settle(exact_links(active, sets, similarity), "found"))
     tops = groups.join(heads.select("cls", "least"), F.col("node") == F.col("cls")).groupBy("root").agg(F.min("least").alias("top"))
-    of_class = groups.join(tops, "root").select(F.col("node").alias("cls"), "top")
+    # One group may own any share of the classes.
+    of_class = spread_join(groups, settle(tops, "tops"), ["root"]).select(F.col("node").alias("cls"), "top")
     linked = own.join(of_class, "cls", "left").withColumn("top", F.coalesce("top", "least"))
     alone = feats.filter("n = 0").select("uid", "doc_id", "row", "n").withColumn("top", order)
     whole = linked.select("uid", "doc_id", "row", "n", "top").unionByName(alone)
@@ -317,11 +319,13 @@ def near_duplicates(
 def keep_one(docs: DataFrame, **parameters) -> DataFrame:
     """``docs`` with one row of each group of near duplicates, the one with the smallest id.
 
-    Rows without words stay.  All columns come through unchanged.
+    Rows without words stay.  All columns come through unchanged, whatever their names; texts of any length are taken
+    whole; an empty table stays empty.
     """
+    size, key, copy = unused(docs.columns, "_n", "_row", "_copy")
     found = near_duplicates(docs, **parameters).filter("first")
-    stay = found.groupBy("row").agg(F.max("n_shingles").alias("_n")).withColumnRenamed("row", "_row")
-    keyed = docs.withColumn("_row", row_key()).join(stay, "_row")
+    stay = found.groupBy("row").agg(F.max("n_shingles").alias("n")).toDF(key, size)
+    keyed = docs.withColumn(key, row_key()).join(stay, key)
     # Rows that are equal throughout share a key; only one of them stays, unless they have no words.
-    copy = F.when(F.col("_n") > 0, F.lit(-1).cast("long")).otherwise(F.monotonically_increasing_id())
-    return keyed.withColumn("_copy", copy).dropDuplicates(["_row", "_copy"]).select(*docs.columns)
+    number = F.when(F.col(size) > 0, F.lit(-1).cast("long")).otherwise(F.monotonically_increasing_id())
+    return keyed.withColumn(copy, number).dropDuplicates([key, copy]).select(*docs.columns)
