@@ -13,6 +13,7 @@ from tasteloom.llm import (
     ann, bpe, clustering, licenses, lines, minhash, mixing, packing, quality, resampling, secret_scan, sharding, substrings,
 )
 from tasteloom.llm.oracles import ORACLE  # noqa: F401
+from tasteloom.shared import settle
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 TOKENIZER = "byte_bpe_50k.json"
@@ -80,7 +81,11 @@ def op7_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found, _ = secret_scan.scan_history(_table(spark, sf_dir).select("doc_id", "text"))
+    """The base rules first; then all rules, of which the ledger leaves those that no blob has seen."""
+    docs = _table(spark, sf_dir).select("doc_id", "text")
+    seen = settle(secret_scan.scan_unseen(docs, None, secret_scan.BASE), "base-ledger")
+    found, _ = secret_scan.scan_history(docs, seen)
+    kinds = [rule.kind for rule in secret_scan.BASE]
     spans = F.coalesce("spans", F.array().cast("array<struct<start:int,place:int,end:int,kind:string>>"))
 
     def joined(some: Column) -> Column:
@@ -89,10 +94,10 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     def number(kind: str) -> Column:
         return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
-    base = F.filter(spans, lambda s: s["kind"].isin(*secret_scan.BASE))
+    base = F.filter(spans, lambda s: s["kind"].isin(*kinds))
     return found.select(
         "doc_id",
-        *[number(kind) for kind in secret_scan.BASE],
+        *[number(kind) for kind in kinds],
         F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
         joined(spans).alias("spans"),
     )

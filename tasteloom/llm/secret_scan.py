@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tasteloom.shared import settle
+from tasteloom.spread import unused
 
 Spans = list[tuple[int, int]]
 FINDINGS = "array<struct<rule:string,start:int,end:int>>"
@@ -69,7 +70,7 @@ RULES = (
     Rule("host_token", 1, _plain(_HOST_TOKEN, "gh")),
     Rule("web_token", 1, _plain(_WEB_TOKEN, "eyJ")),
 )
-BASE = ("assign", "access", "hex")
+BASE = RULES[:3]
 
 
 def blob_of(text: Column) -> Column:
@@ -133,20 +134,21 @@ def findings_of(ledger: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
 
 
 def scan_history(
-    versions: DataFrame, ledger: DataFrame | None = None, rules: Sequence[Rule] = RULES
+    versions: DataFrame, ledger: DataFrame | None = None, rules: Sequence[Rule] = RULES, out: str = "spans"
 ) -> tuple[DataFrame, DataFrame]:
     """Findings for every row of ``versions``, and the ledger with the new rows.
 
-    The first result has all columns of ``versions`` plus ``spans`` (array of ``start, place, end,
-    kind``; null where nothing was found); an input column of that name is replaced.  Null texts
-    count as empty.  Repeated rows each get the findings; an empty table gives an empty result.
+    The first result has all columns of ``versions`` plus ``out`` (array of ``start, place, end,
+    kind``; null where nothing was found); an input column of that name is replaced, all others stay.  Null texts
+    count as empty, long ones are scanned whole.  Repeated rows each get the findings; an empty table gives an empty result.
     """
     new = settle(scan_unseen(versions, ledger, rules), "ledger")
     whole = new if ledger is None else ledger.select(*new.columns).unionByName(new)
     found = settle(findings_of(whole, rules), "findings")
-    rows = versions.drop("spans").withColumn("_blob", blob_of(F.col("text")))
-    joined = rows.join(found.withColumnRenamed("blob", "_blob"), "_blob", "left")
-    return joined.select(*rows.drop("_blob").columns, "spans"), whole
+    kept = versions.drop(out)
+    (blob,) = unused([*versions.columns, out], "_blob")
+    joined = kept.withColumn(blob, blob_of(F.col("text"))).join(found.toDF(blob, out), blob, "left")
+    return joined.select(*kept.columns, out), whole
 
 
 def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:

@@ -102,6 +102,14 @@ ASSIGN = re.compile(
 )
 
 
+# The kinds besides the base, in order.
+OWN_KINDS = {
+    "key_block": r"-----BEGIN [A-Z ]*PRIVATE KEY-----",
+    "host_token": r"(?<![A-Za-z0-9_])gh[pousr]_[A-Za-z0-9]{36,}",
+    "web_token": r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}",
+}
+
+
 def secrets(text):
     text = text or ""
     found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
@@ -109,7 +117,12 @@ def secrets(text):
     found += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 24]
     kinds = ["assign", "access", "hex"]
     n = Counter(k for _, k, _ in found)
-    return (n[0], n[1], n[2], sha(",".join(f"{kinds[k]}:{a}:{b}" for a, k, b in sorted(found))))
+    joined = lambda some: ",".join(f"{kinds[k]}:{a}:{b}" for a, k, b in sorted(some))
+    base = sha(joined(found))
+    for k, pattern in enumerate(OWN_KINDS.values(), 3):
+        kinds.append(list(OWN_KINDS)[k - 3])
+        found += [(m.start(), k, m.end()) for m in re.finditer(pattern, text)]
+    return (n[0], n[1], n[2], base, joined(found))
 
 
 def quality(text):

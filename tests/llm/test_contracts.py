@@ -129,7 +129,7 @@ PLAIN = {
         lambda rows: brute.boilerplate([(r[0], r[1], r[3]) for r in rows], lines.SITES),
     ),
     "op8_secret_scan": (
-        ["n_assign", "n_access", "n_hex", "base_sha256"], lambda rows: {d: brute.secrets(t) for d, t in pairs(rows)},
+        ["n_assign", "n_access", "n_hex", "base_sha256", "spans"], lambda rows: {d: brute.secrets(t) for d, t in pairs(rows)},
     ),
     "op9_quality_rules": (
         ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"],
