@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tasteloom.llm import lines, minhash, packing, quality, secret_scan
 from tasteloom.shared import settle
+from tasteloom.spread import unused
 
 
 def _measured(docs: DataFrame, columns: list[str]) -> DataFrame:
@@ -22,12 +23,14 @@ def _measured(docs: DataFrame, columns: list[str]) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no rule rejects."""
-    return quality.cascade(docs).filter(F.col("rejected_by").isNull()).select(*docs.columns)
+    (by,) = unused(docs.columns, "rejected_by")
+    return quality.cascade(docs, out=by).filter(F.col(by).isNull()).select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines that many sites share (but for the first place of each)."""
-    return _measured(lines.remove_lines(docs), docs.columns)
+    counts = unused(docs.columns, "n_lines", "n_removed")
+    return _measured(lines.remove_lines(docs, counts=tuple(counts)), docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,8 +40,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def secret_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with a mark in place of every secret."""
-    found, _ = secret_scan.scan_history(docs)
-    clean = found.withColumn("text", secret_scan.redact(F.col("text"), F.col("spans")))
+    (spans,) = unused(docs.columns, "spans")
+    found, _ = secret_scan.scan_history(docs, out=spans)
+    clean = found.withColumn("text", secret_scan.redact(F.col("text"), F.col(spans)))
     return _measured(clean, docs.columns)
 
 
