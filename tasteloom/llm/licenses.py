@@ -3,7 +3,7 @@
 A block is a window of words, wherever lines end: for each template windows of twice its word
 count, one at every quarter of a window, so a notice with half as many words again is seen whole.
 A template is found in a block if at least ``threshold`` of its distinct words stand in the
-block.  The join follows the prefix-filter scheme:
+block, those that name the license (``NAMES``) among them.  The join follows the prefix-filter scheme:
 
 * words are ordered by how many blocks hold them, the rarest first, over all documents;
 * to share ``need`` of its ``m`` words with a template, a block must hold one of the
@@ -58,6 +58,18 @@ TEMPLATES = {
 }
 
 
+# Words of a template without which its notice speaks of another license.
+NAMES = {
+    "apache-2.0": "apache",
+    "mit": "mit",
+    "gpl-notice": "gnu general public",
+    "gpl-program": "gnu general public",
+    "mpl-2.0": "mozilla",
+    "cc-notice": "creative commons attribution",
+    "cc-by-nc": "cc by nc",
+}
+
+
 def _needed(size: int, threshold: float) -> int:
     return max(1, -int(-size * threshold // 1))
 
@@ -88,6 +100,11 @@ def _may_hold(text: Column, phrases: Mapping[str, str]) -> Column:
     return text.rlike(f"(?i)(?:{joined})")
 
 
+def _step(template: str) -> int:
+    """Words from one window for ``template`` to the next."""
+    return max(1, _span(template) // 4)
+
+
 def _span(template: str) -> int:
     """Words in a window for ``template``."""
     return 2 * len(template.split())
@@ -101,7 +118,7 @@ def _blocks(words: Column, templates: Mapping[str, str], threshold: float) -> Co
 
     def of_span(w: Column, held: Column, span: int) -> Column:
         labels = [label for label, t in templates.items() if _span(t) == span]
-        least, step = min(need[label] for label in labels), max(1, span // 4)
+        least, step = min(need[label] for label in labels), _step(templates[labels[0]])
         enough = [F.size(F.array_intersect(held, F.array(*map(F.lit, sets[x])))) >= need[x] for x in labels]
         starts = F.sequence(F.lit(0), F.greatest(F.size(w) - span + step - 1, F.lit(0)), F.lit(step))
         windows = F.transform(
@@ -143,10 +160,13 @@ def read_blocks(
     )
 
 
-def join_templates(blocks: DataFrame, templates: Mapping[str, str], threshold: float) -> DataFrame:
+def join_templates(
+    blocks: DataFrame, templates: Mapping[str, str], threshold: float, names: Mapping[str, str] = NAMES
+) -> DataFrame:
     """Blocks (``uid, span, words``) and the templates they contain: ``uid, label, containment``.
 
-    A template is looked for in the windows of its own span.
+    A template is looked for in the windows of its own span.  ``names`` has the words of a template that have to be
+    there, whatever the threshold.
     """
     spark = blocks.sparkSession
     held = blocks.select(F.explode("words").alias("word")).groupBy("word").count()
@@ -156,14 +176,15 @@ def join_templates(blocks: DataFrame, templates: Mapping[str, str], threshold: f
     rows = []
     for label, text in templates.items():
         ranks = sorted({rank[w] for w in text.split()})
+        must = sorted({rank[w] for w in names.get(label, "").split()})
         need = _needed(len(ranks), threshold)
         for at, r in enumerate(ranks[: len(ranks) - need + 1]):
             rows.append(
-                {"_word": r, "label": label, "_span": _span(text), "_at": at, "_need": need, "_all": ranks}
+                {"_word": r, "label": label, "_span": _span(text), "_at": at, "_need": need, "_all": ranks, "_must": must}
             )
     if not rows:
         return blocks.select("uid", F.lit("").alias("label"), F.lit(0.0).alias("containment")).filter(F.lit(False))
-    index = small_table(spark, rows, "_word: int, label: string, _span: int, _at: int, _need: int, _all: array<int>")
+    index = small_table(spark, rows, "_word: int, label: string, _span: int, _at: int, _need: int, _all: array<int>, _must: array<int>")
     lookup = F.create_map(*[F.lit(x) for w, i in rank.items() for x in (w, i)])
     least = min(r["_need"] for r in rows)
     prefixes = sorted({r["_word"] for r in rows})
@@ -180,7 +201,8 @@ def join_templates(blocks: DataFrame, templates: Mapping[str, str], threshold: f
         .filter(F.least(F.size("_all") - F.col("_at"), F.size("_own") - F.col("_start.i")) >= F.col("_need"))
     )
     shared = F.size(F.array_intersect("_own", "_all"))
-    return candidates.filter(shared >= F.col("_need")).select(
+    named = F.size(F.array_except("_must", "_own")) == 0
+    return candidates.filter((shared >= F.col("_need")) & named).select(
         "uid", "label", (shared / F.size("_all")).alias("containment")
     )
 
@@ -190,20 +212,21 @@ def scan(
     templates: Mapping[str, str] = TEMPLATES,
     phrases: Mapping[str, str] = PHRASES,
     threshold: float = THRESHOLD,
+    names: Mapping[str, str] = NAMES,
 ) -> DataFrame:
     """One row per row of ``docs``: phrase places and template matches over the whole text.
 
     Columns: ``doc_id, n_words, places`` (array of label and word number), ``found`` (array of
     template label and containment, distinct).  A null or empty text has no words and no
-    matches; repeated rows and rows with the same or a null id are judged each for itself; an empty
-    table gives an empty result.
+    matches; texts of any length are taken whole; repeated rows and rows with the same or a null id are judged each
+    for itself; other columns do not matter; an empty table gives an empty result.
     """
     read = settle(
         read_blocks(docs, templates, phrases, threshold).withColumn("uid", F.monotonically_increasing_id()), "blocks"
     )
     blocks = read.select("uid", F.inline("blocks"))
     matches = (
-        join_templates(blocks, templates, threshold)
+        join_templates(blocks, templates, threshold, names)
         .groupBy("uid", "label")
         .agg(F.max("containment").alias("containment"))
         .groupBy("uid")

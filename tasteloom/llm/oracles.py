@@ -13,19 +13,19 @@ def _quoted(text: str) -> str:
 
 
 def _license_sql() -> str:
-    """Phrases by word positions; every line against every template, without any filter."""
+    """Phrases by word positions; every window of a template's span against its words, without any filter."""
     lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-    phrases = ", ".join(
-        f"([{', '.join(map(_quoted, p.split()))}], {_quoted(label)})" for p, label in licenses.PHRASES.items()
-    )
+    listed = lambda words: f"[{', '.join(map(_quoted, words))}]::varchar[]"
+    phrases = ", ".join(f"({listed(p.split())}, {_quoted(label)})" for p, label in licenses.PHRASES.items())
     templates = ", ".join(
-        f"({_quoted(label)}, [{', '.join(map(_quoted, sorted(set(t.split()))))}])"
+        f"({_quoted(label)}, {listed(sorted(set(t.split())))}, {listed(licenses.NAMES.get(label, '').split())}, "
+        f"{licenses._span(t)}, {licenses._step(t)})"
         for label, t in licenses.TEMPLATES.items()
     )
     need = f"ceil(len(t.words) * {licenses.THRESHOLD} - 1e-9)"
     return f"""
         with phrases(words, label) as (values {phrases}),
-        templates(label, words) as (values {templates}),
+        templates(label, words, names, span, step) as (values {templates}),
         texts as (
             select doc_id, coalesce(text, '') as text,
                 regexp_extract_all({lower.format("coalesce(text, '')")}, '{ALNUM}') as w
@@ -35,13 +35,15 @@ def _license_sql() -> str:
         ), places as (
             select t.doc_id, p.label, t.pos from tokens t
             join phrases p on t.w[t.pos + 1] = p.words[1] and t.w[t.pos + 1 : t.pos + len(p.words)] = p.words
-        ), blocks as (
-            select doc_id, unnest(string_split(text, chr(10))) as line from texts
-        ), sets as (
-            select doc_id, list_distinct(regexp_extract_all({lower.format("line")}, '{ALNUM}')) as own from blocks
+        ), windows as (
+            select x.doc_id, t.label, t.words, t.names, unnest(list_transform(
+                range(0, greatest(len(x.w) - t.span + t.step - 1, 0) + 1, t.step),
+                lambda i: x.w[i + 1 : i + t.span])) as own
+            from texts x cross join templates t
+            where list_has_all(x.w, t.names) and len(list_intersect(t.words, x.w)) >= {need}
         ), found as (
-            select s.doc_id, t.label, max(len(list_intersect(s.own, t.words)) / len(t.words)) as share
-            from sets s join templates t on len(list_intersect(s.own, t.words)) >= {need}
+            select doc_id, label, max(len(list_intersect(t.words, t.own)) / len(t.words)) as share from windows t
+            where list_has_all(t.own, t.names) and len(list_intersect(t.words, t.own)) >= {need}
             group by all
         ), base as (
             select doc_id, count(*) as n_base, min(pos) as first_word, max(pos) as last_word,

@@ -35,16 +35,21 @@ def license_places(text):
     )
 
 
-def template_labels(text, templates, threshold=0.8):
-    """Labels by comparing every line with every template."""
+def template_labels(text, templates, names, threshold=0.8):
+    """Labels by comparing every window (twice the template's words, a quarter of that apart) with its template."""
     out = {}
-    for line in (text or "").split("\n"):
-        words = set(ALNUM.findall(line.translate(LOWER)))
-        for label, template in templates.items():
-            t = set(template.split())
-            share = len(words & t) / len(t)
-            if len(words & t) >= -int(-len(t) * threshold // 1):
-                out[label] = max(out.get(label, 0), share)
+    words = ALNUM.findall((text or "").translate(LOWER))
+    for label, template in templates.items():
+        t, span = set(template.split()), 2 * len(template.split())
+        start = 0
+        while True:
+            own = set(words[start : start + span])
+            both = len(own & t)
+            if both >= -int(-len(t) * threshold // 1) and own.issuperset(names.get(label, "").split()):
+                out[label] = max(out.get(label, 0), both / len(t))
+            if start + span >= len(words):
+                break
+            start += max(1, span // 4)
     return out
 
 

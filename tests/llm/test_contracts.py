@@ -95,7 +95,7 @@ def by_id(df, columns):
 def license_rows(rows):
     out = {}
     for d, t in pairs(rows):
-        base, own = brute.license_places(t), brute.template_labels(t, licenses.TEMPLATES)
+        base, own = brute.license_places(t), brute.template_labels(t, licenses.TEMPLATES, licenses.NAMES)
         labels = sorted(set(own) | {x for x in base[4].split(",") if x})
         out[d] = (*base, ",".join(labels), 1.0 if base[1] else max(own.values(), default=0.0))
     return out

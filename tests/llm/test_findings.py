@@ -6,11 +6,12 @@ import json
 import random
 import zlib
 
+import duckdb
 import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from tasteloom.llm import licenses, lines, packing, queries
+from tasteloom.llm import licenses, lines, oracles, packing, queries
 
 WRAPPED = [
     "/* This program is free software: you can redistribute it and/or modify\n"
@@ -40,6 +41,59 @@ def test_license_words_far_apart_in_one_line_are_no_notice(spark):
     assert license_labels(spark, [far, near]) == {0: {}, 1: {"mit": 1.0}}
 
 
+OTHERS = [
+    "Released under the Apache License.", "the report was released under the new license", "licensed under CC BY 4.0",
+    "licensed under CC BY ND 4.0", "licensed under the GNU license version 2.0",
+    "This Source Code Form is subject to the terms of the Eclipse Public License",
+    "This work is licensed under a Creative Commons license", "this program is free software you can redistribute it and "
+    "or modify it under the terms of the apache license",
+]
+NOTICES = {
+    "apache-2.0": 'Licensed under the Apache License, Version 2.0 (the "License");',
+    "mit": "Released under the MIT License.",
+    "mit-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated",
+    "gpl-notice": "This work is licensed under the GNU General Public License version 3.",
+    "gpl-program": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
+    "Public License as published by the Free Software Foundation",
+    "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that",
+    "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "cc-notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "cc-by-nc": "Licensed under CC BY-NC 4.0",
+}
+
+
+def test_no_label_without_the_word_that_names_the_license(spark):
+    assert license_labels(spark, OTHERS) == {i: {} for i in range(len(OTHERS))}
+
+
+def wrapped(text, width):
+    words = text.split(" ")
+    return " ".join(w + "\n# " * (i % width == width - 1) for i, w in enumerate(words))
+
+
+def test_notices_of_all_kinds_are_found_however_wrapped(spark):
+    texts = [t for notice in NOTICES.values() for t in (notice, notice.upper(), wrapped(notice, 3), "x " * 50 + wrapped(notice, 7) + " y" * 90)]
+    found = license_labels(spark, texts)
+    for i, label in enumerate(NOTICES):
+        assert all(label in found[4 * i + k] for k in range(4)), label
+        assert all(set(found[4 * i + k]) == set(found[4 * i]) for k in range(4)), label
+
+
+def test_license_sql_says_what_the_scan_does(spark, tmp_path):
+    """On wrapped notices, CRLF ends, notices at any place, and words strewn over a long line."""
+    draw = random.Random(4)
+    texts = [None, "", *OTHERS, *WRAPPED, *NOTICES.values(), *(wrapped(t, 4).replace("\n", "\r\n") for t in NOTICES.values())]
+    texts += [" ".join(["far"] * draw.randint(0, 70) + [t] + ["off"] * draw.randint(0, 70)) for t in NOTICES.values() for _ in range(4)]
+    texts += [(" filler" * draw.randint(0, 5)).join(t.split(" ")) for t in NOTICES.values() for _ in range(4)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    expected = con.execute(oracles.ORACLE["op1_license_scan"]).fetchall()
+    names = [c[0] for c in con.description]
+    found = [tuple(r[c] for c in names) for r in queries.op1_license_scan(spark, str(tmp_path)).collect()]
+    assert sorted(found) == sorted(expected) and len({r[names.index("labels")] for r in found}) > 9
+
+
 def test_added_tokens_keep_their_ids(spark):
     path = public_tokenizers.path(queries.TOKENIZER)
     own = Tokenizer.from_file(path)
