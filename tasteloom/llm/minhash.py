@@ -7,7 +7,9 @@
    shingle are neighbours in one table, so a signature is a minimum over slices of it.
 3. Bands of coordinates are bucket keys.  Sorted by key over range partitions, a bucket of any size
    needs no task of its own.
-4. Buckets are cut into slices; pairs of slices meet as blocks.  Inside a block signatures are
+4. Buckets are blocks.  In a large one all classes are first compared exactly with its smallest class; those
+   that links join to it are one group from then on, cut into slices that meet only the
+   slices of the bucket's other classes, not each other.  Inside a block signatures are
    compared, in the first band that two classes share; classes without a plausible partner go.
 5. The sets of the others meet in the same blocks and are compared exactly.  A block passes
    on links that connect what it found to be linked, not every pair.
@@ -112,16 +114,55 @@ def features(docs: DataFrame, words: int, bands: int, rows: int, seed: int) -> D
     return hashed.mapInArrow(run, FEATURES)
 
 
-def blocks_of(members: DataFrame, size: int) -> DataFrame:
-    """Rows ``(key, cls)`` with the blocks ``one``, ``two`` in which slices of their bucket meet."""
-    totals = members.groupBy("key").agg(F.count(F.lit(1)).alias("_all")).filter(F.col("_all") > 1)
-    cut = spread_join(members, totals, ["key"])
-    slices = F.ceil(F.col("_all") / size).cast("int")
-    own = F.pmod(F.xxhash64("cls"), F.col("_slices")).cast("int")
-    sliced = cut.withColumn("_slices", slices).withColumn("slice", own)
-    other = F.explode(F.sequence(F.lit(0), F.col("_slices") - 1)).alias("_other")
-    return sliced.select("key", "cls", "slice", other).select(
-        "key", "cls", "slice", F.least("slice", "_other").alias("one"), F.greatest("slice", "_other").alias("two")
+def crowded(members: DataFrame, size: int) -> DataFrame:
+    """Members of buckets that hold more than ``size``: ``key, cls`` and ``rep``, the bucket's smallest class."""
+    totals = members.groupBy("key").agg(F.count(F.lit(1)).alias("_all"), F.min("cls").alias("rep"))
+    return spread_join(members, totals.filter(F.col("_all") > size).select("key", "rep"), ["key"])
+
+
+def star_links(crowd: DataFrame, heads: DataFrame, docs: DataFrame, words: int, similarity: int) -> DataFrame:
+    """Pairs ``a, b``: representatives of ``crowd`` and the classes of their buckets whose full sets are similar to theirs."""
+    pairs = settle(crowd.filter("cls <> rep").select("cls", "rep").distinct(), "pairs")
+    wanted = heads.select("row", "cls").join(crowd.select("cls").distinct(), "cls", "left_semi")
+    sets = settle(sets_of(docs, wanted, words), "crowd-sets")
+    # A class has one pair a band at most; a representative may be in any share of them.
+    other = sets.select(F.col("cls").alias("rep"), F.col("words").alias("other"))
+    both = spread_join(pairs.join(sets, "cls"), other, ["rep"])
+    sized = both.select("cls", "rep", F.size("words").alias("n"), F.size("other").alias("m"), F.size(F.array_intersect("words", "other")).alias("common"))
+    return sized.filter(100 * F.col("common") >= similarity * (F.col("n") + F.col("m") - F.col("common"))).select(
+        F.col("rep").alias("a"), F.col("cls").alias("b")
+    )
+
+
+def at_home(crowd: DataFrame, groups: DataFrame) -> DataFrame:
+    """``crowd`` with ``home``: the class is in the group (``node``, ``root``) of its bucket's representative."""
+    own = groups.select(F.col("node").alias("cls"), F.col("root").alias("own"))
+    lead = groups.select(F.col("node").alias("rep"), F.col("root").alias("lead"))
+    marked = spread_join(crowd.join(own, "cls", "left"), lead, ["rep"], "left")
+    return marked.select("key", "cls", F.coalesce(F.col("own") == F.col("lead"), F.lit(False)).alias("home"))
+
+
+def blocks_of(members: DataFrame, size: int, marked: DataFrame | None = None) -> DataFrame:
+    """Rows ``(key, cls)`` with the blocks ``one``, ``two`` in which slices of their bucket meet.
+
+    A bucket of ``size`` members at most is one block.  ``marked`` (``key, cls, home``) has the members of all
+    larger ones.  Classes at home there are linked already, so their slices meet only the others'.
+    """
+    totals = members.groupBy("key").agg(F.count(F.lit(1)).alias("_all")).filter(F.col("_all").between(2, size))
+    zero = F.lit(0)
+    small = spread_join(members, totals, ["key"]).select("key", "cls", zero.alias("slice"), zero.alias("one"), zero.alias("two"))
+    if marked is None:
+        return small
+    slices = lambda which: F.ceil(F.count_if(which) / size).cast("int")
+    counts = marked.groupBy("key").agg(slices(F.col("home")).alias("_homes"), slices(~F.col("home")).alias("_others"))
+    cut = spread_join(marked, counts, ["key"])
+    place = F.xxhash64("cls")
+    abroad = F.col("_homes") + F.pmod(place, F.col("_others"))
+    cut = cut.withColumn("slice", F.when(F.col("home"), F.pmod(place, F.col("_homes"))).otherwise(abroad).cast("int"))
+    met = F.sequence(F.when(F.col("home"), F.col("_homes")).otherwise(0), F.col("_homes") + F.col("_others") - 1)
+    some = cut.filter(~F.col("home") | (F.col("_others") > 0)).select("key", "cls", "slice", F.explode(met).alias("_other"))
+    return small.unionByName(
+        some.select("key", "cls", "slice", F.least("slice", "_other").alias("one"), F.greatest("slice", "_other").alias("two"))
     )
 
 
@@ -296,10 +337,16 @@ def near_duplicates(
     keyed = as_class.select("cls", "bands").join(heads.select("cls"), "cls", "left_semi")
     keyed = keyed.select(F.explode("bands").alias("key"), "cls")
     members = settle(shared_keys(keyed, "key", "cls"), "buckets")
-    active = settle(plausible(blocks_of(members, slice_size), as_class, bands, rows, similarity), "active")
+    crowd = settle(crowded(members, slice_size), "crowd")
+    star, marked = None, None
+    if not crowd.isEmpty():
+        star = settle(star_links(crowd, heads, docs, words, similarity), "star")
+        marked = settle(at_home(crowd, components(star)), "marked")
+    active = settle(plausible(blocks_of(members, slice_size, marked), as_class, bands, rows, similarity), "active")
     wanted = heads.select("row", "cls").join(active.select("cls").distinct(), "cls", "left_semi")
     sets = settle(sets_of(docs, wanted, words), "sets")
-    groups = components(settle(exact_links(active, sets, similarity), "found"))
+    found = exact_links(active, sets, similarity)
+    groups = components(settle(found if star is None else found.unionByName(star), "found"))
     tops = groups.join(heads.select("cls", "least"), F.col("node") == F.col("cls")).groupBy("root").agg(F.min("least").alias("top"))
     # One group may own any share of the classes.
     of_class = spread_join(groups, settle(tops, "tops"), ["root"]).select(F.col("node").alias("cls"), "top")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tasteloom.llm import lines, minhash, quality, secret_scan, sharding, substrings
-from tasteloom.llm.common import components
+from tasteloom.llm.common import components, row_key
 from tests.llm import brute
 
 
@@ -55,6 +55,46 @@ def test_large_groups_in_slices(spark, slice_size):
     assert got == brute.near_duplicates(rows)
 
 
+def test_rows_sent_for_linked_members_grow_with_their_number(spark):
+    """One bucket: n classes at home and 6 others; without others nothing is sent."""
+
+    def sent(home, others, size=8):
+        rows = [(1, i, True) for i in range(home)] + [(1, home + i, False) for i in range(others)]
+        marked = spark.createDataFrame(rows, "key long, cls long, home boolean")
+        return minhash.blocks_of(marked.select("key", "cls"), size, marked).collect()
+
+    assert sent(100, 0) == []
+    for n in (64, 256):
+        rows = sent(n, 6)
+        # Each member at home meets the only slice of others once.
+        assert sum(r["cls"] < n for r in rows) == n
+        slices = n // 8
+        assert sum(r["cls"] >= n for r in rows) == 6 * (slices + 1)
+        met = {}
+        for r in rows:
+            met.setdefault((r["one"], r["two"]), []).append(r["cls"])
+        pairs = {(a, b) for block in met.values() for a in block for b in block if a < b}
+        assert {(a, b) for a in range(n + 6) for b in range(n, n + 6) if a < b} <= pairs
+    plain = spark.createDataFrame([(1, 1), (1, 2), (2, 3)], "key long, cls long")
+    assert sorted(tuple(r) for r in minhash.blocks_of(plain, 8).collect()) == [(1, 1, 0, 0, 0), (1, 2, 0, 0, 0)]
+
+
+def test_links_to_representatives_are_exact(spark):
+    """A family in one bucket: links only to members whose full sets are similar, whatever the bucket says."""
+    draw = random.Random(21)
+    base = prose(draw, 60).split()
+    rows = [(0, " ".join(base))]
+    for i in range(1, 12):
+        rows.append((i, " ".join(base[:-i] + [f"w{i}_{k}" for k in range(i)])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    heads = docs.select(row_key().alias("row"), F.col("doc_id").alias("cls"))
+    crowd = spark.createDataFrame([(1, i, 0) for i in range(12)], "key long, cls long, rep long")
+    sets = [brute.shingles(text) for _, text in rows]
+    similar = {(0, i) for i in range(1, 12) if 100 * len(sets[0] & sets[i]) >= 80 * len(sets[0] | sets[i])}
+    assert 0 < len(similar) < 11
+    assert {tuple(r) for r in minhash.star_links(crowd, heads, docs, 2, 80).collect()} == similar
+
+
 def test_keep_one_of_each_group(spark):
     draw = random.Random(9)
     a = prose(draw, 60)
