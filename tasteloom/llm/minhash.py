@@ -7,9 +7,9 @@
    shingle are neighbours in one table, so a signature is a minimum over slices of it.
 3. Bands of coordinates are bucket keys.  Sorted by key over range partitions, a bucket of any size
    needs no task of its own.
-4. Buckets are blocks.  In a large one all classes are first compared exactly with its smallest class; those
-   that links join to it are one group from then on, cut into slices that meet only the
-   slices of the bucket's other classes, not each other.  Inside a block signatures are
+4. Buckets are blocks.  Classes of large ones are first compared exactly with the smallest class of
+   one of their large buckets; those that such links join to a bucket's smallest class are cut into slices that meet
+   only the slices of the bucket's other classes, not each other.  Inside a block signatures are
    compared, in the first band that two classes share; classes without a plausible partner go.
 5. The sets of the others meet in the same blocks and are compared exactly.  A block passes
    on links that connect what it found to be linked, not every pair.
@@ -40,6 +40,7 @@ BANDS, ROWS = 40, 6
 CIRCLE = 1 << 20
 SLICE = 256  # classes of a bucket in one slice
 SLACK = 0.14  # signatures that agree in less than the similarity less this are not compared further
+FEW = 200_000  # rows named by 24 bytes each that may be broadcast
 SEED = 7
 
 
@@ -121,13 +122,17 @@ def crowded(members: DataFrame, size: int) -> DataFrame:
 
 
 def star_links(crowd: DataFrame, heads: DataFrame, docs: DataFrame, words: int, similarity: int) -> DataFrame:
-    """Pairs ``a, b``: representatives of ``crowd`` and the classes of their buckets whose full sets are similar to theirs."""
-    pairs = settle(crowd.filter("cls <> rep").select("cls", "rep").distinct(), "pairs")
+    """Pairs ``a, b`` of a class in ``crowd`` and the representative that shares most buckets with it, if their full
+    sets are similar.  What this leaves unlinked is compared in blocks all the same."""
+    often = crowd.filter("cls <> rep").groupBy("cls", "rep").agg(F.count(F.lit(1)).alias("n"))
+    best = F.max_by("rep", F.struct(F.col("n"), -F.col("rep"))).alias("rep")
+    pairs = settle(often.groupBy("cls").agg(best), "pairs")
     wanted = heads.select("row", "cls").join(crowd.select("cls").distinct(), "cls", "left_semi")
-    sets = settle(sets_of(docs, wanted, words), "crowd-sets")
-    # A class has one pair a band at most; a representative may be in any share of them.
-    other = sets.select(F.col("cls").alias("rep"), F.col("words").alias("other"))
-    both = spread_join(pairs.join(sets, "cls"), other, ["rep"])
+    sets = settle(sets_of(docs, settle(wanted, "wanted"), words, FEW), "crowd-sets")
+    other = sets.join(pairs.select(F.col("rep").alias("cls")).distinct(), "cls", "left_semi")
+    other = settle(other.select(F.col("cls").alias("rep"), F.col("words").alias("other")), "rep-sets")
+    # A representative may be in any share of the pairs.
+    both = spread_join(sets.join(pairs, "cls"), other, ["rep"])
     sized = both.select("cls", "rep", F.size("words").alias("n"), F.size("other").alias("m"), F.size(F.array_intersect("words", "other")).alias("common"))
     return sized.filter(100 * F.col("common") >= similarity * (F.col("n") + F.col("m") - F.col("common"))).select(
         F.col("rep").alias("a"), F.col("cls").alias("b")
@@ -296,10 +301,17 @@ def exact_links(active: DataFrame, sets: DataFrame, similarity: int) -> DataFram
     return _in_blocks(joined, work, "a bigint, b bigint")
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """Shingle sets (``cls``, ``words``) of the rows that ``wanted`` (``row``, ``cls``) names."""
-    # Rows that are equal in id and text share a key, and there may be any number of them.
-    texts = spread_join(docs.select(row_key().alias("row"), "text"), wanted, ["row"]).select("cls", "text")
+def sets_of(docs: DataFrame, wanted: DataFrame, words: int, few: int = 0) -> DataFrame:
+    """Shingle sets (``cls``, ``words``) of the rows that ``wanted`` (``row``, ``cls``) names.
+
+    Up to ``few`` of them are broadcast, so texts stay where they are; with more, texts are shuffled.
+    """
+    keyed = docs.select(row_key().alias("row"), "text")
+    if few and wanted.count() <= few:
+        texts = keyed.join(F.broadcast(wanted), "row").select("cls", "text")
+    else:
+        # Rows that are equal in id and text share a key, and there may be any number of them.
+        texts = spread_join(keyed, wanted, ["row"]).select("cls", "text")
     once = texts.dropDuplicates(["cls"]).select("cls", word_hashes(lower_ascii(F.col("text"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
