@@ -3,6 +3,7 @@
 import subprocess
 import sys
 from dataclasses import replace
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -116,6 +117,35 @@ def test_block_function_works_where_the_package_is_missing(tmp_path):
     assert done.stdout.strip() == "[8]", done.stderr
 
 
+@pytest.mark.parametrize("low", [0.0, -1.0])
+def test_most_pairs_are_ruled_out_and_the_lists_are_exact(spark, low):
+    """Users that rated the best items and one without a taste among them."""
+    rng = np.random.default_rng(3)
+    left, right = (rng.uniform(low, 1, (m, 3)).astype("float32").round(2) for m in (1_500, 6_000))
+    left[7] = 0
+    frame = lambda m: spark.createDataFrame(
+        [(i, f.tolist()) for i, f in enumerate(m)], "id int, features array<float>"
+    )
+    found = SimpleNamespace(userFactors=frame(left), itemFactors=frame(right))
+    scores = (left.astype("float64") @ right.astype("float64").T).astype("float32")
+    order = np.lexsort((np.broadcast_to(np.arange(6_000), scores.shape), -scores), axis=1)
+    rated = {u: set(order[u, : 60 * (u % 3)].tolist()) for u in range(1_500)}
+    seen = spark.createDataFrame([(u, i) for u, s in rated.items() for i in s], "user_idx int, item_idx int")
+    got = lists_of(recommend.recommend_unseen(found, seen, 5, "user_idx", "item_idx"))
+    for u in range(1_500):
+        expected = [i for i in order[u].tolist() if i not in rated[u]][:5]
+        assert [i for i, _ in got[u]] == expected
+    head = right[np.unique(order[:200, :8])].astype("float64")
+    centres = left[:50][np.arange(50) != 7].astype("float64")
+    centres /= np.linalg.norm(centres, axis=1)[:, None]
+    none = found.userFactors.withColumns({"other": F.lit(0), "held": F.lit(0)})
+    cells = recommend._cells(recommend._placed(none, head, centres, 5), 3, len(centres))
+    matches = recommend._matches(cells, list(range(len(cells))), len(centres), 3)
+    _, group = matches(right.astype("float64"))
+    assert sum(cells[g]["users"] for g in group) < 0.2 * scores.size
+    assert sum(c["users"] for c in cells if c["cell"] == len(centres)) == 1
+
+
 def test_one_user_equals_the_lists(trained):
     expected = best_by_hand(trained, 10)[2]
     got = recommend.recommend_one(trained.model, trained.train, 2, 10, "user_idx", "item_idx").collect()
