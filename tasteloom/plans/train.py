@@ -22,7 +22,7 @@ from tasteloom.operators.model import (
 )
 from tasteloom.operators.recommend import recommend_unseen
 from tasteloom.operators.relate import with_ids
-from tasteloom.operators.split import split
+from tasteloom.operators.split import settled_split
 from tasteloom.shared import new_path, settle
 
 
@@ -66,8 +66,7 @@ def train(ratings: DataFrame, spec: AlsSpec = FULL, share: float = 0.8, how: str
     ratings = settle(ratings.select("user_id", "product_id", "rating"))
     spec = replace(spec, user=CODES["user_id"], item=CODES["product_id"])
     indexes = {column: dense_index(ratings, column, code) for column, code in CODES.items()}
-    coded = settle(encode(ratings, indexes))
-    train_rows, test_rows = split(coded, share, how)
+    coded, train_rows, test_rows = settled_split(encode(ratings, indexes), share, how)
     started = time.monotonic()
     path = save_model(fit(train_rows, spec), new_path(ratings.sparkSession, "als"))
     seconds = time.monotonic() - started
@@ -75,11 +74,14 @@ def train(ratings: DataFrame, spec: AlsSpec = FULL, share: float = 0.8, how: str
 
 
 def train_report(trained: Trained, path: str | None = None) -> DataFrame:
-    """Sizes, settings, errors and fit time; ``path`` also saves the model."""
+    """Sizes, settings, errors and fit time; ``path`` also saves the model.
+
+    The predictions are written down, since each part of the report reads them.
+    """
     if path:
         save_model(trained.model, path)
-    predictions = trained.predictions()
     keys = [trained.spec.user, trained.spec.item]
+    predictions = settle(trained.predictions().select(*keys, "rating", "prediction"), "predictions")
     counts = prediction_yield(trained.test, predictions, keys)
     sizes = trained.train.agg(F.count(F.lit(1)).alias("train_rows")).select(
         "train_rows",

@@ -15,7 +15,7 @@ from tasteloom.operators import clean, encode, evaluate, model, recommend, split
 from tasteloom.plans import train as plans
 from tasteloom.shared import new_path
 from tasteloom.sources import feeds
-from tests.helpers import rows
+from tests.helpers import plan_of, rows
 
 SPEC = replace(model.FAST, rank=4, iterations=5)
 
@@ -241,6 +241,26 @@ def test_split_is_disjoint_and_complete(ratings, how):
     assert 70 < shares["train"] < 90
 
 
+def test_settled_split_needs_no_hash_later(ratings):
+    whole, known, held_out = split.settled_split(ratings)
+    assert [rows(d) for d in (whole, known, held_out)] == [rows(d) for d in (ratings, *split.split(ratings))]
+    assert "md5" in plan_of(split.split(ratings)[0])
+    assert "md5" not in plan_of(known) and "md5" not in plan_of(held_out)
+    _, some, others = split.settled_split(ratings, how="random")
+    assert rows(some.unionByName(others)) == rows(ratings)
+
+
+def test_rows_of_a_trained_model_need_no_hash(trained):
+    for df in (trained.train, trained.test, trained.predictions()):
+        assert "md5" not in plan_of(df)
+
+
+def test_report_works_predictions_out_once(trained):
+    """What the report reads are written rows, not the joins with the factors."""
+    report = plan_of(plans.train_report(trained))
+    assert "features" not in report
+
+
 def test_unknown_split(ratings):
     with pytest.raises(ValueError):
         split.split(ratings, how="time")
