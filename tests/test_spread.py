@@ -12,7 +12,7 @@ from tasteloom.spread import (
     spread_join,
     spread_joins,
 )
-from tests.helpers import rows
+from tests.helpers import plan_of, rows
 
 
 @pytest.fixture
@@ -124,3 +124,13 @@ def test_internal_names_may_be_columns(spark):
         got = df.collect()
         assert len(got) == 60 and all(r[n] == f"own {n}" for r in got for n in names)
     assert {(r["id"], r["o"]) for r in number_rows(fact, ["k"], order, "o", hot_rows=5).collect()} == {(i, i // 3 + 1) for i in range(60)}
+
+
+def test_joins_send_the_partition_instead_of_a_hash(spark):
+    """A hash of every row does not compress, and it was sent through each join."""
+    fact = spark.range(1_000).select((F.col("id") % 7).alias("a"), (F.col("id") % 11).alias("b"))
+    dims = [spark.range(20).select(F.col("id").alias(k), F.col("id").alias(f"of_{k}")) for k in "ab"]
+    joined = spread_joins(fact, [(d, [k], "inner") for d, k in zip(dims, "ab", strict=True)], hot_rows=50)
+    assert joined.count() == 1_000
+    sent = [line for line in plan_of(joined).splitlines() if "_mark" in line]
+    assert not sent
