@@ -272,7 +272,8 @@ def recommend_one_facts(spark, folder):
     best = settle(recommend.recommend_one(trained.model, trained.coded, 0, 10, "user_idx", "item_idx"))
     named = settle(train.decode(best, trained.indexes))
     rated = named.join(trained.coded.select("user_id", "product_id"), ["user_id", "product_id"], "left_semi")
-    every = trained.model.recommendForUserSubset(best.select("user_idx").distinct(), 1_000_000)
+    own_rows = trained.coded.filter("user_idx = 0").count()  # so many more entries hold ten unseen ones
+    every = trained.model.recommendForUserSubset(best.select("user_idx").distinct(), 10 + own_rows)
     scores = every.select(F.inline("recommendations")).select("item_idx", F.col("rating").alias("score"))
     unseen = scores.join(trained.coded.filter("user_idx = 0").select("item_idx"), "item_idx", "left_anti")
     order = Window.orderBy(F.desc("score"), "item_idx")  # over one user's ten best
@@ -300,7 +301,7 @@ def train_report_facts(spark, folder):
     trained = fitted(spark, folder)
     report = settle(train.train_report(trained))
     off = F.col("rating") - F.col("prediction")
-    errors = trained.predictions().agg(F.sqrt(F.avg(off * off)).alias("rmse"), F.avg(F.abs(off)).alias("mae"))
+    errors = settle(trained.predictions().agg(F.sqrt(F.avg(off * off)).alias("rmse"), F.avg(F.abs(off)).alias("mae")))
     name = F.concat_ws(":", "section", "metric")
     counts = report.filter("section <> 'error' AND metric <> 'fit_seconds'").select(name.alias("metric"), "value")
     for error in ("rmse", "mae"):
