@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tasteloom.operators import clean, encode, evaluate, model, recommend, split
 from tasteloom.plans import train as plans
+from tasteloom.registry import modelling
 from tasteloom.shared import new_path
 from tasteloom.sources import feeds
 from tests.helpers import plan_of, rows
@@ -296,3 +297,17 @@ def test_metrics_without_rows(spark):
     assert (ranking.precision, ranking.recall) == (0.0, 0.0)
     assert evaluate.score_spread(nothing).first().diversity == 0.0
     assert evaluate.coverage_candidates(nothing).first().coverage_pct == 0.0
+
+
+def test_one_user_is_checked_without_a_list_of_the_catalogue(spark, small, monkeypatch):
+    """Ten entries and as many as the user rated are enough."""
+    asked, whole = [], model.ALSModel.recommendForUserSubset
+
+    def noted(self, users, n):
+        asked.append(n)
+        return whole(self, users, n)
+
+    monkeypatch.setattr(model.ALSModel, "recommendForUserSubset", noted)
+    found = modelling.recommend_one_facts(spark, small).first()
+    assert asked == [10 + found.user_rows]
+    assert (found.rows, found.rated, found.out_of_order) == (10, 0, 0)
