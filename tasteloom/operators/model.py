@@ -13,8 +13,9 @@ from tasteloom.operators.clean import scored_only
 from tasteloom.shared import shared_root
 
 
-# Ratings in one block of users or items, which the solver holds in arrays.
-BLOCK_ROWS = 5_000_000
+# Ratings in one block of users or items, which the solver holds in arrays.  An iteration sends
+# every factor to each block that needs it, so more blocks than memory asks for cost shuffles.
+BLOCK_ROWS = 20_000_000
 
 
 @dataclass(frozen=True)
@@ -22,7 +23,9 @@ class AlsSpec:
     """Settings of an ALS fit.
 
     ``alpha`` matters only with ``implicit``.  Without ``blocks`` their number follows the
-    ratings, ``BLOCK_ROWS`` to a block, 10 at least.
+    ratings, ``BLOCK_ROWS`` to a block, 10 at least.  The shuffle files of all iterations since
+    the last checkpoint stay on disk, ``checkpoint_every`` of them; a checkpoint is one copy of
+    the item factors and changes no result.
     """
 
     rank: int = 10
@@ -33,7 +36,7 @@ class AlsSpec:
     implicit: bool = False
     alpha: float = 1.0
     blocks: int | None = None
-    checkpoint_every: int = 10
+    checkpoint_every: int = 2
     seed: int = 42
     user: str = "user_id"
     item: str = "product_id"

@@ -2,7 +2,9 @@
 
 import subprocess
 import sys
+import time
 from dataclasses import replace
+from pathlib import Path
 from types import SimpleNamespace
 
 import numpy as np
@@ -311,3 +313,29 @@ def test_one_user_is_checked_without_a_list_of_the_catalogue(spark, small, monke
     found = modelling.recommend_one_facts(spark, small).first()
     assert asked == [10 + found.user_rows]
     assert (found.rows, found.rated, found.out_of_order) == (10, 0, 0)
+
+
+def test_blocks_follow_memory_not_more(spark):
+    """Every block more is another copy of the factors in every iteration."""
+    count = lambda spec, rows: (spec.estimator(rows).getNumUserBlocks(), spec.estimator(rows).getNumItemBlocks())
+    assert count(model.FULL, 0) == count(model.FULL, 172_800_000) == (10, 10)
+    assert count(model.FULL, 4_000_000_000) == (200, 200)
+    assert count(model.BLOCKED, 172_800_000) == (20, 20)
+
+
+def test_shuffles_of_past_iterations_are_freed(spark, trained):
+    """What a fit leaves on disk does not grow with its iterations."""
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+
+    def shuffles():
+        return {f.name.split("_")[1] for d in folders for f in Path(d).rglob("shuffle_*.data")}
+
+    before = shuffles()
+    spec = replace(trained.spec, iterations=9)  # 18 shuffles of factors
+    fitted = model.fit(trained.train, spec)
+    assert fitted.userFactors.count() == trained.model.userFactors.count()
+    for _ in range(50):  # files are deleted in the background
+        if len(shuffles() - before) < 9:
+            break
+        time.sleep(0.2)
+    assert len(shuffles() - before) < 9
