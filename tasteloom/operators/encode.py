@@ -47,22 +47,30 @@ def hash_collisions(
     return out
 
 
-def dense_index(df: DataFrame, column: str, out: str) -> DataFrame:
+def dense_index(df: DataFrame, column: str, out: str, counted: bool = False) -> DataFrame:
     """Ids with codes 0, 1, 2, ...: most frequent first, then by the id's text.
 
     The index stays a DataFrame and no task sees more than one range of the ids.
+    If ``counted``, it keeps the rows of every id as ``count``.
     """
     counts = (
         df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
     )
     order = [F.desc("_n"), F.col(column).cast("string").asc()]
     placed = place_rows(counts, order, "_at")
-    return placed.select(column, F.col("_at").cast("int").alias(out))
+    more = [F.col("_n").alias("count")] if counted else []
+    return placed.select(column, F.col("_at").cast("int").alias(out), *more)
 
 
-def encode(df: DataFrame, indexes: Mapping[str, DataFrame]) -> DataFrame:
-    """Add the codes of every index; rows with an id outside an index are dropped."""
-    return spread_joins(df, [(index, [column], "inner") for column, index in indexes.items()])
+def encode(
+    df: DataFrame, indexes: Mapping[str, DataFrame], counted: Mapping[str, DataFrame] | None = None
+) -> DataFrame:
+    """Add the codes of every index; rows with an id outside an index are dropped.
+
+    ``counted`` has the rows of ``df`` per id, as ``id, count``, for ids whose rows are counted already.
+    """
+    joins = [(index, [column], "inner") for column, index in indexes.items()]
+    return spread_joins(df, joins, counted=[(counted or {}).get(column) for column in indexes])
 
 
 def cast_codes(df: DataFrame, codes: Mapping[str, str] = CODES) -> DataFrame:

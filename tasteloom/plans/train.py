@@ -59,14 +59,16 @@ def decode(df: DataFrame, indexes: dict[str, DataFrame]) -> DataFrame:
 def train(ratings: DataFrame, spec: AlsSpec = FULL, share: float = 0.8, how: str = "hash") -> Trained:
     """Index the ids, split the rows, fit ALS on the training rows.
 
-    The ratings are written down once for both indexes and the coding, and the coded rows
-    once for the split, the fit, the predictions and the lists.  The model is written down
-    too, so that a lost executor does not mean another fit.
+    The ratings are written down once for both indexes and the coding, which takes the rows per
+    id from the indexes, and the coded rows once for the split, the fit, the predictions and the
+    lists.  The model is written down too, so that a lost executor does not mean another fit.
     """
     ratings = settle(ratings.select("user_id", "product_id", "rating"))
     spec = replace(spec, user=CODES["user_id"], item=CODES["product_id"])
-    indexes = {column: dense_index(ratings, column, code) for column, code in CODES.items()}
-    coded, train_rows, test_rows = settled_split(encode(ratings, indexes), share, how)
+    whole = {column: dense_index(ratings, column, code, counted=True) for column, code in CODES.items()}
+    indexes = {column: index.drop("count") for column, index in whole.items()}
+    counted = {column: index.select(column, "count") for column, index in whole.items()}
+    coded, train_rows, test_rows = settled_split(encode(ratings, indexes, counted), share, how)
     started = time.monotonic()
     path = save_model(fit(train_rows, spec), new_path(ratings.sparkSession, "als"))
     seconds = time.monotonic() - started

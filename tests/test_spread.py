@@ -1,9 +1,15 @@
 """Joins and numbering with hot keys against the plain forms."""
 
+import re
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tasteloom import spread
+from tasteloom.operators import encode
+from tasteloom.operators.model import AlsSpec
+from tasteloom.plans.train import train
 from tasteloom.spread import (
     hot_keys,
     number_rows,
@@ -134,3 +140,32 @@ def test_joins_send_the_partition_instead_of_a_hash(spark):
     assert joined.count() == 1_000
     sent = [line for line in plan_of(joined).splitlines() if "_mark" in line]
     assert not sent
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_known_counts_split_the_same_keys(fact, dim, how):
+    known = fact.na.drop().groupBy("k").count()
+    assert rows(hot_keys(fact, ["k"], 50, counted=known)) == rows(hot_keys(fact, ["k"], 50))
+    joined = spread_joins(fact, [(dim, ["k"], how)], 50, counted=[known])
+    assert rows(joined) == rows(fact.join(dim, "k", how))
+
+
+def test_coding_does_not_count_again(ratings):
+    """The index has counted the rows of every id; the same codes come without another pass."""
+    counted = encode.dense_index(ratings, "user_id", "user_idx", counted=True)
+    plain, known = {"user_id": counted.drop("count")}, {"user_id": counted.select("user_id", "count")}
+    assert rows(counted.select("user_id", "count")) == rows(ratings.groupBy("user_id").count())
+    again, once = encode.encode(ratings, plain), encode.encode(ratings, plain, known)
+    assert rows(once) == rows(again)
+    passes = lambda df: len(re.findall(r"partial_count\(1\)", plan_of(df)))
+    assert passes(once) == passes(again) - 2
+
+
+def test_training_counts_ids_once(ratings, monkeypatch):
+    def again(df, keys, rows):
+        raise AssertionError(f"rows per {keys} are counted again")
+
+    monkeypatch.setattr(spread, "_counts", again)
+    trained = train(ratings, AlsSpec(rank=2, iterations=1))
+    assert trained.coded.count() == ratings.count()
+    assert [index.columns for index in trained.indexes.values()] == [["user_id", "user_idx"], ["product_id", "item_idx"]]
